@@ -236,7 +236,7 @@ def _fuel(t: Tables) -> DataFrame:
         F.when(flag == "A", "Petrol").when(flag == "N", "Diesel").otherwise("CNG").alias("fuel_type"),
         F.col("l_quantity").alias("litres"),
         (F.col("l_quantity") * 10).alias("km_driven"),
-        (F.col("l_extendedprice") / F.col("l_quantity") / 100).alias("efficiency"),
+        (F.floor(F.col("l_extendedprice") / F.col("l_quantity")) / 100).alias("efficiency"),
         (_dec("l_extendedprice") * F.lit("0.1").cast("decimal(2,1)")).cast("double").alias("fuel_cost"),
     )
 
@@ -330,7 +330,7 @@ VIEW_SQL = {
     "fuel_logs": """SELECT l_orderkey * 10 + l_linenumber AS fuel_id, l_partkey AS vehicle_id, l_suppkey AS driver_id,
         CAST(l_shipdate AS DATE) AS fill_date,
         CASE l_returnflag WHEN 'A' THEN 'Petrol' WHEN 'N' THEN 'Diesel' ELSE 'CNG' END AS fuel_type, l_quantity AS litres,
-        l_quantity * 10 AS km_driven, l_extendedprice / l_quantity / 100 AS efficiency,
+        l_quantity * 10 AS km_driven, FLOOR(l_extendedprice / l_quantity) / 100 AS efficiency,
         CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * 0.1 AS DOUBLE) AS fuel_cost FROM lineitem""",
     "opex": """SELECT o_orderkey AS expense_id, o_custkey AS customer_id, CAST(DATE_TRUNC('month', o_orderdate) AS DATE) AS expense_month,
         o_orderpriority AS category, CAST(CAST(o_totalprice AS DECIMAL(12,2)) * 0.05 AS DOUBLE) AS amount FROM orders""",
