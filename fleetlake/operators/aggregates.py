@@ -75,11 +75,14 @@ def boxplot(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     q = scale.percentiles(df, keys, value, {"q1": 0.25, "median": 0.5, "q3": 0.75})
     iqr = F.col("q3") - F.col("q1")
     fences = q.withColumns({"lower_fence": F.col("q1") - 1.5 * iqr, "upper_fence": F.col("q3") + 1.5 * iqr})
+    stats = ["q1", "median", "q3", "lower_fence", "upper_fence"]
+    if keys:
+        marked = scale.same_key_join(df, fences, keys)
+    else:
+        one = fences.select(F.struct(*stats).alias("s")).scalar()
+        marked = df.select(value).withColumns({c: one.getField(c) for c in stats})
     beyond = (F.col(value) < F.col("lower_fence")) | (F.col(value) > F.col("upper_fence"))
-    marked = scale.same_key_join(df, fences, keys) if keys else df.crossJoin(F.broadcast(fences))
-    return marked.groupBy(*keys, "q1", "median", "q3", "lower_fence", "upper_fence").agg(
-        F.count(F.when(beyond, 1)).alias("outliers")
-    )
+    return marked.groupBy(*keys, *stats).agg(F.count(F.lit(1)).alias("row_count"), F.count(F.when(beyond, 1)).alias("outliers"))
 
 
 def coefficient_of_variation(df: DataFrame, keys: Sequence[str], value: str, min_rows: int) -> DataFrame:
