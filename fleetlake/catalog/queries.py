@@ -13,6 +13,7 @@ from fleetlake.operators import joins, scale, windows
 from fleetlake.operators.aggregates import distinct_list, grid, pivot_sum, share_of_total
 from fleetlake.operators.sets import dedup_latest, union_all
 from fleetlake.plans import customers, finance
+from fleetlake.session import materialise
 
 DONE = "status = 'Completed'"
 
@@ -62,7 +63,7 @@ def _(t):
         dsum("total_amount").alias("total_revenue"), dsum("paid_amount").alias("collected"),
         davg("total_amount").alias("avg_invoice"), rows().alias("invoice_count"),
     )
-    df = per.join(t["fleets"], "fleet_id").drop("fleet_id")
+    df = materialise(per.join(t["fleets"], "fleet_id").drop("fleet_id"), "fleets")
     ranked = scale.ranks(df, [], "-total_revenue", rank="revenue_rank", dense="dense_pos")
     return share_of_total(ranked, "total_revenue", "revenue_share_pct")
 
@@ -195,6 +196,7 @@ def route_stats(trips):
 def _(t):
     r = route_stats(t["routed_trips"].where(done() & (F.col("pickup_city") != F.col("dropoff_city"))))
     r = r.withColumn("route", F.concat_ws(" → ", "pickup_city", "dropoff_city")).drop("pickup_city", "dropoff_city")
+    r = materialise(r, "routes")
     r = scale.ranks(r, [], "-total_revenue", rank="revenue_rank")
     return scale.ranks(r, [], "-trip_count", rank="volume_rank").orderBy(F.desc("total_revenue"), "route").limit(20)
 
@@ -312,7 +314,7 @@ def _(t):
         + F.col("accidents") * 8
         + F.col("complaints") * 3
     )
-    df = k.withColumn("composite_risk_score", F.round(score, 2)).join(t["telem_drivers"], "driver_id")
+    df = materialise(k.withColumn("composite_risk_score", F.round(score, 2)).join(t["telem_drivers"], "driver_id"), "risk")
     s = F.col("composite_risk_score")
     category = F.when(s < 20, "Low Risk").when(s < 45, "Medium Risk").when(s < 70, "High Risk").otherwise("Critical")
     return scale.ranks(df, [], "-composite_risk_score", rank="risk_rank").withColumn("risk_category", category)
@@ -361,7 +363,7 @@ def _(t):
         rows().alias("rated_trips"), F.avg("rating").alias("avg_rating"), F.min("rating").alias("min_rating"),
         F.max("rating").alias("max_rating"), F.round(F.stddev_samp("rating"), 6).alias("consistency"),
     )
-    df = g.where(F.col("rated_trips") >= 5).join(t["telem_drivers"], "driver_id")
+    df = materialise(g.where(F.col("rated_trips") >= 5).join(t["telem_drivers"], "driver_id"), "ratings")
     df = scale.ranks(df, [], "-avg_rating", rank="rating_rank")
     df = scale.ranks(df, [], "avg_rating", percent="rating_percentile")
     return df.orderBy(F.desc("avg_rating"), "driver_id").limit(20)
@@ -402,6 +404,7 @@ def _(t, days_basis=30):
 def _(t):
     g = t["trips"].where(done()).groupBy("vehicle_id").agg(dsum("trip_fare").alias("total_revenue"), dsum("distance_km").alias("total_km"), rows().alias("trip_count"))
     df = g.withColumn("revenue_per_km", ratio("total_revenue", "total_km")).join(t["vehicles"].select("vehicle_id", "make", "model", "year", "category"), "vehicle_id")
+    df = materialise(df, "revenue-per-km")
     return scale.ranks(df, ["category"], "-revenue_per_km", rank="rank_in_category").orderBy(F.desc("revenue_per_km"), "vehicle_id").limit(40)
 
 
@@ -932,7 +935,7 @@ def scorecard(t):
         rows().alias("trips"), davg("safety_score").alias("avg_safety_score"), F.avg("rating").alias("avg_rating"),
         count_if(F.col("accident")).alias("accidents"), count_if(F.col("complaint")).alias("complaints"),
     )
-    df = g.where(F.col("trips") >= 3).join(t["telem_drivers"], "driver_id")
+    df = materialise(g.where(F.col("trips") >= 3).join(t["telem_drivers"], "driver_id"), "scorecard")
     return scale.ranks(df, [], "-avg_safety_score", rank="safety_rank")
 
 

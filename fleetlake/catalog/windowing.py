@@ -11,6 +11,7 @@ from fleetlake.functions.scalar import davg, dsum, pct, rows
 from fleetlake.operators import scale, windows
 from fleetlake.operators.aggregates import share_of_total
 from fleetlake.operators.sets import dedup_latest
+from fleetlake.session import materialise
 
 BY_CUSTOMER = ["o_custkey"]
 BY_DATE = ["o_orderdate", "o_orderkey"]
@@ -46,7 +47,8 @@ def _(t):
 def _(t):
     rev = t["lineitem"].groupBy("l_suppkey").agg(dsum("l_extendedprice").alias("revenue"))
     df = rev.join(t["supplier"], F.col("l_suppkey") == F.col("s_suppkey")).join(t["nation"], F.col("s_nationkey") == F.col("n_nationkey"))
-    return scale.ranks(df.select("n_name", "l_suppkey", "revenue"), ["n_name"], "-revenue", rank="revenue_rank", dense="dense_pos")
+    df = materialise(df.select("n_name", "l_suppkey", "revenue"), "supplier-revenue")
+    return scale.ranks(df, ["n_name"], "-revenue", rank="revenue_rank", dense="dense_pos")
 
 
 @query(

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -69,66 +70,84 @@ def _numeric(df: DataFrame, name: str) -> Column:
     raise TypeError(f"{name}: ordered splitting needs a number, date or timestamp")
 
 
-def _range_of(value: Column, cuts: Sequence[float]) -> Column:
-    """Position of ``value`` among sorted cuts: even = between two cuts, odd = equal to one."""
-    grid = F.array(*[F.lit(float(c)) for c in cuts])
-    below = F.size(F.filter(grid, lambda c: c < value))
-    return (below * 2 + F.array_contains(grid, value).cast("int")).cast("bigint")
+def _add_positions(df: DataFrame, cuts: dict[str, Sequence[float]]) -> DataFrame:
+    """Replace each double column by its place among sorted cuts: even = between two, odd = equal to one."""
+    splits = [[float("-inf"), *c, float("inf")] for c in cuts.values()]
+    names = [f"{name}_bucket" for name in cuts]
+    out = Bucketizer(inputCols=list(cuts), outputCols=names, splitsArray=splits, handleInvalid="keep").transform(df)
+    for (name, c), bucket in zip(cuts.items(), names):
+        place = F.col(bucket).cast("int")
+        on_cut = F.get(F.lit(list(map(float, c))), place - 1) == F.col(name)
+        out = out.withColumn(name, (place * 2 - F.coalesce(on_cut, F.lit(False)).cast("int")).cast("bigint"))
+    return out.drop(*names)
 
 
-def split_hot_groups(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int | None = None
-) -> DataFrame | None:
-    """Add ``_r``, an ordered range number inside hot groups (-1 elsewhere).
+class Split:
+    """How the groups of a frame are cut for ordered work; measured once, used by several steps.
 
-    Returns None when no group exceeds ``hot_rows``, so a plain window is safe.
+    ``small`` is True when no group exceeds ``hot_rows``: a plain window is then safe.
+    Frames passed to ``mark`` must hold the same rows per group as the measured one
+    (columns may have been added).
     """
-    hot_rows = hot_rows or hot_rows_limit(df)
-    if keys:
-        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        seen = counts.agg(F.max("_n").alias("top"), F.sum("_n").alias("total")).first()
-        top, total = seen["top"] or 0, seen["total"] or 0
-    else:
-        counts, top = None, df.count()
-        total = top
-    if top <= hot_rows:
-        return None
-    if keys:
-        # fewer than MAX_HOT_GROUPS groups can be this large
-        limit = max(hot_rows, total // MAX_HOT_GROUPS)
-        hot = counts.where(F.col("_n") > limit).select(*keys).collect()
-        if not hot:
-            return None
-        names = [f"_k{i}" for i in range(len(keys))]
-        schema = T.StructType(
-            [T.StructField(n, df.schema[k].dataType) for n, k in zip(names, keys)] + [T.StructField("_h", T.LongType())]
+
+    def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int | None = None):
+        self.keys, self.order = list(keys), list(order)
+        self.hot_rows = hot_rows or hot_rows_limit(df)
+        self._hot = None
+        if keys:
+            counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+            seen = counts.agg(F.max("_n").alias("top"), F.sum("_n").alias("total")).first()
+            top, self.total = seen["top"] or 0, seen["total"] or 0
+            limit = max(self.hot_rows, self.total // MAX_HOT_GROUPS)
+            self.small = top <= limit
+        else:
+            counts, limit = None, self.hot_rows
+            self.total = df.count()
+            self.small = self.total <= limit
+        if self.small:
+            return
+        if keys:
+            # fewer than MAX_HOT_GROUPS groups can exceed this limit
+            found = counts.where(F.col("_n") > limit).select(*keys).collect()
+            self._names = [f"_k{i}" for i in range(len(keys))]
+            fields = [T.StructField(n, df.schema[k].dataType) for n, k in zip(self._names, keys)]
+            schema = T.StructType([*fields, T.StructField("_h", T.LongType())])
+            self._hot = df.sparkSession.createDataFrame([(*row, i) for i, row in enumerate(found)], schema)
+        first, last = _name(order[0]), _name(order[-1])
+        ranges = int(min(MAX_RANGES, max(2, 2 * self.total // self.hot_rows)))
+        sample = self._flag(df).where(F.col("_h").isNotNull()).select(
+            _numeric(df, first).alias("_a"), _numeric(df, last).alias("_z")
         )
-        table = df.sparkSession.createDataFrame([(*row, i) for i, row in enumerate(hot)], schema)
-        same = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)]
-        flagged = df.join(F.broadcast(table), same, "left").drop(*names)
-    else:
-        flagged = df.withColumn("_h", F.lit(0).cast("bigint"))
-    ranges = int(min(MAX_RANGES, max(2, 2 * total // hot_rows)))
-    probs = [i / ranges for i in range(1, ranges)]
-    first, last = _name(order[0]), _name(order[-1])
-    sample = flagged.where(F.col("_h").isNotNull()).select(
-        _numeric(df, first).alias("_a"), _numeric(df, last).alias("_z")
-    )
-    cuts_a, cuts_z = (sorted(set(c)) for c in sample.approxQuantile(["_a", "_z"], probs, 0.25 / ranges))
-    value = _numeric(df, first)
-    part = _range_of(value, cuts_a)
-    # a cut value shared by very many rows is split again along the last order column
-    only_two = len(order) <= 2
-    tie = _range_of(_numeric(df, last), cuts_z) if only_two and first != last else F.lit(0).cast("bigint")
-    tie = F.when(part % 2 == 1, tie).otherwise(F.lit(0).cast("bigint"))
-    wide_a, wide_z = 2 * len(cuts_a) + 2, 2 * len(cuts_z) + 2
-    if order[0].startswith("-"):
-        part = F.lit(wide_a - 2) - part
-    if order[-1].startswith("-"):
-        tie = F.lit(wide_z - 2) - tie
-    part = F.when(value.isNull(), F.lit(wide_a - 1)).otherwise(part)
-    number = (F.col("_h") * F.lit(wide_a) + part) * F.lit(wide_z) + F.coalesce(tie, F.lit(0))
-    return flagged.withColumn("_r", F.coalesce(number, F.lit(-1)).cast("bigint")).drop("_h")
+        probs = [i / ranges for i in range(1, ranges)]
+        cuts = sample.approxQuantile(["_a", "_z"], probs, 0.25 / ranges)
+        self._cuts_a, self._cuts_z = (sorted(set(c)) for c in cuts)
+
+    def _flag(self, df: DataFrame) -> DataFrame:
+        if self._hot is None:
+            return df.withColumn("_h", F.lit(0).cast("bigint"))
+        same = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(self.keys, self._names)]
+        return df.join(F.broadcast(self._hot), same, "left").drop(*self._names)
+
+    def mark(self, df: DataFrame) -> DataFrame:
+        """Add ``_r``: the ordered range number inside hot groups, -1 elsewhere."""
+        first, last = _name(self.order[0]), _name(self.order[-1])
+        cuts = {"_a": self._cuts_a}
+        cols = {"_a": _numeric(df, first)}
+        if len(self.order) == 2:
+            # a first value shared by very many rows is cut again along the second column
+            cuts["_z"], cols["_z"] = self._cuts_z, _numeric(df, last)
+        placed = _add_positions(self._flag(df).withColumns(cols), cuts)
+        part = F.col("_a")
+        tie = F.when(part % 2 == 1, F.col("_z")).otherwise(F.lit(0)) if "_z" in cuts else F.lit(0)
+        wide_a, wide_z = 2 * len(self._cuts_a) + 2, 2 * len(self._cuts_z) + 2
+        if self.order[0].startswith("-"):
+            part = F.lit(wide_a - 2) - part
+        if self.order[-1].startswith("-"):
+            tie = F.lit(wide_z - 2) - tie
+        part = F.when(F.col(first).isNull(), F.lit(wide_a - 1)).otherwise(part)
+        number = (F.col("_h") * F.lit(wide_a) + part) * F.lit(wide_z) + F.coalesce(tie, F.lit(0))
+        marked = placed.withColumn("_r", F.when(F.col("_h").isNull(), F.lit(-1)).otherwise(number).cast("bigint"))
+        return marked.drop("_h", *cuts)
 
 
 def running(
@@ -137,21 +156,23 @@ def running(
     order: Sequence[str],
     sums: dict[str, Column],
     hot_rows: int | None = None,
+    split: Split | None = None,
 ) -> DataFrame:
     """Running sums (current row included) per group; sum ``lit(1)`` for a row number."""
-    split = split_hot_groups(df, keys, order, hot_rows)
-    if split is None:
+    split = split or Split(df, keys, order, hot_rows)
+    if split.small:
         w = _spec(keys, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return df.withColumns({name: F.sum(c).over(w) for name, c in sums.items()})
+    marked = split.mark(df)
     w = _spec([*keys, "_r"], order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = split.withColumns({name: F.sum(c).over(w) for name, c in sums.items()})
+    local = marked.withColumns({name: F.sum(c).over(w) for name, c in sums.items()})
     totals = (
-        split.where(F.col("_r") >= 0)
+        marked.where(F.col("_r") >= 0)
         .groupBy(*keys, "_r")
         .agg(*[F.sum(c).alias(f"_t_{name}") for name, c in sums.items()])
     )
     before = Window.partitionBy(*keys).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
-    # at most MAX_HOT_GROUPS x 2 MAX_RANGES rows by construction
+    # one row per hot group and range: the limits above bound it
     offsets = totals.select(
         F.col("_r").alias("_ro"), *[F.sum(f"_t_{name}").over(before).alias(f"_o_{name}") for name in sums]
     )
@@ -166,10 +187,15 @@ def running(
 
 
 def row_number(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "rn", hot_rows: int | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    name: str = "rn",
+    hot_rows: int | None = None,
+    split: Split | None = None,
 ) -> DataFrame:
     """1-based position in the group."""
-    return running(df, keys, order, {name: F.lit(1).cast("bigint")}, hot_rows)
+    return running(df, keys, order, {name: F.lit(1).cast("bigint")}, hot_rows, split)
 
 
 def bounded(
@@ -180,6 +206,7 @@ def bounded(
     before: int = 1,
     after: int = 0,
     hot_rows: int | None = None,
+    split: Split | None = None,
 ) -> DataFrame:
     """Window expressions that look at most ``before`` rows back and ``after`` ahead.
 
@@ -187,13 +214,12 @@ def bounded(
     Hot groups are cut into chunks of consecutive rows; the few neighbouring rows a
     chunk needs are copied into it and dropped again afterwards.
     """
-    hot_rows = hot_rows or hot_rows_limit(df)
-    split = split_hot_groups(df, keys, order, hot_rows)
-    if split is None:
+    split = split or Split(df, keys, order, hot_rows)
+    if split.small:
         w = _spec(keys, order)
         return df.withColumns({name: f(w) for name, f in exprs.items()})
-    size = max(hot_rows, before + after + 1)
-    numbered = row_number(df, keys, order, "_rn", hot_rows)
+    size = max(split.hot_rows, before + after + 1)
+    numbered = row_number(df, keys, order, "_rn", split=split)
     chunk = F.floor((F.col("_rn") - 1) / F.lit(size)).cast("bigint")
     pos = (F.col("_rn") - 1) % F.lit(size)
     own = F.struct(chunk.alias("id"), F.lit(True).alias("own"))
@@ -207,19 +233,21 @@ def bounded(
     return out.where(F.col("_c.own")).drop("_c", "_rn")
 
 
+def _with_group_size(df: DataFrame, keys: Sequence[str], source: DataFrame, total: int) -> DataFrame:
+    if not keys:
+        return df.withColumn("_n", F.lit(total).cast("bigint"))
+    return same_key_join(df, source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), keys)
+
+
 def ntile(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], tiles: dict[str, int], hot_rows: int | None = None
 ) -> DataFrame:
     """NTILE columns; the first ``n mod k`` tiles hold one row more."""
-    if split_hot_groups(df, keys, order, hot_rows) is None:
+    split = Split(df, keys, order, hot_rows)
+    if split.small:
         w = _spec(keys, order)
         return df.withColumns({name: F.ntile(k).over(w).cast("bigint") for name, k in tiles.items()})
-    numbered = row_number(df, keys, order, "_rn", hot_rows)
-    if keys:
-        sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        numbered = same_key_join(numbered, sizes, keys)
-    else:
-        numbered = numbered.withColumn("_n", F.lit(df.count()).cast("bigint"))
+    numbered = _with_group_size(row_number(df, keys, order, "_rn", split=split), keys, df, split.total)
 
     def tile(k: int) -> Column:
         q = F.floor(F.col("_n") / F.lit(k))
@@ -247,7 +275,8 @@ def ranks(
     """RANK, DENSE_RANK, PERCENT_RANK and CUME_DIST by one column (``-name`` = descending)."""
     wanted = {"rank": rank, "dense": dense, "percent": percent, "cume": cume}
     wanted = {kind: name for kind, name in wanted.items() if name}
-    if split_hot_groups(df, keys, [value], hot_rows) is None:
+    split = Split(df, keys, [value], hot_rows)
+    if split.small:
         w = _spec(keys, [value])
         native = {
             "rank": lambda: F.rank().over(w).cast("bigint"),
@@ -260,13 +289,9 @@ def ranks(
     column = _name(value)
     per_value = df.groupBy(*keys, column).agg(F.count(F.lit(1)).alias("_ties"))
     ranked = running(
-        per_value, keys, [value], {"_upto": F.col("_ties"), "_dense": F.lit(1).cast("bigint")}, hot_rows
+        per_value, keys, [value], {"_upto": F.col("_ties"), "_dense": F.lit(1).cast("bigint")}, split.hot_rows
     )
-    if keys:
-        sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        ranked = same_key_join(ranked, sizes, keys)
-    else:
-        ranked = ranked.withColumn("_n", F.lit(df.count()).cast("bigint"))
+    ranked = _with_group_size(ranked, keys, df, split.total)
     position = F.col("_upto") - F.col("_ties") + 1
     made = {
         "rank": position,
@@ -290,16 +315,12 @@ def percentiles(
     percentile position are kept.
     """
     data = df.where(F.col(value).isNotNull())
-    limit = hot_rows or hot_rows_limit(df)
-    if split_hot_groups(data, keys, [value], limit) is None:
+    split = Split(data, keys, [value], hot_rows)
+    if split.small:
         return df.groupBy(*keys).agg(*[F.percentile(value, F.lit(p)).alias(name) for name, p in probs.items()])
     per_value = data.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_ties"))
-    ranked = running(per_value, keys, [value], {"_upto": F.col("_ties")}, limit)
-    if keys:
-        sizes = data.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        ranked = same_key_join(ranked, sizes, keys)
-    else:
-        ranked = ranked.withColumn("_n", F.lit(data.count()).cast("bigint"))
+    ranked = running(per_value, keys, [value], {"_upto": F.col("_ties")}, split.hot_rows)
+    ranked = _with_group_size(ranked, keys, data, split.total)
     first = F.col("_upto") - F.col("_ties")
 
     def at(position: Column) -> Column:

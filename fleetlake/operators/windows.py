@@ -9,22 +9,31 @@ from pyspark.sql import functions as F
 
 from fleetlake.functions.scalar import days_between, money, pct
 from fleetlake.operators import scale
+from fleetlake.session import materialise
 
 
 def sessionize(df: DataFrame, keys: Sequence[str], ts: str, tie: str, gap_days: int | None = None, gap_seconds: float | None = None) -> DataFrame:
     """Number the sessions of each key; a gap longer than the limit starts a new one."""
-    prev = scale.bounded(df, keys, [ts, tie], {"_prev": lambda w: F.lag(ts).over(w)})
+    order = [ts, tie]
+    split = scale.Split(df, keys, order)
+    prev = scale.bounded(df, keys, order, {"_prev": lambda w: F.lag(ts).over(w)}, split=split)
     if gap_days is not None:
         far = days_between("_prev", ts) > gap_days
     else:
         micros = F.unix_micros(F.col(ts)) - F.unix_micros(F.col("_prev"))
         far = micros > int(gap_seconds * 1_000_000)
     starts = prev.withColumn("_start", F.when(F.col("_prev").isNull() | far, 1).otherwise(0).cast("bigint"))
-    return scale.running(starts, keys, [ts, tie], {"session_id": F.col("_start")}).drop("_prev", "_start")
+    if not split.small:
+        starts = materialise(starts, "session-starts")  # read twice below
+    return scale.running(starts, keys, order, {"session_id": F.col("_start")}, split=split).drop("_prev", "_start")
 
 
 def pareto(df: DataFrame, value: str, tie: str, cut: float = 80.0) -> DataFrame:
-    """Cumulative share of the total from the largest value down, tagged at ``cut`` percent."""
+    """Cumulative share of the total from the largest value down, tagged at ``cut`` percent.
+
+    ``df`` is an aggregate that three steps read, so it is written once.
+    """
+    df = materialise(df, "pareto")
     total = df.agg(F.sum(money(value)).cast("double")).scalar()
     run = scale.running(df, [], [f"-{value}", tie], {"_run": money(value)})
     return (
@@ -53,7 +62,3 @@ def rolling(value: Column, order: str, rows: int, keys: Sequence[str] = (), fn=F
     w = Window.partitionBy(*keys).orderBy(order).rowsBetween(-(rows - 1), ahead)
     out = fn(value).over(w)
     return F.when(F.count(value).over(w) == rows + ahead, out) if strict else out
-
-
-def top_or_default(c: Column, default: float) -> Column:
-    return F.coalesce(c, F.lit(default))

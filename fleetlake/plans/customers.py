@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fleetlake.functions import scalar as fn
 from fleetlake.functions.scalar import dsum, rows
 from fleetlake.operators import scale
-from fleetlake.operators.sets import dedup_latest
+from fleetlake.session import materialise
 
 CHURN = ([30, 90, 180], ["Active", "At Risk", "Lapsing", "Churned"])
 
@@ -31,7 +31,7 @@ def rfm_scores(raw: DataFrame, customer: str, legacy_scores: bool = False) -> Da
         orders = {"r_score": ["recency_days", customer], "f_score": ["-frequency", customer], "m_score": ["-monetary", customer]}
     else:
         orders = {"r_score": ["-recency_days", customer], "f_score": ["frequency", customer], "m_score": ["monetary", customer]}
-    df = raw
+    df = materialise(raw, "rfm")  # measured and read once per score
     for name, order in orders.items():
         df = scale.ntile(df, [], order, {name: 5})
     r, f = F.col("r_score"), F.col("f_score")
@@ -76,10 +76,7 @@ def lifetime_value(invoices: DataFrame) -> DataFrame:
         F.max("invoice_date").alias("last_purchase"),
     )
     ltv = ltv.withColumn("customer_age_days", fn.days_between("first_purchase", "last_purchase"))
+    ltv = materialise(ltv, "ltv")
     ranked = scale.ranks(ltv, [], "-total_spend", rank="ltv_rank")
     tiled = scale.ntile(ranked, [], ["-total_spend", "customer_id"], {"ltv_quintile": 5})
     return tiled.withColumn("annualised_spend", fn.ratio("total_spend", "customer_age_days") * F.lit(365.0))
-
-
-def first_rows(df: DataFrame, customer: str, order: list[str]) -> DataFrame:
-    return dedup_latest(df, [customer], order)
