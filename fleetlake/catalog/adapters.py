@@ -47,8 +47,9 @@ def _profile_sql(c: str) -> str:
     return f"CASE {c} % 5 {cases} END"
 
 
-def _dec(c: str, p: int = 12) -> Column:
-    return F.col(c).cast(f"decimal({p},2)")
+def _cents(c: str) -> Column:
+    """Whole hundredths; products of them are exact in doubles."""
+    return F.rint(F.col(c) * 100)
 
 
 class Tables:
@@ -76,7 +77,7 @@ def _trip_columns(li: DataFrame) -> DataFrame:
         F.expr("l_shipdate + l_quantity * INTERVAL '1' HOUR").alias("dropoff_datetime"),
         (F.col("l_quantity") / 10).alias("duration_days"),
         (F.col("l_quantity") * 10).alias("distance_km"),
-        (_dec("l_extendedprice") * (1 - _dec("l_discount", 4))).cast("double").alias("trip_fare"),
+        (_cents("l_extendedprice") * (100 - _cents("l_discount")) / 10_000).alias("trip_fare"),
         F.when(F.col("l_returnflag") == "R", "Cancelled").otherwise("Completed").alias("status"),
         (F.col("l_linestatus") == "F").alias("with_driver"),
     )
@@ -115,18 +116,18 @@ def _staged_lineitem(t: Tables) -> DataFrame:
 
 
 def _invoices(t: Tables) -> DataFrame:
-    total = _dec("o_totalprice")
+    total, zero = F.col("o_totalprice"), F.lit(0.0)
     status = F.col("o_orderstatus")
-    paid = F.when(status == "F", total * 2).when(status == "P", total).otherwise(total * 0) * F.lit(0.5).cast("decimal(2,1)")
-    owed = F.when(status == "F", total * 0).when(status == "P", total).otherwise(total * 2) * F.lit(0.5).cast("decimal(2,1)")
+    paid = F.when(status == "F", total).when(status == "P", total * 0.5).otherwise(zero)
+    owed = F.when(status == "F", zero).when(status == "P", total * 0.5).otherwise(total)
     return t["orders"].select(
         F.col("o_orderkey").alias("invoice_id"),
         F.col("o_custkey").alias("customer_id"),
         F.to_date("o_orderdate").alias("invoice_date"),
         F.date_add(F.to_date("o_orderdate"), 7).alias("due_date"),
         F.col("o_totalprice").alias("total_amount"),
-        paid.cast("double").alias("paid_amount"),
-        owed.cast("double").alias("outstanding"),
+        paid.alias("paid_amount"),
+        owed.alias("outstanding"),
         F.col("o_orderpriority").alias("payment_method"),
         F.when(status == "F", "Paid").when(status == "P", "Partial").otherwise("Unpaid").alias("payment_status"),
     )
@@ -146,13 +147,9 @@ def _fleet_of_driver(t: Tables) -> DataFrame:
 
 def _telematics(t: Tables) -> DataFrame:
     brake, accel, idle = F.col("event_id") % 3, F.col("event_id") % 2, F.col("event_id") % 60
-    penalty = (
-        brake * F.lit("1.5").cast("decimal(2,1)")
-        + accel
-        + idle * F.lit("0.05").cast("decimal(3,2)")
-        + _dec("value") * F.lit("0.15").cast("decimal(3,2)")
-    )
-    score = F.greatest(F.lit(0).cast("decimal(18,4)"), F.least(F.lit(100).cast("decimal(18,4)"), (100 - penalty).cast("decimal(18,4)")))
+    # in ten-thousandths of a point: 1.5, 1, 0.05 and 0.3 per half unit of value
+    penalty = brake * 15_000 + accel * 10_000 + idle * 500 + _cents("value") * 15
+    score = F.greatest(F.lit(0.0), F.least(F.lit(1_000_000.0), 1_000_000 - penalty)) / 10_000
     return t["events"].select(
         F.col("event_id").alias("telem_id"),
         F.col("user_id").alias("driver_id"),
@@ -161,7 +158,7 @@ def _telematics(t: Tables) -> DataFrame:
         accel.alias("harsh_accels"),
         idle.alias("idle_minutes"),
         (F.col("value") / 2).alias("speeding_km"),
-        score.cast("double").alias("safety_score"),
+        score.alias("safety_score"),
         (F.col("event_type") == "error").alias("accident"),
         (F.col("event_type") == "signup").alias("complaint"),
         (F.col("event_id") % 5 + 1).cast("bigint").alias("rating"),
@@ -213,7 +210,7 @@ def _maintenance_columns(li: DataFrame) -> DataFrame:
         F.col("l_suppkey").alias("driver_id"),
         F.concat("l_returnflag", "l_linestatus").alias("maintenance_type"),
         F.to_date("l_shipdate").alias("maintenance_date"),
-        (_dec("l_extendedprice") * _dec("l_tax", 4)).cast("double").alias("total_cost"),
+        (_cents("l_extendedprice") * _cents("l_tax") / 10_000).alias("total_cost"),
         F.when(F.col("l_linestatus") == "O", "Scheduled").otherwise("Completed").alias("status"),
         F.date_add(F.to_date("l_shipdate"), 90).alias("next_due_date"),
     )
@@ -237,7 +234,7 @@ def _fuel(t: Tables) -> DataFrame:
         F.col("l_quantity").alias("litres"),
         (F.col("l_quantity") * 10).alias("km_driven"),
         (F.floor(F.col("l_extendedprice") / F.col("l_quantity")) / 100).alias("efficiency"),
-        (_dec("l_extendedprice") * F.lit("0.1").cast("decimal(2,1)")).cast("double").alias("fuel_cost"),
+        (_cents("l_extendedprice") / 1_000).alias("fuel_cost"),
     )
 
 
@@ -247,7 +244,7 @@ def _opex(t: Tables) -> DataFrame:
         F.col("o_custkey").alias("customer_id"),
         F.trunc("o_orderdate", "month").alias("expense_month"),
         F.col("o_orderpriority").alias("category"),
-        (_dec("o_totalprice") * F.lit("0.05").cast("decimal(3,2)")).cast("double").alias("amount"),
+        (_cents("o_totalprice") * 5 / 10_000).alias("amount"),
     )
 
 

@@ -176,7 +176,7 @@ def _pnl_month_sql():
 
 def fleet_months(t):
     def per(df, member, fleet_view, date, amount, name):
-        small = df.groupBy(member, F.trunc(date, "month").alias("month")).agg(F.sum(fn.money(amount)).alias("_s"))
+        small = df.groupBy(member, F.trunc(date, "month").alias("month")).agg(fn.msum(amount).alias("_s"))
         return small.join(t[fleet_view], member).groupBy("fleet_id", "month").agg(F.sum("_s").cast("double").alias(name))
 
     return (

@@ -122,7 +122,7 @@ _PRIO = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
     f"SELECT {D('expense_month')} AS month, " + ", ".join(f"""{SI(f"category = '{c}'", 'amount')} AS \"{c}\"""" for c in _PRIO) + " FROM opex GROUP BY 1",
 )
 def _(t):
-    return pivot_sum(t["opex"], [F.col("expense_month").alias("month")], F.col("category"), _PRIO, fn.money("amount"))
+    return pivot_sum(t["opex"], [F.col("expense_month").alias("month")], F.col("category"), _PRIO, F.col("amount"))
 
 
 _OVER = f"GREATEST(0, DATE_DIFF('day', due_date, DATE '{AS_OF}'))"
@@ -539,7 +539,7 @@ def _(t):
     f"SELECT customer_type, {S('total_amount')} AS revenue, COUNT(DISTINCT customer_id) AS customers, {S('total_amount')} / COUNT(DISTINCT customer_id) AS avg_spend FROM invoices JOIN customers USING (customer_id) GROUP BY 1",
 )
 def _(t):
-    per = t["invoices"].groupBy("customer_id").agg(F.sum(fn.money("total_amount")).alias("s"))
+    per = t["invoices"].groupBy("customer_id").agg(fn.msum("total_amount").alias("s"))
     g = per.join(t["customers"], "customer_id").groupBy("customer_type").agg(F.sum("s").cast("double").alias("revenue"), rows().alias("customers"))
     return g.withColumn("avg_spend", ratio("revenue", "customers"))
 

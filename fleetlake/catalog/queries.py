@@ -144,7 +144,7 @@ def _(t):
     df = t["invoices"].withColumns(
         {"month_num": F.month("invoice_date").cast("bigint"), "month_name": F.date_format("invoice_date", "MMM")}
     )
-    return pivot_sum(df, ["month_num", "month_name"], F.year("invoice_date"), _YEARS, fn.money("total_amount"), "rev_")
+    return pivot_sum(df, ["month_num", "month_name"], F.year("invoice_date"), _YEARS, F.col("total_amount"), "rev_")
 
 
 _PROBS = {"p25": 0.25, "p50_median": 0.5, "p75": 0.75, "p90": 0.9, "p99": 0.99}
@@ -417,6 +417,7 @@ def _(t):
 )
 def _(t):
     m = t["staged_maintenance"].select("vehicle_id", "maint_id", "maintenance_date", "maintenance_type", "total_cost")
+    m = materialise(m, "staged-maintenance")
     run = scale.running(m, ["vehicle_id"], ["maintenance_date", "maint_id"], {"_c": fn.money("total_cost")})
     mean = m.groupBy("vehicle_id").agg(davg("total_cost").alias("avg_maint_cost"))
     dims = t["vehicles"].select("vehicle_id", "make", "model").join(mean, "vehicle_id")
@@ -625,10 +626,10 @@ def pnl_parts(t):
     """Revenue, fuel, maintenance and expenses per fleet, aggregated per member before any join."""
 
     def per_fleet(df, key, amount, map_view, name):
-        small = df.groupBy(key).agg(F.sum(fn.money(amount)).alias("_s")).join(t[map_view], key)
+        small = df.groupBy(key).agg(fn.msum(amount).alias("_s")).join(t[map_view], key)
         return small.groupBy("fleet_id").agg(F.sum("_s").cast("double").alias(name))
 
-    opex = t["opex"].groupBy("customer_id", "category").agg(F.sum(fn.money("amount")).cast("double").alias("amount"))
+    opex = t["opex"].groupBy("customer_id", "category").agg(fn.msum("amount").cast("double").alias("amount"))
     return (
         per_fleet(t["invoices"], "customer_id", "total_amount", "customer_fleet", "revenue"),
         per_fleet(t["fuel_logs"], "driver_id", "fuel_cost", "driver_fleet", "fuel_cost"),
@@ -678,7 +679,7 @@ def _(t):
 )
 def _(t):
     per = t["city_trips"].where(done()).groupBy("vehicle_id", "pickup_city").agg(
-        rows().alias("n"), F.sum(fn.money("trip_fare")).alias("fare"), F.sum(fn.money("duration_days")).alias("days")
+        rows().alias("n"), fn.msum("trip_fare").alias("fare"), fn.msum("duration_days").alias("days")
     )
     a = per.join(t["vehicles"].select("vehicle_id", "category"), "vehicle_id").groupBy("category", "pickup_city").agg(
         F.sum("n").alias("trip_count"), ratio(F.sum("fare"), F.sum("days")).alias("avg_actual_rate")
@@ -701,6 +702,7 @@ def _(t):
 
 def downtime(t):
     trips = t["staged_trips"].where(done()).select("vehicle_id", "trip_id", "pickup_datetime", "dropoff_datetime")
+    trips = materialise(trips, "staged-trips")
     df = scale.bounded(trips, ["vehicle_id"], ["pickup_datetime", "trip_id"], {"next_pickup": lambda w: F.lead("pickup_datetime").over(w)}, before=0, after=1)
     df = df.where(F.col("next_pickup").isNotNull()).withColumn("idle_hours", fn.hours_between("dropoff_datetime", "next_pickup"))
     h = F.col("idle_hours")
@@ -745,9 +747,9 @@ def _(t):
         FROM vehicles LEFT JOIN tr USING (vehicle_id) LEFT JOIN fu USING (vehicle_id) LEFT JOIN ma USING (vehicle_id) GROUP BY 1""",
 )
 def _(t):
-    tr = t["trips"].where(done()).groupBy("vehicle_id").agg(rows().alias("n"), F.sum(fn.money("trip_fare")).alias("fare"), F.sum(fn.money("distance_km")).alias("km"))
-    fu = t["fuel_logs"].groupBy("vehicle_id").agg(F.sum(fn.money("efficiency")).alias("eff"), rows().alias("fills"))
-    ma = t["maintenance"].groupBy("vehicle_id").agg(F.sum(fn.money("total_cost")).alias("cost"))
+    tr = t["trips"].where(done()).groupBy("vehicle_id").agg(rows().alias("n"), fn.msum("trip_fare").alias("fare"), fn.msum("distance_km").alias("km"))
+    fu = t["fuel_logs"].groupBy("vehicle_id").agg(fn.msum("efficiency").alias("eff"), rows().alias("fills"))
+    ma = t["maintenance"].groupBy("vehicle_id").agg(fn.msum("total_cost").alias("cost"))
     df = joins.preaggregated(t["vehicles"].select("vehicle_id", "category"), "vehicle_id", [tr, fu, ma])
     return df.groupBy("category").agg(
         rows().alias("vehicle_count"), F.sum("n").alias("total_trips"), F.sum("fare").cast("double").alias("total_revenue"), ratio(F.sum("fare"), F.sum("n")).alias("avg_fare"),
@@ -775,7 +777,7 @@ def _(t):
 )
 def _(t):
     # customers belong to one type and city, so counting them once per cell is exact
-    per = t["invoices"].groupBy("customer_id").agg(rows().alias("n"), F.sum(fn.money("total_amount")).alias("s"))
+    per = t["invoices"].groupBy("customer_id").agg(rows().alias("n"), fn.msum("total_amount").alias("s"))
     base = per.join(t["customers"], "customer_id").groupBy("customer_type", "city").agg(rows().alias("c"), F.sum("n").alias("n"), F.sum("s").alias("s"))
     sets = [[F.col("customer_type"), F.col("city")], [F.col("customer_type")], [F.col("city")], []]
     return base.groupingSets(sets, "customer_type", "city").agg(
@@ -946,7 +948,7 @@ def scorecard(t):
 )
 def _(t):
     f = t["fuel_logs"].where(F.col("efficiency").between(3, 35)).groupBy("vehicle_id", "fuel_type").agg(
-        rows().alias("n"), F.sum(fn.money("efficiency")).alias("e"), F.sum(fn.money("fuel_cost")).alias("c"), F.sum(fn.money("km_driven")).alias("k")
+        rows().alias("n"), fn.msum("efficiency").alias("e"), fn.msum("fuel_cost").alias("c"), fn.msum("km_driven").alias("k")
     )
     v = t["vehicles"].select("vehicle_id", F.concat_ws(" ", "make", "model").alias("vehicle"))
     return f.join(v, "vehicle_id").groupBy("vehicle", "fuel_type").agg(
@@ -960,7 +962,7 @@ def _(t):
         FROM maintenance JOIN vehicles USING (vehicle_id) GROUP BY 1""",
 )
 def _(t):
-    m = t["maintenance"].groupBy("vehicle_id", "maintenance_type").agg(rows().alias("n"), F.sum(fn.money("total_cost")).alias("c"))
+    m = t["maintenance"].groupBy("vehicle_id", "maintenance_type").agg(rows().alias("n"), fn.msum("total_cost").alias("c"))
     df = m.join(t["vehicles"].select("vehicle_id", "make"), "vehicle_id")
     totals = df.groupBy("make").agg(F.sum("n").alias("services"), F.sum("c").cast("double").alias("total_cost"), ratio(F.sum("c"), F.sum("n")).alias("avg_cost"))
     return totals.join(distinct_list(df, ["make"], "maintenance_type", "types"), "make")

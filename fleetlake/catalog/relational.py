@@ -367,7 +367,7 @@ def _(t):
 def _(t):
     v = t["vehicles"].select("vehicle_id", "category")
     per_vehicle = t["trips"].groupBy("vehicle_id").agg(
-        rows().alias("trips"), F.sum(fn.money("trip_fare")).alias("fare"), F.sum(fn.money("duration_days")).alias("days")
+        rows().alias("trips"), fn.msum("trip_fare").alias("fare"), fn.msum("duration_days").alias("days")
     )
     a = per_vehicle.join(v, "vehicle_id").groupBy("category").agg(
         F.sum("trips").alias("trips"), ratio(F.sum("fare"), F.sum("days")).alias("actual")
@@ -432,7 +432,7 @@ def _(t):
 )
 def _(t):
     base = t["orders"].groupBy(F.year("o_orderdate").alias("y"), F.month("o_orderdate").alias("m")).agg(
-        rows().alias("n"), F.sum(fn.money("o_totalprice")).alias("s")
+        rows().alias("n"), fn.msum("o_totalprice").alias("s")
     )
     out = base.rollup("y", "m").agg(
         F.sum("n").alias("n"), F.sum("s").cast("double").alias("total"), F.grouping("y").alias("gy"), F.grouping("m").alias("gm")
@@ -452,7 +452,7 @@ def _(t):
 )
 def _(t):
     # finest level first, so the cube multiplies a handful of rows and not the table
-    base = t["orders"].groupBy("o_orderstatus", "o_orderpriority").agg(rows().alias("n"), F.sum(fn.money("o_totalprice")).alias("s"))
+    base = t["orders"].groupBy("o_orderstatus", "o_orderpriority").agg(rows().alias("n"), fn.msum("o_totalprice").alias("s"))
     return base.cube("o_orderstatus", "o_orderpriority").agg(
         F.grouping("o_orderstatus").cast("int").alias("all_status"),
         F.grouping("o_orderpriority").cast("int").alias("all_priority"),
@@ -467,7 +467,7 @@ def _(t):
         GROUP BY GROUPING SETS ((customer_type, city), (customer_type), (city), ())""",
 )
 def _(t):
-    per_customer = t["invoices"].groupBy("customer_id").agg(rows().alias("n"), F.sum(fn.money("total_amount")).alias("s"))
+    per_customer = t["invoices"].groupBy("customer_id").agg(rows().alias("n"), fn.msum("total_amount").alias("s"))
     base = per_customer.join(t["customers"], "customer_id").groupBy("customer_type", "city").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
     levels = [["customer_type", "city"], ["customer_type"], ["city"], []]
     return base.groupingSets([[F.col(c) for c in level] for level in levels], "customer_type", "city").agg(
@@ -519,7 +519,7 @@ YEARS = list(range(1995, 2002))
 )
 def _(t):
     df = t["orders"].withColumn("month_num", F.month("o_orderdate").cast("bigint"))
-    return agg.pivot_sum(df, ["month_num"], F.year("o_orderdate"), YEARS, fn.money("o_totalprice"), "rev_")
+    return agg.pivot_sum(df, ["month_num"], F.year("o_orderdate"), YEARS, F.col("o_totalprice"), "rev_")
 
 
 @query(

@@ -11,6 +11,7 @@ from fleetlake.functions.scalar import dsum, rows
 from fleetlake.models import features, forecast, stats, training
 from fleetlake.plans.customers import rfm_raw
 from fleetlake.quality import profile
+from fleetlake.session import materialise
 
 # trees in the registered runs; the library defaults are larger
 TREES = 20
@@ -91,6 +92,11 @@ def _(t):
     return features.demand(t["city_trips"], "pickup_datetime", "pickup_city")
 
 
+def maintenance_frame(t):
+    staged = materialise(t["staged_maintenance"].select("maint_id", "vehicle_id", "maintenance_date", "maintenance_type"), "staged-maintenance")
+    return features.maintenance(staged, t["vehicles"], 2001)
+
+
 @query(
     "feat_maint",
     """SELECT maint_id, vehicle_id, 2001 - year AS vehicle_age, odometer_km, COALESCE(DATE_DIFF('day', LAG(maintenance_date) OVER w, maintenance_date), 90) AS days_since_last, maintenance_type,
@@ -98,7 +104,7 @@ def _(t):
         WINDOW w AS (PARTITION BY vehicle_id ORDER BY maintenance_date, maint_id)""",
 )
 def _(t):
-    return features.maintenance(t["staged_maintenance"], t["vehicles"], 2001)
+    return maintenance_frame(t)
 
 
 def pricing_frame(t):
@@ -140,7 +146,7 @@ def _(t):
 
 @query("maintenance_model")
 def _(t):
-    _, scored = training.train_maintenance(features.maintenance(t["staged_maintenance"], t["vehicles"], 2001), trees=TREES)
+    _, scored = training.train_maintenance(maintenance_frame(t), trees=TREES)
     risky = training.at_risk(scored, 0.5)
     return risky.groupBy("vehicle_id").agg(F.max("risk").alias("risk"), rows().alias("services"))
 

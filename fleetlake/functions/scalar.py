@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -10,15 +11,21 @@ from pyspark.sql import functions as F
 from fleetlake.constants import EARTH_RADIUS_KM
 
 MONEY = "decimal(18,4)"
+UNITS = 10_000  # money is counted in ten-thousandths
+_LOW_BITS = 20
 
 
 def as_col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _units(c: Column | str) -> Column:
+    return F.rint(as_col(c) * UNITS).cast("bigint")
+
+
 def money(c: Column | str) -> Column:
     """Fixed-point value: sums of it do not depend on partition order."""
-    return as_col(c).cast(MONEY)
+    return (_units(c).cast("decimal(18,0)") * F.lit(Decimal("0.0001"))).cast(MONEY)
 
 
 def rows() -> Column:
@@ -26,14 +33,27 @@ def rows() -> Column:
     return F.count(F.lit(1))
 
 
+def msum(c: Column | str) -> Column:
+    """Order-independent sum as a decimal.
+
+    Two long sums, of the high and the low bits, stay in generated code and cannot
+    overflow below 2**43 rows; only the result is put together as a decimal.
+    """
+    u = _units(c)
+    high = F.sum(F.shiftright(u, _LOW_BITS)).cast("decimal(20,0)")
+    low = F.sum(u.bitwiseAND(F.lit((1 << _LOW_BITS) - 1))).cast("decimal(20,0)")
+    whole = high * F.lit(Decimal(1 << _LOW_BITS)) + low
+    return (whole * F.lit(Decimal("0.0001"))).cast("decimal(32,4)")
+
+
 def dsum(c: Column | str) -> Column:
     """Order-independent sum of a double column, as a double."""
-    return F.sum(money(c)).cast("double")
+    return msum(c).cast("double")
 
 
 def davg(c: Column | str) -> Column:
     """Order-independent mean of a double column, as a double (NULL for no rows)."""
-    return F.try_divide(F.sum(money(c)).cast("double"), F.count(as_col(c)).cast("double"))
+    return F.try_divide(dsum(c), F.count(as_col(c)).cast("double"))
 
 
 def ratio(a: Column | str, b: Column | str) -> Column:
@@ -53,7 +73,7 @@ def count_if(pred: Column) -> Column:
 
 def sum_if(pred: Column, value: Column | str) -> Column:
     """Exact sum of ``value`` over rows where ``pred`` holds; 0 when there are none."""
-    return F.coalesce(F.sum(F.when(pred, money(value))).cast("double"), F.lit(0.0))
+    return F.coalesce(dsum(F.when(pred, as_col(value))), F.lit(0.0))
 
 
 def zero(c: Column | str) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetlake.functions.scalar import davg, dsum, money, pct, ratio
+from fleetlake.functions.scalar import davg, dsum, pct, ratio, sum_if
 from fleetlake.operators import scale
 
 
@@ -27,7 +27,7 @@ def basic_stats(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
 def pivot_sum(df: DataFrame, rows: Sequence[str], column: Column, values: Sequence, measure: Column, prefix: str = "") -> DataFrame:
     """Sum of ``measure`` per row group with one output column per listed value, zeros filled."""
     cols = [
-        F.coalesce(F.sum(F.when(column == F.lit(v), measure)).cast("double"), F.lit(0.0)).alias(f"{prefix}{v}") for v in values
+        sum_if(column == F.lit(v), measure).alias(f"{prefix}{v}") for v in values
     ]
     return df.groupBy(*rows).agg(*cols)
 
@@ -45,7 +45,7 @@ def value_counts(df: DataFrame, column: str, name: str = "row_count") -> DataFra
 
 def share_of_total(df: DataFrame, value: str, name: str) -> DataFrame:
     """``value`` as a percentage of its total over all rows."""
-    total = df.agg(F.sum(money(value)).cast("double")).scalar()
+    total = df.agg(dsum(value)).scalar()
     return df.withColumn(name, pct(F.col(value), total))
 
 

@@ -317,7 +317,8 @@ def percentiles(
     data = df.where(F.col(value).isNotNull())
     split = Split(data, keys, [value], hot_rows)
     if split.small:
-        return df.groupBy(*keys).agg(*[F.percentile(value, F.lit(p)).alias(name) for name, p in probs.items()])
+        one = df.groupBy(*keys).agg(F.percentile(value, F.lit(list(probs.values()))).alias("_q"))
+        return one.select(*keys, *[F.get("_q", F.lit(i)).alias(name) for i, name in enumerate(probs)])
     per_value = data.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_ties"))
     ranked = running(per_value, keys, [value], {"_upto": F.col("_ties")}, split.hot_rows)
     ranked = _with_group_size(ranked, keys, data, split.total)

@@ -109,6 +109,7 @@ def lineage(edges: DataFrame, start: DataFrame, downstream: bool = True, max_dep
     """
     a, b = ("source", "target") if downstream else ("target", "source")
     links = edges.select(F.col(a).alias("node"), F.col(b).alias("next")).distinct()
+    links = materialise(links, "lineage-edges")  # read once per level
     spark, root = edges.sparkSession, scratch_path(edges.sparkSession, "lineage")
     frontier = start.select("node").distinct().withColumn("depth", F.lit(0))
     frontier.write.parquet(f"{root}/level=0")
