@@ -154,7 +154,7 @@ def _(t):
 def _(t):
     log = checks.issue_log(shipped(t), "lineitem", F.concat_ws("/", "l_orderkey", "l_linenumber"), _checks())
     path = scratch_path(t.spark, "dq_issues")
-    log.write.partitionBy("check_name").parquet(path)
+    log.hint("rebalance", "check_name").write.partitionBy("check_name").parquet(path)
     stored = t.spark.read.parquet(path)
     return stored.groupBy("table_name", "check_name").agg(rows().alias("n"), F.count_distinct("row_key").alias("keys"))
 

@@ -14,7 +14,7 @@ from fleetlake.functions.scalar import dsum, month_start
 BAND = 0.15
 MIN_MONTHS = 12
 _GRID = (0.1, 0.3, 0.6, 0.9)
-_DAMPING = (0.8, 0.9, 0.98)
+_DAMPING = (0.8, 0.9, 0.98, 0.995)
 
 
 def smooth(y: np.ndarray, period: int, alpha: float, beta: float, gamma: float, phi: float, horizon: int) -> tuple[float, np.ndarray]:

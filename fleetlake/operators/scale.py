@@ -340,34 +340,3 @@ def percentiles(
         finish.append((lo * (F.lit(1.0) - frac) + hi * frac).alias(name))
     out = ranked.groupBy(*keys).agg(*parts).select(*keys, *finish)
     return same_key_join(df.select(*keys).distinct(), out, keys, "left") if keys else out
-
-
-def salted_join(
-    large: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inner", hot_rows: int | None = None
-) -> DataFrame:
-    """Equi-join that spreads the hot keys of ``large`` over many tasks.
-
-    Hot keys (their number is bounded) get a salt on the large side and as many copies
-    on the small side; all other rows join once.
-    """
-    if how not in ("inner", "left", "left_semi", "left_anti"):
-        raise ValueError("only joins that keep the large side")
-    hot_rows = hot_rows or hot_rows_limit(large)
-    counts = large.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    seen = counts.agg(F.max("_n").alias("top"), F.sum("_n").alias("total")).first()
-    if (seen["top"] or 0) <= hot_rows:
-        return large.join(small, list(keys), how)
-    limit = max(hot_rows, seen["total"] // MAX_HOT_GROUPS)
-    hot = counts.where(F.col("_n") > limit).select(*keys, F.lit(True).alias("_hot"))
-    salts = int(min(MAX_RANGES, -(-seen["top"] // hot_rows)))
-    hot = F.broadcast(hot)
-    others = [c for c in large.columns if c not in keys] or list(keys)
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*others), F.lit(salts))).otherwise(F.lit(0))
-    left = large.join(hot, list(keys), "left").withColumn("_s", salt.cast("bigint")).drop("_hot")
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    right = (
-        small.join(hot, list(keys), "left")
-        .withColumn("_s", F.explode(copies).cast("bigint"))
-        .drop("_hot")
-    )
-    return left.join(right, [*keys, "_s"], how).drop("_s")

@@ -72,8 +72,11 @@ def after_watermark(df: DataFrame, ts: str, state: DataFrame, table: str) -> Dat
 
 
 def write_months(df: DataFrame, path: str, date: str) -> None:
-    """Write partitioned by month; only the months present are replaced."""
-    out = df.withColumn("month_key", F.date_format(date, "yyyy-MM"))
+    """Write partitioned by month; only the months present are replaced.
+
+    The rebalance hint gathers each month into few files and still splits a large one.
+    """
+    out = df.withColumn("month_key", F.date_format(date, "yyyy-MM")).hint("rebalance", "month_key")
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month_key").parquet(path)
 
 
