@@ -108,6 +108,26 @@ def _(t):
     return vehicle_dim(t)
 
 
+@query(
+    "dim_driver",
+    """SELECT driver_id, full_name, profile, fleet_id, ROW_NUMBER() OVER (ORDER BY driver_id) AS driver_key FROM drivers JOIN driver_fleet USING (driver_id)
+        UNION ALL SELECT -1, 'Unknown', 'Unknown', NULL, -1""",
+)
+def _(t):
+    return driver_dim(t)
+
+
+@query(
+    "dim_location",
+    """SELECT n_nationkey AS location_id, n_name AS city, r_name AS fleet_name, ROW_NUMBER() OVER (ORDER BY n_nationkey) AS location_key FROM nation JOIN region ON n_regionkey = r_regionkey
+        UNION ALL SELECT -1, 'Unknown', 'Unknown', -1""",
+)
+def _(t):
+    places = t["nation"].join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"))
+    places = places.select(F.col("n_nationkey").alias("location_id"), F.col("n_name").alias("city"), F.col("r_name").alias("fleet_name"))
+    return dims.with_surrogate_keys(places, "location_id", "location_key", {"location_id": -1, "city": "Unknown", "fleet_name": "Unknown"})
+
+
 # --- facts and marts ---
 
 
@@ -154,6 +174,34 @@ def _(t):
     return marts.fact_telematics(t["telematics"])
 
 
+@query(
+    "fact_payments",
+    f"""SELECT invoice_id, customer_id, {_KEY.format(c='invoice_date')} AS date_key, payment_method, paid_amount, outstanding = 0 AS settles_invoice FROM invoices WHERE paid_amount > 0""",
+)
+def _(t):
+    return marts.fact_payments(t["invoices"])
+
+
+_VK = "(SELECT vehicle_id, ROW_NUMBER() OVER (ORDER BY vehicle_id) AS vehicle_key FROM vehicles)"
+
+
+@query(
+    "fact_fuel",
+    f"""SELECT fuel_id, vehicle_key, {_KEY.format(c='fill_date')} AS date_key, fuel_type, litres, km_driven, fuel_cost, fuel_cost / litres AS cost_per_litre FROM fuel_logs JOIN {_VK} USING (vehicle_id)""",
+)
+def _(t):
+    return marts.fact_fuel(t["fuel_logs"], vehicle_dim(t))
+
+
+@query(
+    "fact_maintenance",
+    f"""SELECT maint_id, vehicle_key, {_KEY.format(c='maintenance_date')} AS date_key, {_KEY.format(c='next_due_date')} AS due_date_key, maintenance_type, total_cost, status = 'Scheduled' AS is_scheduled
+        FROM maintenance JOIN {_VK} USING (vehicle_id)""",
+)
+def _(t):
+    return marts.fact_maintenance(t["maintenance"], vehicle_dim(t))
+
+
 @query(
     "mart_daily_revenue",
     f"SELECT date_key, COUNT(*) AS trips, {CI('is_cancelled')} AS cancelled, {SI('is_completed', 'trip_fare')} AS revenue FROM {_FACT} GROUP BY 1",
@@ -331,9 +379,9 @@ def _(t):
     return union_all(load.input_inventory(t["lineitem"]), load.input_inventory(t["orders"])).drop("file_size")
 
 
-@query("archive_manifest")
+@query("archive_manifest", "SELECT 'events.parquet' AS file_name, COUNT(*) AS row_count, 'parquet' AS kind, 'run-1' AS run_id, 'processed' AS state FROM events")
 def _(t):
-    return load.run_manifest(t["events"], "run-1")
+    return load.run_manifest(t["events"], "run-1").drop("file_size")
 
 
 def lineage_edges(t):

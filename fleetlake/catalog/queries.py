@@ -11,7 +11,7 @@ from fleetlake.functions import scalar as fn
 from fleetlake.functions.scalar import count_if, davg, dsum, pct, ratio, rows, sum_if, zero, zero_int
 from fleetlake.operators import joins, scale, windows
 from fleetlake.operators.aggregates import distinct_list, grid, pivot_sum, share_of_total
-from fleetlake.operators.sets import dedup_latest, union_all
+from fleetlake.operators.sets import sample_rows, union_all
 from fleetlake.plans import customers, finance
 from fleetlake.session import materialise
 
@@ -856,12 +856,17 @@ def _(t):
     return df.orderBy(F.col("insurance_days_overdue").desc_nulls_last(), "vehicle_id").limit(60)
 
 
-_REG = f"""SELECT trip_id, category, booking_type, distance_km, duration_days, trip_fare, trip_fare / NULLIF(distance_km, 0) AS fare_per_km, trip_fare / NULLIF(duration_days, 0) AS fare_per_day, with_driver
-    FROM booked_trips JOIN vehicles USING (vehicle_id) WHERE booked_trips.status = 'Completed' AND distance_km > 0 AND duration_days > 0"""
+def _regression_sql(trips):
+    return f"""SELECT trip_id, category, booking_type, distance_km, duration_days, trip_fare, trip_fare / NULLIF(distance_km, 0) AS fare_per_km, trip_fare / NULLIF(duration_days, 0) AS fare_per_day, with_driver
+        FROM {trips} b JOIN vehicles USING (vehicle_id) WHERE b.status = 'Completed' AND distance_km > 0 AND duration_days > 0"""
 
 
-def regression_frame(t):
-    trips = t["booked_trips"].where(done() & (F.col("distance_km") > 0) & (F.col("duration_days") > 0))
+_REG = _regression_sql("booked_trips")
+_STAGED_BOOKED = "(SELECT tr.*, o_orderpriority AS booking_type FROM staged_trips tr JOIN orders ON l_orderkey = o_orderkey)"
+
+
+def regression_frame(t, trips=None):
+    trips = (t["booked_trips"] if trips is None else trips).where(done() & (F.col("distance_km") > 0) & (F.col("duration_days") > 0))
     df = trips.join(t["vehicles"].select("vehicle_id", "category"), "vehicle_id")
     return df.select(
         "trip_id", "category", "booking_type", "distance_km", "duration_days", "trip_fare", ratio("trip_fare", "distance_km").alias("fare_per_km"),
@@ -874,10 +879,13 @@ def _(t):
     return regression_frame(t)
 
 
-@query("q48_regression_sample")
+@query(
+    "q48_regression_sample",
+    f"SELECT * FROM ({_regression_sql(_STAGED_BOOKED)}) ORDER BY MD5(CAST(trip_id AS VARCHAR) || ':42'), trip_id LIMIT 500",
+)
 def _(t):
-    df = regression_frame(t)
-    return df.orderBy(F.xxhash64("trip_id", F.lit(42)), "trip_id", "trip_fare", "category").limit(500)
+    o = t["orders"].select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderpriority").alias("booking_type"))
+    return sample_rows(regression_frame(t, t["staged_trips"].join(o, "l_orderkey")), ["trip_id"], 500, 42)
 
 
 @query(

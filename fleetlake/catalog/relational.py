@@ -655,10 +655,9 @@ def _(t):
     return df.orderBy(F.col("last_trip").desc_nulls_first(), "vehicle_id").limit(100)
 
 
-@query("sample_fixed")
+@query("sample_fixed", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY MD5(CAST(o_orderkey AS VARCHAR) || ':42'), o_orderkey LIMIT 500")
 def _(t):
-    seeded = F.xxhash64("o_orderkey", F.lit(42))
-    return t["orders"].orderBy(seeded, "o_orderkey").limit(500).select("o_orderkey", "o_totalprice")
+    return sets.sample_rows(t["orders"].select("o_orderkey", "o_totalprice"), ["o_orderkey"], 500, 42)
 
 
 @query(

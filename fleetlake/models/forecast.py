@@ -19,8 +19,9 @@ _DAMPING = (0.8, 0.9, 0.98, 0.995)
 
 def smooth(y: np.ndarray, period: int, alpha: float, beta: float, gamma: float, phi: float, horizon: int) -> tuple[float, np.ndarray]:
     """Squared one-step error and forecast of one parameter choice."""
-    level, trend = float(y[:period].mean()), float((y[period : 2 * period].mean() - y[:period].mean()) / period)
-    season = list(y[:period] - level)
+    mean, trend = float(y[:period].mean()), float((y[period : 2 * period].mean() - y[:period].mean()) / period)
+    line = mean + trend * (np.arange(period) - (period - 1) / 2)
+    season, level = list(y[:period] - line), float(line[-1])
     error = 0.0
     for i in range(period, len(y)):
         s, base = season[i % period], level + phi * trend

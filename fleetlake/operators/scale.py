@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 DEFAULT_HOT_ROWS = 2_000_000
 MAX_HOT_GROUPS = 1_000
-MAX_RANGES = 1_000
+MAX_RANGES = 2_000
 
 
 def hot_rows_limit(df: DataFrame) -> int:

@@ -47,3 +47,9 @@ def upsert(target: DataFrame, delta: DataFrame, keys: Sequence[str]) -> DataFram
 def duplicate_groups(df: DataFrame, keys: Sequence[str], name: str = "copies") -> DataFrame:
     """Keys that occur more than once, with their count."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name)).where(F.col(name) > 1)
+
+
+def sample_rows(df: DataFrame, keys: Sequence[str], n: int, seed: int) -> DataFrame:
+    """``n`` rows in the order of a seeded hash of the key: the same rows on every run."""
+    stamp = F.md5(F.concat_ws(":", *keys, F.lit(str(seed))))
+    return df.withColumn("_h", stamp).orderBy("_h", *keys).limit(n).drop("_h")

@@ -50,13 +50,13 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local-master session may fall back to a machine-local folder.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("fleetlake.sharedDir", None)
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     folder = tempfile.mkdtemp(prefix="fleetlake-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", folder)
+    spark.conf.set("fleetlake.sharedDir", folder)
     return folder
 
 

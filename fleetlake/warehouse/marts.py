@@ -40,6 +40,31 @@ def fact_telematics(tel: DataFrame) -> DataFrame:
     )
 
 
+def fact_payments(invoices: DataFrame) -> DataFrame:
+    """One row per invoice on which something was paid."""
+    paid = invoices.where(F.col("paid_amount") > 0)
+    return paid.select(
+        "invoice_id", "customer_id", dims.date_key("invoice_date").alias("date_key"), "payment_method", "paid_amount", (F.col("outstanding") == 0).alias("settles_invoice")
+    )
+
+
+def fact_fuel(fuel: DataFrame, vehicle_dim: DataFrame) -> DataFrame:
+    """Fuel facts with vehicle key and unit cost."""
+    df = dims.lookup(fuel, vehicle_dim, "vehicle_id", "vehicle_key")
+    return df.select(
+        "fuel_id", "vehicle_key", dims.date_key("fill_date").alias("date_key"), "fuel_type", "litres", "km_driven", "fuel_cost", ratio("fuel_cost", "litres").alias("cost_per_litre")
+    )
+
+
+def fact_maintenance(maint: DataFrame, vehicle_dim: DataFrame) -> DataFrame:
+    """Service facts with vehicle key and due date key."""
+    df = dims.lookup(maint, vehicle_dim, "vehicle_id", "vehicle_key")
+    return df.select(
+        "maint_id", "vehicle_key", dims.date_key("maintenance_date").alias("date_key"), dims.date_key("next_due_date").alias("due_date_key"), "maintenance_type", "total_cost",
+        (F.col("status") == "Scheduled").alias("is_scheduled"),
+    )
+
+
 def daily_revenue(facts: DataFrame) -> DataFrame:
     """Trips, cancellations and revenue per day."""
     return facts.groupBy("date_key").agg(
