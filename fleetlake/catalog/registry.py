@@ -62,9 +62,20 @@ def portable(df: DataFrame) -> DataFrame:
     )
 
 
+_OPEN: dict[tuple[str, int, str], Tables] = {}
+
+
+def open_tables(spark: SparkSession, root: str) -> Tables:
+    """The tables of a folder, opened once per session: plans are shared, no data is kept."""
+    key = (spark.sparkContext.applicationId, id(spark), root)
+    if key not in _OPEN:
+        _OPEN[key] = Tables(spark, root)
+    return _OPEN[key]
+
+
 def bind(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return portable(QUERIES[name](Tables(spark, sf_dir)))
+        return portable(QUERIES[name](open_tables(spark, sf_dir)))
 
     run.__name__ = name
     return run

@@ -8,14 +8,21 @@ from pyspark.sql import types as T
 
 from fleetlake.functions.scalar import count_if, pct, rows
 from fleetlake.operators import aggregates
-from fleetlake.operators.sets import top_n_per_group
+from fleetlake.operators.sets import top_n_per_group, union_all
+
+
+def value_frequencies(df: DataFrame, column: str) -> DataFrame:
+    """``column_name, value, n`` for the non-NULL values of one column."""
+    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(rows().alias("n"))
+    return counts.select(F.lit(column).alias("column_name"), F.col(column).cast("string").alias("value"), "n")
 
 
 def profile_columns(df: DataFrame, top: int = 3, approximate: bool = False) -> DataFrame:
     """Per column: nulls, distinct values, numeric minimum/maximum/mean, most frequent values, grade.
 
-    The columns are stacked as (column, value) and counted per value, so hot values
-    collapse before the shuffle. ``approximate`` replaces the value counts by sketches
+    Each column is counted per value in its own type and its own column-pruned scan, so
+    hot values collapse before the shuffle. ``df`` should be a stored table; write the
+    result of a join first. ``approximate`` replaces the value counts by sketches
     and leaves out the most frequent values.
     """
     numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
@@ -41,8 +48,7 @@ def profile_columns(df: DataFrame, top: int = 3, approximate: bool = False) -> D
         cells.append(F.struct(*cell))
     out = one.select(F.inline(F.array(*cells)))
     if not approximate:
-        text = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns]).unpivot([], df.columns, "column_name", "value")
-        counts = text.where(F.col("value").isNotNull()).groupBy("column_name", "value").agg(rows().alias("n"))
+        counts = union_all(*[value_frequencies(df, c) for c in df.columns])
         distinct = counts.groupBy("column_name").agg(rows().alias("distinct_values"))
         best = top_n_per_group(counts, ["column_name"], ["-n", "value"], top)
         label = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("rn", "value", "n"))), lambda x: F.concat(x["value"], F.lit(" ("), x["n"], F.lit(")"))), ", ")

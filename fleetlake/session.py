@@ -39,6 +39,8 @@ def local_session(app: str = "fleetlake", cores: str = "*", partitions: int = 8)
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="fleetlake-", dir="/tmp"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # call sites of column expressions are only needed while debugging
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
