@@ -8,13 +8,13 @@ from pyspark.sql import types as T
 
 from fleetlake.functions.scalar import count_if, pct, rows
 from fleetlake.operators import aggregates
-from fleetlake.operators.sets import top_n_per_group, union_all
+from fleetlake.operators.sets import union_all
 
 
 def value_frequencies(df: DataFrame, column: str) -> DataFrame:
-    """``column_name, value, n`` for the non-NULL values of one column."""
+    """``value, n`` for the non-NULL values of one column, the value as text."""
     counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(rows().alias("n"))
-    return counts.select(F.lit(column).alias("column_name"), F.col(column).cast("string").alias("value"), "n")
+    return counts.select(F.col(column).cast("string").alias("value"), "n")
 
 
 def profile_columns(df: DataFrame, top: int = 3, approximate: bool = False) -> DataFrame:
@@ -48,11 +48,14 @@ def profile_columns(df: DataFrame, top: int = 3, approximate: bool = False) -> D
         cells.append(F.struct(*cell))
     out = one.select(F.inline(F.array(*cells)))
     if not approximate:
-        counts = union_all(*[value_frequencies(df, c) for c in df.columns])
-        distinct = counts.groupBy("column_name").agg(rows().alias("distinct_values"))
-        best = top_n_per_group(counts, ["column_name"], ["-n", "value"], top)
-        label = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("rn", "value", "n"))), lambda x: F.concat(x["value"], F.lit(" ("), x["n"], F.lit(")"))), ", ")
-        out = out.join(distinct, "column_name", "left").join(best.groupBy("column_name").agg(label.alias("top_values")), "column_name", "left")
+        label = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("k"), "value", "n"))), lambda x: F.concat(x["value"], F.lit(" ("), x["n"], F.lit(")"))), ", ")
+        distinct, best = [], []
+        for c in df.columns:
+            counts = value_frequencies(df, c)
+            distinct.append(counts.agg(rows().alias("distinct_values")).select(F.lit(c).alias("column_name"), "distinct_values"))
+            first = counts.orderBy(F.desc("n"), "value").limit(top)  # a few rows per column
+            best.append(first.agg(label.alias("top_values")).select(F.lit(c).alias("column_name"), "top_values"))
+        out = out.join(union_all(*distinct), "column_name", "left").join(union_all(*best), "column_name", "left")
         out = out.withColumn("distinct_values", F.coalesce("distinct_values", F.lit(0)))
     null_pct = F.coalesce(pct("nulls", "row_count"), F.lit(0.0))
     grade = F.when(null_pct <= 1, "Good").when(null_pct <= 5, "Acceptable").otherwise("Bad")
