@@ -20,12 +20,16 @@ def as_col(c: Column | str) -> Column:
 
 
 def _units(c: Column | str) -> Column:
-    return F.rint(as_col(c) * UNITS).cast("bigint")
+    """Ten-thousandths; NULL for NaN, infinities and single values beyond 9e14."""
+    return F.rint(as_col(c) * UNITS).try_cast("bigint")
 
 
 def money(c: Column | str) -> Column:
-    """Fixed-point value: sums of it do not depend on partition order."""
-    return (_units(c).cast("decimal(18,0)") * F.lit(Decimal("0.0001"))).cast(MONEY)
+    """Fixed-point value of a single amount: sums of it do not depend on partition order.
+
+    For columns that hold totals use ``wide_money``.
+    """
+    return (_units(c).try_cast("decimal(18,0)") * F.lit(Decimal("0.0001"))).cast(MONEY)
 
 
 def rows() -> Column:
@@ -46,6 +50,16 @@ def msum(c: Column | str) -> Column:
     return (whole * F.lit(Decimal("0.0001"))).cast("decimal(32,4)")
 
 
+def wide_money(c: Column | str) -> Column:
+    """Fixed-point value with room for totals of totals (up to 1e26); NULL for NaN and infinities."""
+    return (F.rint(as_col(c).cast("double") * UNITS).try_cast("decimal(30,0)") * F.lit(Decimal("0.0001"))).cast("decimal(34,4)")
+
+
+def wide_sum(c: Column | str) -> Column:
+    """Order-independent sum of a column that already holds totals, as a double."""
+    return F.sum(wide_money(c)).cast("double")
+
+
 def dsum(c: Column | str) -> Column:
     """Order-independent sum of a double column, as a double."""
     return msum(c).cast("double")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetlake.functions.scalar import davg, dsum, pct, ratio, sum_if
+from fleetlake.functions.scalar import davg, dsum, pct, ratio, sum_if, wide_sum
 from fleetlake.operators import scale
 
 
@@ -24,11 +24,16 @@ def basic_stats(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     )
 
 
-def pivot_sum(df: DataFrame, rows: Sequence[str], column: Column, values: Sequence, measure: Column, prefix: str = "") -> DataFrame:
-    """Sum of ``measure`` per row group with one output column per listed value, zeros filled."""
+def pivot_sum(df: DataFrame, rows: Sequence[str], column: Column, values: Sequence, measure: Column, prefix: str = "", other: str | None = None) -> DataFrame:
+    """Sum of ``measure`` per row group with one output column per listed value, zeros filled.
+
+    ``other`` names a column for all values that are not listed, so nothing is left out.
+    """
     cols = [
         sum_if(column == F.lit(v), measure).alias(f"{prefix}{v}") for v in values
     ]
+    if other:
+        cols.append(sum_if(~column.isin(*values), measure).alias(other))
     return df.groupBy(*rows).agg(*cols)
 
 
@@ -45,7 +50,7 @@ def value_counts(df: DataFrame, column: str, name: str = "row_count") -> DataFra
 
 def share_of_total(df: DataFrame, value: str, name: str) -> DataFrame:
     """``value`` as a percentage of its total over all rows."""
-    total = df.agg(dsum(value)).scalar()
+    total = df.agg(wide_sum(value)).scalar()
     return df.withColumn(name, pct(F.col(value), total))
 
 
@@ -56,7 +61,11 @@ def argmax(df: DataFrame, key: str, measure: Column) -> DataFrame:
 
 
 def distinct_list(df: DataFrame, keys: Sequence[str], column: str, name: str, sep: str = ", ") -> DataFrame:
-    """Sorted list of the distinct values per group; duplicates go before anything is collected."""
+    """Sorted list of the distinct values per group; duplicates go before anything is collected.
+
+    The list itself is the result: a group's cell is as long as it has distinct values. Use it
+    for catalogue columns (types, statuses), not for identifiers.
+    """
     pairs = df.select(*keys, column).distinct()
     return pairs.groupBy(*keys).agg(F.array_join(F.sort_array(F.collect_list(column)), sep).alias(name))
 

@@ -58,23 +58,22 @@ def day_spine(df: DataFrame, ts: str, name: str = "day") -> DataFrame:
     )
 
 
-def matrix(rows: DataFrame, cells: DataFrame, row_key: str, col_key: str, values: Sequence, name: str = "cells") -> DataFrame:
-    """Count per (row, value) with zeros kept.
+def matrix(rows: DataFrame, cells: DataFrame, row_key: str, col_key: str, values: DataFrame, name: str = "cells") -> DataFrame:
+    """Count per (row, value) with zeros kept; ``values`` has the column values, repeats allowed.
 
-    The column values are a short list, so the grid is an explode of each row, not a
-    product of two tables.
+    The grid of all rows and values is the result, so it is as large as both together say;
+    every row explodes the distinct values. Nothing passes through the driver.
     """
-    grid = rows.withColumn(col_key, F.explode(F.array(*[F.lit(v) for v in values])))
+    listed = values.select(col_key).where(F.col(col_key).isNotNull()).distinct().agg(F.sort_array(F.collect_list(col_key))).scalar()
+    grid = rows.withColumn(col_key, F.explode(listed))
     counts = cells.groupBy(row_key, col_key).agg(F.count(F.lit(1)).alias(name))
     return grid.join(counts, [row_key, col_key], "left").withColumn(name, F.coalesce(F.col(name), F.lit(0).cast("bigint")))
 
 
-def short_list(df: DataFrame, column: str, at_most: int = 1_000) -> list:
-    """Distinct values of a column that must be short; refuses a longer list."""
-    values = df.select(column).where(F.col(column).isNotNull()).distinct().limit(at_most + 1).collect()
-    if len(values) > at_most:
-        raise ValueError(f"{column} has more than {at_most} values")
-    return sorted(v[0] for v in values)
+def first_values(df: DataFrame, column: str, count: int) -> list:
+    """The first ``count`` distinct values of a column in ascending order, for pivot columns."""
+    found = df.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column).limit(count).collect()
+    return [v[0] for v in found]
 
 
 def price_steps(timeline: Sequence[tuple[str, float]], on: Column, default: float) -> Column:

@@ -2,9 +2,11 @@
 
 A SQL window sends a whole partition to one task. The functions here first count the
 largest group. While it is small they return the plain window plan (one shuffle). Beyond
-``fleetlake.hotGroupRows`` rows the hot groups are cut into ordered ranges: each range is
-scanned by its own task and a small table of range totals supplies what came before it.
-Results are the same on both paths; no row is dropped.
+``fleetlake.hotGroupRows`` rows the frame is dealt by ranges of (group, order), as a sort
+would be: a large group spans many ranges, each is scanned by its own task, and a table of
+range totals supplies what came before it. The limit does not grow with the data, and the
+number of ranges follows the number of rows. Results are the same on both paths; no row is
+dropped. Any column type that sorts can be a key or an order column.
 
 ``order`` is a list of column names, ``-name`` meaning descending; NULLs sort last. The
 last one must make the order unique within a group.
@@ -14,14 +16,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from fleetlake.session import materialise
 
 DEFAULT_HOT_ROWS = 2_000_000
-MAX_HOT_GROUPS = 1_000
-MAX_RANGES = 2_000
 
 
 def hot_rows_limit(df: DataFrame) -> int:
@@ -29,16 +29,6 @@ def hot_rows_limit(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("fleetlake.hotGroupRows", str(DEFAULT_HOT_ROWS)))
 
 
-def fits(df: DataFrame, rows: int) -> bool:
-    """True when ``df`` has at most ``rows`` rows; reads no more than needed to tell."""
-    return df.limit(rows + 1).count() <= rows
-
-
-def broadcast_if_small(df: DataFrame, rows: int = 100_000) -> DataFrame:
-    """Hint a broadcast only when the row count is proven small; else let AQE choose."""
-    return F.broadcast(df) if fits(df, rows) else df
-
-
 def same_key_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join in which NULL keys match each other, as group keys do."""
     renamed = right.withColumnsRenamed({k: f"_j_{k}" for k in keys})
@@ -58,96 +48,43 @@ def _name(o: str) -> str:
     return o.removeprefix("-")
 
 
-def _numeric(df: DataFrame, name: str) -> Column:
-    """A double that sorts like the column (dates and timestamps as elapsed time)."""
-    kind = df.schema[name].dataType
-    if isinstance(kind, T.DateType):
-        return F.unix_date(F.col(name)).cast("double")
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(F.col(name)).cast("double")
-    if isinstance(kind, T.NumericType):
-        return F.col(name).cast("double")
-    raise TypeError(f"{name}: ordered splitting needs a number, date or timestamp")
-
-
-def _add_positions(df: DataFrame, cuts: dict[str, Sequence[float]]) -> DataFrame:
-    """Replace each double column by its place among sorted cuts: even = between two, odd = equal to one."""
-    splits = [[float("-inf"), *c, float("inf")] for c in cuts.values()]
-    names = [f"{name}_bucket" for name in cuts]
-    out = Bucketizer(inputCols=list(cuts), outputCols=names, splitsArray=splits, handleInvalid="keep").transform(df)
-    for (name, c), bucket in zip(cuts.items(), names):
-        place = F.col(bucket).cast("int")
-        on_cut = F.get(F.lit(list(map(float, c))), place - 1) == F.col(name)
-        out = out.withColumn(name, (place * 2 - F.coalesce(on_cut, F.lit(False)).cast("int")).cast("bigint"))
-    return out.drop(*names)
-
-
 class Split:
-    """How the groups of a frame are cut for ordered work; measured once, used by several steps.
+    """Whether groups of a frame must be cut for ordered work; measured once, used by several steps.
 
-    ``small`` is True when no group exceeds ``hot_rows``: a plain window is then safe.
+    ``small`` is True when no group exceeds ``hot_rows``: a plain window is then safe, and only
+    a count that stops at the limit may have run. A larger frame is written once to the shared
+    folder, so neither the measurement nor the steps that follow compute its input again.
     Frames passed to ``mark`` must hold the same rows per group as the measured one
     (columns may have been added).
     """
 
-    def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int | None = None):
+    def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int | None = None, force: bool = False):
+        """``force`` cuts groups of any size, into at least as many ranges as there are shuffle partitions."""
         self.keys, self.order = list(keys), list(order)
         self.hot_rows = hot_rows or hot_rows_limit(df)
-        self._hot = None
-        if keys:
-            counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-            seen = counts.agg(F.max("_n").alias("top"), F.sum("_n").alias("total")).first()
-            top, self.total = seen["top"] or 0, seen["total"] or 0
-            limit = max(self.hot_rows, self.total // MAX_HOT_GROUPS)
-            self.small = top <= limit
-        else:
-            counts, limit = None, self.hot_rows
-            self.total = df.count()
-            self.small = self.total <= limit
+        self._measured, self._stored = df, df
+        self._least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) if force else 1
+        self.total = df.limit(self.hot_rows + 1).count()
+        self.small = self.total <= self.hot_rows and not force
         if self.small:
             return
+        self._stored = materialise(df, "ordered")
         if keys:
-            # fewer than MAX_HOT_GROUPS groups can exceed this limit
-            found = counts.where(F.col("_n") > limit).select(*keys).collect()
-            self._names = [f"_k{i}" for i in range(len(keys))]
-            fields = [T.StructField(n, df.schema[k].dataType) for n, k in zip(self._names, keys)]
-            schema = T.StructType([*fields, T.StructField("_h", T.LongType())])
-            self._hot = df.sparkSession.createDataFrame([(*row, i) for i, row in enumerate(found)], schema)
-        first, last = _name(order[0]), _name(order[-1])
-        ranges = int(min(MAX_RANGES, max(2, 2 * self.total // self.hot_rows)))
-        sample = self._flag(df).where(F.col("_h").isNotNull()).select(
-            _numeric(df, first).alias("_a"), _numeric(df, last).alias("_z")
-        )
-        probs = [i / ranges for i in range(1, ranges)]
-        cuts = sample.approxQuantile(["_a", "_z"], probs, 0.25 / ranges)
-        self._cuts_a, self._cuts_z = (sorted(set(c)) for c in cuts)
+            counts = self._stored.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+            seen = counts.agg(F.max("_n").alias("top"), F.sum("_n").alias("total")).first()
+            self.total, self.small = seen["total"] or 0, (seen["top"] or 0) <= self.hot_rows and not force
+        else:
+            self.total = self._stored.count()
 
-    def _flag(self, df: DataFrame) -> DataFrame:
-        if self._hot is None:
-            return df.withColumn("_h", F.lit(0).cast("bigint"))
-        same = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(self.keys, self._names)]
-        return df.join(F.broadcast(self._hot), same, "left").drop(*self._names)
+    def of(self, df: DataFrame) -> DataFrame:
+        """The stored copy of the measured frame; any other frame itself."""
+        return self._stored if df is self._measured else df
 
     def mark(self, df: DataFrame) -> DataFrame:
-        """Add ``_r``: the ordered range number inside hot groups, -1 elsewhere."""
-        first, last = _name(self.order[0]), _name(self.order[-1])
-        cuts = {"_a": self._cuts_a}
-        cols = {"_a": _numeric(df, first)}
-        if len(self.order) == 2:
-            # a first value shared by very many rows is cut again along the second column
-            cuts["_z"], cols["_z"] = self._cuts_z, _numeric(df, last)
-        placed = _add_positions(self._flag(df).withColumns(cols), cuts)
-        part = F.col("_a")
-        tie = F.when(part % 2 == 1, F.col("_z")).otherwise(F.lit(0)) if "_z" in cuts else F.lit(0)
-        wide_a, wide_z = 2 * len(self._cuts_a) + 2, 2 * len(self._cuts_z) + 2
-        if self.order[0].startswith("-"):
-            part = F.lit(wide_a - 2) - part
-        if self.order[-1].startswith("-"):
-            tie = F.lit(wide_z - 2) - tie
-        part = F.when(F.col(first).isNull(), F.lit(wide_a - 1)).otherwise(part)
-        number = (F.col("_h") * F.lit(wide_a) + part) * F.lit(wide_z) + F.coalesce(tie, F.lit(0))
-        marked = placed.withColumn("_r", F.when(F.col("_h").isNull(), F.lit(-1)).otherwise(number).cast("bigint"))
-        return marked.drop("_h", *cuts)
+        """Add ``_r``: the number of the range of (group, order) a row lies in; written once, as several steps read it."""
+        ranges = max(self._least, -(-2 * self.total // self.hot_rows))
+        dealt = self.of(df).repartitionByRange(ranges, *[F.col(k).asc_nulls_last() for k in self.keys], *order_columns(self.order))
+        return materialise(dealt.withColumn("_r", F.spark_partition_id()), "ranges")
 
 
 def running(
@@ -162,28 +99,23 @@ def running(
     split = split or Split(df, keys, order, hot_rows)
     if split.small:
         w = _spec(keys, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.withColumns({name: F.sum(c).over(w) for name, c in sums.items()})
+        return split.of(df).withColumns({name: F.sum(c).over(w) for name, c in sums.items()})
     marked = split.mark(df)
     w = _spec([*keys, "_r"], order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = marked.withColumns({name: F.sum(c).over(w) for name, c in sums.items()})
-    totals = (
-        marked.where(F.col("_r") >= 0)
-        .groupBy(*keys, "_r")
-        .agg(*[F.sum(c).alias(f"_t_{name}") for name, c in sums.items()])
-    )
+    totals = marked.groupBy(*keys, "_r").agg(*[F.sum(c).alias(f"_t_{name}") for name, c in sums.items()])
     before = Window.partitionBy(*keys).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per hot group and range: the limits above bound it
-    offsets = totals.select(
-        F.col("_r").alias("_ro"), *[F.sum(f"_t_{name}").over(before).alias(f"_o_{name}") for name in sums]
-    )
-    joined = local.join(F.broadcast(offsets), F.col("_r") == F.col("_ro"), "left")
+    # one row per group and range, less the first range of each group; joined by size, without a hint
+    known = [F.sum(f"_t_{name}").over(before).alias(f"_o_{name}") for name in sums]
+    offsets = totals.select(*keys, "_r", F.row_number().over(Window.partitionBy(*keys).orderBy("_r")).alias("_nth"), *known)
+    joined = same_key_join(local, offsets.where("_nth > 1").drop("_nth"), [*keys, "_r"], "left")
     filled = {
         name: F.when(F.col(f"_o_{name}").isNull(), F.col(name)).otherwise(
             F.col(f"_o_{name}") + F.coalesce(F.col(name), F.lit(0))
         )
         for name in sums
     }
-    return joined.withColumns(filled).drop("_r", "_ro", *[f"_o_{name}" for name in sums])
+    return joined.withColumns(filled).drop("_r", *[f"_o_{name}" for name in sums])
 
 
 def row_number(
@@ -217,7 +149,7 @@ def bounded(
     split = split or Split(df, keys, order, hot_rows)
     if split.small:
         w = _spec(keys, order)
-        return df.withColumns({name: f(w) for name, f in exprs.items()})
+        return split.of(df).withColumns({name: f(w) for name, f in exprs.items()})
     size = max(split.hot_rows, before + after + 1)
     numbered = row_number(df, keys, order, "_rn", split=split)
     chunk = F.floor((F.col("_rn") - 1) / F.lit(size)).cast("bigint")
@@ -244,6 +176,7 @@ def ntile(
 ) -> DataFrame:
     """NTILE columns; the first ``n mod k`` tiles hold one row more."""
     split = Split(df, keys, order, hot_rows)
+    df = split.of(df)
     if split.small:
         w = _spec(keys, order)
         return df.withColumns({name: F.ntile(k).over(w).cast("bigint") for name, k in tiles.items()})
@@ -276,6 +209,7 @@ def ranks(
     wanted = {"rank": rank, "dense": dense, "percent": percent, "cume": cume}
     wanted = {kind: name for kind, name in wanted.items() if name}
     split = Split(df, keys, [value], hot_rows)
+    df = split.of(df)
     if split.small:
         w = _spec(keys, [value])
         native = {
@@ -316,6 +250,7 @@ def percentiles(
     """
     data = df.where(F.col(value).isNotNull())
     split = Split(data, keys, [value], hot_rows)
+    data = split.of(data)
     if split.small:
         one = df.groupBy(*keys).agg(F.percentile(value, F.lit(list(probs.values()))).alias("_q"))
         return one.select(*keys, *[F.get("_q", F.lit(i)).alias(name) for i, name in enumerate(probs)])

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetlake.functions.scalar import days_between, dsum, money, pct
+from fleetlake.functions.scalar import days_between, pct, wide_money, wide_sum
 from fleetlake.operators import scale
 from fleetlake.session import materialise
 
@@ -34,8 +34,8 @@ def pareto(df: DataFrame, value: str, tie: str, cut: float = 80.0) -> DataFrame:
     ``df`` is an aggregate that three steps read, so it is written once.
     """
     df = materialise(df, "pareto")
-    total = df.agg(dsum(value)).scalar()
-    run = scale.running(df, [], [f"-{value}", tie], {"_run": money(value)})
+    total = df.agg(wide_sum(value)).scalar()
+    run = scale.running(df, [], [f"-{value}", tie], {"_run": wide_money(value)})
     return (
         run.withColumn("running_total", F.col("_run").cast("double"))
         .withColumn("cumulative_pct", pct(F.col("running_total"), total))

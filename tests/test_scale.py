@@ -115,5 +115,33 @@ def test_boxplot_without_keys(frame):
     assert row["row_count"] == 4000 and row["q1"] <= row["median"] <= row["q3"]
 
 
-def test_broadcast_only_when_small(frame):
-    assert scale.fits(frame, 4000) and not scale.fits(frame, 3999)
+TEXT_ORDERS = [["ident"], ["-ident"], ["flag", "ident"], ["price", "ident"], ["-flag", "-ident"]]
+
+
+@pytest.mark.parametrize("order", TEXT_ORDERS)
+def test_text_boolean_and_decimal_orders(frame, order):
+    df = frame.select(
+        "k", F.format_string("TR%06d", "id").alias("ident"), (F.col("id") % 3 == 0).alias("flag"), F.col("amount").cast("decimal(18,4)").alias("price")
+    ).cache()
+    got = scale.running(df, ["k"], order, {"n": F.lit(1).cast("bigint"), "s": F.col("price")}, hot_rows=90)
+    w = Window.partitionBy("k").orderBy(*scale.order_columns(order)).rowsBetween(Window.unboundedPreceding, 0)
+    same(got, df.withColumns({"n": F.count(F.lit(1)).over(w), "s": F.sum("price").over(w)}), ["ident", "n", "s"])
+
+
+def test_very_many_hot_groups_and_ranges(spark):
+    """1,100 groups above the limit, cut into more than 2,000 ranges."""
+    df = spark.range(6600).select((F.col("id") % 1100).alias("g"), F.format_string("TR%06d", "id").alias("ident"))
+    split = scale.Split(df, ["g"], ["ident"], 5)
+    assert not split.small
+    marked = split.mark(df)
+    assert marked.select("_r").distinct().count() > 2000
+    got = scale.row_number(df, ["g"], ["ident"], split=split)
+    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("ident")))
+    same(got, want, ["g", "ident", "rn"])
+
+
+def test_the_limit_does_not_grow_with_the_data(spark):
+    df = spark.range(5000).select(F.lit("one").alias("g"), "id")
+    assert not scale.Split(df, ["g"], ["id"], 4999).small
+    assert scale.Split(df, ["g"], ["id"], 5000).small
+    assert not scale.Split(df, ["g"], ["id"], force=True).small
