@@ -71,10 +71,11 @@ def _(t):
 
 @query(
     "dq_orphans",
-    f"""SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_orderdate < TIMESTAMP '{CUTOFF}')""",
+    f"""SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_orderstatus <> 'P')""",
 )
 def _(t):
-    parents = t["orders"].where(F.col("o_orderdate") < F.lit(CUTOFF).cast("timestamp"))
+    # orders still partly open do not count as parents, so that there are orphans to find
+    parents = t["orders"].where(F.col("o_orderstatus") != "P")
     return t["lineitem"].join(parents, F.col("l_orderkey") == F.col("o_orderkey"), "left_anti").select("l_orderkey", "l_linenumber", "l_partkey")
 
 

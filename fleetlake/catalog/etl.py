@@ -335,10 +335,13 @@ def _(t):
 
 @query(
     "incremental_load",
-    f"SELECT invoice_id, customer_id, CAST(invoice_date AS VARCHAR) AS invoice_date, total_amount + CASE WHEN invoice_date >= DATE '{CUTOFF}' THEN 1 ELSE 0 END AS total_amount FROM invoices",
+    f"""WITH late AS (SELECT MAX(invoice_date) AS seen FROM invoices WHERE invoice_date < DATE '{CUTOFF}')
+        SELECT invoice_id, customer_id, CAST(CASE WHEN invoice_date >= seen AND invoice_id % 5 = 0 THEN invoice_date + 45 ELSE invoice_date END AS VARCHAR) AS invoice_date,
+            total_amount + CASE WHEN invoice_date >= seen THEN 1 ELSE 0 END AS total_amount FROM invoices, late""",
 )
 def _(t):
-    # first load: everything, with the late months still open; second run: only rows past the watermark
+    # first load: everything, with the late months still open; second run: rows from the watermark on,
+    # those of its own day included, and every fifth of them moved into another month
     root = scratch_path(t.spark, "incremental")
     cols = ["invoice_id", "customer_id", "invoice_date", "total_amount"]
     inv = t["invoices"].select(*cols)
@@ -347,7 +350,8 @@ def _(t):
     load.measure_state({"fact_invoices": (inv.where(F.col("invoice_date") < cutoff), "invoice_date")}).write.parquet(f"{root}/state")
     late = inv.withColumn("total_amount", F.col("total_amount") + 1)
     delta = load.after_watermark(late, "invoice_date", load.read_state(t.spark, f"{root}/state"), "fact_invoices")
-    load.merge_months(t.spark, f"{root}/fact_invoices", delta.where(F.col("invoice_date") >= cutoff), "invoice_date", ["invoice_id"])
+    moved = F.when(F.col("invoice_id") % 5 == 0, F.date_add("invoice_date", 45)).otherwise(F.col("invoice_date"))
+    load.merge_months(t.spark, f"{root}/fact_invoices", delta.withColumn("invoice_date", moved), "invoice_date", ["invoice_id"])
     return t.spark.read.parquet(f"{root}/fact_invoices").select(*cols)
 
 
@@ -369,7 +373,7 @@ def _(t):
     return load.detect_new_rows(current, _loaded_state(t))
 
 
-@query("watermark_filter", "SELECT event_id, user_id, event_type FROM events WHERE ts > (SELECT MAX(ts) FROM events WHERE ts < TIMESTAMP '2024-01-20')")
+@query("watermark_filter", "SELECT event_id, user_id, event_type FROM events WHERE ts >= (SELECT MAX(ts) FROM events WHERE ts < TIMESTAMP '2024-01-20')")
 def _(t):
     return load.after_watermark(t["events"], "ts", _loaded_state(t), "events").select("event_id", "user_id", "event_type")
 

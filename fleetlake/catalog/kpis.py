@@ -106,7 +106,7 @@ _WATER = """WITH p AS (SELECT CAST(SUM(CAST(revenue AS DECIMAL(18,4))) AS DOUBLE
 def _(t):
     p = finance.fleet_pnl(t["fleets"], *pnl_parts(t), SALARIES)
     one = p.agg(
-        dsum("revenue").alias("r"), dsum("fuel_cost").alias("f"), dsum("maint_cost").alias("m"), dsum("salary_cost").alias("s"), dsum("other_opex").alias("o")
+        *[fn.wide_sum(c).alias(n) for c, n in (("revenue", "r"), ("fuel_cost", "f"), ("maint_cost", "m"), ("salary_cost", "s"), ("other_opex", "o"))]
     )
     net = F.col("r") - F.col("f") - F.col("m") - F.col("s") - F.col("o")
     steps = {"Revenue": F.col("r"), "Fuel": -F.col("f"), "Maintenance": -F.col("m"), "Salaries": -F.col("s"), "Other": -F.col("o"), "Net": net, "Margin %": pct(net, "r")}
@@ -242,10 +242,10 @@ def _(t):
 @query(
     "service_due",
     f"""SELECT vehicle_id, COALESCE(DATE_DIFF('day', last_service, DATE '{AS_OF}'), 180) AS days_since_service FROM vehicles LEFT JOIN (SELECT vehicle_id, MAX(maintenance_date) AS last_service
-        FROM maintenance WHERE maintenance_date BETWEEN DATE '2001-01-01' AND DATE '{AS_OF}' GROUP BY 1) USING (vehicle_id)""",
+        FROM maintenance WHERE maintenance_date <= DATE '{AS_OF}' GROUP BY 1) USING (vehicle_id)""",
 )
 def _(t):
-    m = t["maintenance"].where(F.col("maintenance_date").between(F.lit("2001-01-01").cast("date"), as_of()))
+    m = t["maintenance"].where(F.col("maintenance_date") <= as_of())
     last = m.groupBy("vehicle_id").agg(F.max("maintenance_date").alias("last_service"))
     df = t["vehicles"].select("vehicle_id").join(last, "vehicle_id", "left")
     return df.select("vehicle_id", F.coalesce(fn.days_between("last_service", as_of()), F.lit(180).cast("bigint")).alias("days_since_service"))

@@ -46,7 +46,7 @@ def _(t):
     return m.withColumns(
         {
             "mom_growth_pct": pct(F.col("total_billed") - F.col("prev"), "prev"),
-            "cumulative_revenue": F.sum(fn.money("total_billed")).over(run).cast("double"),
+            "cumulative_revenue": F.sum(fn.wide_money("total_billed")).over(run).cast("double"),
         }
     ).drop("prev").orderBy("month")
 
@@ -78,7 +78,7 @@ def _(t):
 def _(t):
     w = Window.orderBy("month")
     run, last3 = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(-2, 0)
-    m, c = finance.monthly_billing(t["invoices"]), fn.money("total_billed")
+    m, c = finance.monthly_billing(t["invoices"]), fn.wide_money("total_billed")
     return m.select(
         "month",
         F.col("total_billed").alias("monthly_rev"),
@@ -133,18 +133,20 @@ def _(t):
 
 
 _YEARS = list(range(1995, 2002))
+_YEAR_LIST = ", ".join(map(str, _YEARS))
 
 
 @query(
     "q07_yoy_pivot",
     "SELECT EXTRACT(month FROM invoice_date) AS month_num, STRFTIME(invoice_date, '%b') AS month_name, "
-    + ", ".join(f"{SI(f'EXTRACT(year FROM invoice_date) = {y}', 'total_amount')} AS rev_{y}" for y in _YEARS) + " FROM invoices GROUP BY 1, 2",
+    + ", ".join(f"{SI(f'EXTRACT(year FROM invoice_date) = {y}', 'total_amount')} AS rev_{y}" for y in _YEARS)
+    + f", {SI(f'EXTRACT(year FROM invoice_date) NOT IN ({_YEAR_LIST})', 'total_amount')} AS rev_other FROM invoices GROUP BY 1, 2",
 )
 def _(t):
     df = t["invoices"].withColumns(
         {"month_num": F.month("invoice_date").cast("bigint"), "month_name": F.date_format("invoice_date", "MMM")}
     )
-    return pivot_sum(df, ["month_num", "month_name"], F.year("invoice_date"), _YEARS, F.col("total_amount"), "rev_")
+    return pivot_sum(df, ["month_num", "month_name"], F.year("invoice_date"), _YEARS, F.col("total_amount"), "rev_", other="rev_other")
 
 
 _PROBS = {"p25": 0.25, "p50_median": 0.5, "p75": 0.75, "p90": 0.9, "p99": 0.99}
@@ -571,7 +573,7 @@ def _(t):
         {
             "ma_7d_trips": F.avg("trip_count").over(w7),
             "ma_30d_trips": F.avg("trip_count").over(w30),
-            "ma_7d_revenue": F.sum(fn.money("daily_revenue")).over(w7).cast("double") / rows().over(w7),
+            "ma_7d_revenue": F.sum(fn.wide_money("daily_revenue")).over(w7).cast("double") / rows().over(w7),
             "peak_30d": F.max("trip_count").over(w30),
         }
     )
@@ -733,7 +735,7 @@ def _(t):
         rows().alias("trip_count"), dsum("trip_fare").alias("total_revenue"), davg("trip_fare").alias("avg_fare"), davg("distance_km").alias("avg_distance_km"),
         davg("duration_days").alias("avg_duration_days"), count_if(cancelled()).alias("cancellations"), pct(count_if(cancelled()), rows()).alias("cancel_rate_pct"),
     )
-    total = F.sum(fn.money("total_revenue")).over(Window.partitionBy()).cast("double")  # two rows
+    total = F.sum(fn.wide_money("total_revenue")).over(Window.partitionBy()).cast("double")  # two rows
     return g.withColumn("revenue_share_pct", pct("total_revenue", total))
 
 

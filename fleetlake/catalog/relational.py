@@ -92,11 +92,10 @@ def _(t):
     f"""SELECT customer_type, COUNT(*) AS customers, {CI("last_order IS NULL")} AS never, {CI("TRIM(note) = ''")} AS blank_note FROM (
         SELECT c_mktsegment AS customer_type, last_order, CASE WHEN c_acctbal < 0 THEN '  ' ELSE 'ok' END AS note
         FROM customer LEFT JOIN (SELECT o_custkey, MAX(o_orderdate) AS last_order FROM orders
-            WHERE o_orderdate >= TIMESTAMP '{CUTOFF}' GROUP BY 1) ON c_custkey = o_custkey) GROUP BY 1""",
+            WHERE o_orderstatus = 'P' GROUP BY 1) ON c_custkey = o_custkey) GROUP BY 1""",
 )
 def _(t):
-    recent = t["orders"].where(F.col("o_orderdate") >= F.lit(CUTOFF).cast("timestamp"))
-    last = recent.groupBy("o_custkey").agg(F.max("o_orderdate").alias("last_order"))
+    last = t["orders"].where(F.col("o_orderstatus") == "P").groupBy("o_custkey").agg(F.max("o_orderdate").alias("last_order"))
     df = t["customer"].join(last, F.col("c_custkey") == F.col("o_custkey"), "left")
     df = df.withColumn("note", F.when(F.col("c_acctbal") < 0, "  ").otherwise("ok"))
     return df.groupBy(F.col("c_mktsegment").alias("customer_type")).agg(
@@ -133,21 +132,14 @@ def _(t):
     return df.groupBy("c_mktsegment", "p_type").agg(rows().alias("n"), dsum("l_extendedprice").alias("revenue"))
 
 
-def _recent_trips(t):
-    return t["trips"].where(F.col("pickup_datetime") >= F.lit(CUTOFF).cast("timestamp"))
-
-
-_RECENT = f"(SELECT * FROM trips WHERE pickup_datetime >= TIMESTAMP '{CUTOFF}')"
-
-
 @query(
     "join_left_agg",
     f"""SELECT v.vehicle_id, v.make, COUNT(tr.trip_id) AS trips, COALESCE({S('tr.trip_fare')}, 0) AS revenue
-        FROM vehicles v LEFT JOIN {_RECENT} tr ON v.vehicle_id = tr.vehicle_id GROUP BY 1, 2""",
+        FROM vehicles v LEFT JOIN trips tr ON v.vehicle_id = tr.vehicle_id GROUP BY 1, 2""",
 )
 def _(t):
     return joins.left_with_zero(
-        t["vehicles"].select("vehicle_id", "make"), _recent_trips(t), "vehicle_id",
+        t["vehicles"].select("vehicle_id", "make"), t["trips"], "vehicle_id",
         {"trips": rows(), "revenue": dsum("trip_fare")}, {"trips": 0, "revenue": 0.0},
     )
 
@@ -194,19 +186,18 @@ def _(t):
 def _(t):
     cells = t["fleet_invoices"].select(F.col("fleet_id"), F.col("payment_method").alias("o_orderpriority"))
     rows = t["region"].select(F.col("r_regionkey").alias("fleet_id"), "r_name")
-    values = joins.short_list(t["orders"], "o_orderpriority")
-    return joins.matrix(rows, cells, "fleet_id", "o_orderpriority", values).drop("fleet_id")
+    return joins.matrix(rows, cells, "fleet_id", "o_orderpriority", t["orders"]).drop("fleet_id")
 
 
 @query(
     "join_full_reconcile",
     f"""SELECT a.vehicle_id AS left_key, b.vehicle_id AS right_key, CASE WHEN a.vehicle_id IS NULL THEN 'Orphan'
         WHEN b.vehicle_id IS NULL THEN 'Never used' ELSE 'Matched' END AS status FROM (SELECT vehicle_id FROM vehicles WHERE status <> 'Retired') a
-        FULL JOIN (SELECT DISTINCT vehicle_id FROM {_RECENT}) b ON a.vehicle_id = b.vehicle_id""",
+        FULL JOIN (SELECT DISTINCT vehicle_id FROM trips) b ON a.vehicle_id = b.vehicle_id""",
 )
 def _(t):
     active = t["vehicles"].where(F.col("status") != "Retired")
-    return joins.reconcile(active, _recent_trips(t), "vehicle_id")
+    return joins.reconcile(active, t["trips"], "vehicle_id")
 
 
 @query(
@@ -344,13 +335,13 @@ def _(t):
 @query(
     "join_preagg",
     f"""SELECT v.vehicle_id, COALESCE(trips, 0) AS trips, COALESCE(revenue, 0) AS revenue, COALESCE(fuel, 0) AS fuel, COALESCE(maint, 0) AS maint
-        FROM vehicles v LEFT JOIN (SELECT vehicle_id, COUNT(*) AS trips, {S('trip_fare')} AS revenue FROM {_RECENT} GROUP BY 1) a USING (vehicle_id)
+        FROM vehicles v LEFT JOIN (SELECT vehicle_id, COUNT(*) AS trips, {S('trip_fare')} AS revenue FROM trips GROUP BY 1) a USING (vehicle_id)
         LEFT JOIN (SELECT vehicle_id, {S('fuel_cost')} AS fuel FROM fuel_logs GROUP BY 1) b USING (vehicle_id)
         LEFT JOIN (SELECT vehicle_id, {S('total_cost')} AS maint FROM maintenance GROUP BY 1) c USING (vehicle_id)""",
 )
 def _(t):
     parts = [
-        _recent_trips(t).groupBy("vehicle_id").agg(rows().alias("trips"), dsum("trip_fare").alias("revenue")),
+        t["trips"].groupBy("vehicle_id").agg(rows().alias("trips"), dsum("trip_fare").alias("revenue")),
         t["fuel_logs"].groupBy("vehicle_id").agg(dsum("fuel_cost").alias("fuel")),
         t["maintenance"].groupBy("vehicle_id").agg(dsum("total_cost").alias("maint")),
     ]
@@ -510,16 +501,18 @@ def _(t):
 
 
 YEARS = list(range(1995, 2002))
+_YEAR_LIST = ", ".join(map(str, YEARS))
 
 
 @query(
     "agg_pivot_case",
     "SELECT EXTRACT(month FROM o_orderdate) AS month_num, "
-    + ", ".join(f"{SI(f'EXTRACT(year FROM o_orderdate) = {y}', 'o_totalprice')} AS rev_{y}" for y in YEARS) + " FROM orders GROUP BY 1",
+    + ", ".join(f"{SI(f'EXTRACT(year FROM o_orderdate) = {y}', 'o_totalprice')} AS rev_{y}" for y in YEARS)
+    + f", {SI(f'EXTRACT(year FROM o_orderdate) NOT IN ({_YEAR_LIST})', 'o_totalprice')} AS rev_other FROM orders GROUP BY 1",
 )
 def _(t):
     df = t["orders"].withColumn("month_num", F.month("o_orderdate").cast("bigint"))
-    return agg.pivot_sum(df, ["month_num"], F.year("o_orderdate"), YEARS, F.col("o_totalprice"), "rev_")
+    return agg.pivot_sum(df, ["month_num"], F.year("o_orderdate"), YEARS, F.col("o_totalprice"), "rev_", other="rev_other")
 
 
 @query(
@@ -603,17 +596,17 @@ def _(t):
     "SELECT o_orderpriority, " + ", ".join(f"COUNT(CASE WHEN o_orderstatus = '{s}' THEN 1 END) AS {s}" for s in "FOP") + " FROM orders GROUP BY 1",
 )
 def _(t):
-    values = joins.short_list(t["orders"], "o_orderstatus", 12)
+    values = joins.first_values(t["orders"], "o_orderstatus", 12)  # a sheet shows the first twelve
     return agg.pivot_count(t["orders"], ["o_orderpriority"], F.col("o_orderstatus"), values)
 
 
 @query(
     "agg_back_propagate",
-    f"SELECT c_custkey, COALESCE(n, 0) AS bookings, COALESCE(spend, 0) AS spend FROM customer LEFT JOIN (SELECT o_custkey, COUNT(*) AS n, {S('o_totalprice')} AS spend FROM orders WHERE o_orderdate >= TIMESTAMP '{CUTOFF}' GROUP BY 1) ON c_custkey = o_custkey",
+    f"SELECT c_custkey, COALESCE(n, 0) AS bookings, COALESCE(spend, 0) AS spend FROM customer LEFT JOIN (SELECT o_custkey, COUNT(*) AS n, {S('o_totalprice')} AS spend FROM orders GROUP BY 1) ON c_custkey = o_custkey",
 )
 def _(t):
-    recent = t["orders"].where(F.col("o_orderdate") >= F.lit(CUTOFF).cast("timestamp")).withColumnRenamed("o_custkey", "c_custkey")
-    return agg.back_propagate(t["customer"].select("c_custkey"), recent, "c_custkey", {"bookings": rows(), "spend": dsum("o_totalprice")})
+    facts = t["orders"].withColumnRenamed("o_custkey", "c_custkey")
+    return agg.back_propagate(t["customer"].select("c_custkey"), facts, "c_custkey", {"bookings": rows(), "spend": dsum("o_totalprice")})
 
 
 # --- sort, top-k, sample ---
@@ -646,11 +639,11 @@ def _(t):
 
 @query(
     "sort_nulls",
-    f"""SELECT vehicle_id, {D('last_trip')} AS last_trip FROM vehicles LEFT JOIN (SELECT vehicle_id, MAX(pickup_datetime) AS last_trip FROM {_RECENT} GROUP BY 1)
+    f"""SELECT vehicle_id, {D('last_trip')} AS last_trip FROM vehicles LEFT JOIN (SELECT vehicle_id, MAX(pickup_datetime) AS last_trip FROM trips WHERE status = 'Cancelled' GROUP BY 1)
         USING (vehicle_id) ORDER BY last_trip DESC NULLS FIRST, vehicle_id LIMIT 100""",
 )
 def _(t):
-    last = _recent_trips(t).groupBy("vehicle_id").agg(F.to_date(F.max("pickup_datetime")).alias("last_trip"))
+    last = t["trips"].where(F.col("status") == "Cancelled").groupBy("vehicle_id").agg(F.to_date(F.max("pickup_datetime")).alias("last_trip"))
     df = t["vehicles"].select("vehicle_id").join(last, "vehicle_id", "left")
     return df.orderBy(F.col("last_trip").desc_nulls_first(), "vehicle_id").limit(100)
 

@@ -11,8 +11,6 @@ from fleetlake.operators import joins
 from fleetlake.session import scratch_path
 from fleetlake.sources import sinks, tables
 
-TPCH = BASE_TABLES[:8]
-
 
 @query("load_table", f"SELECT p_brand, COUNT(*) AS row_count, {S('p_retailprice')} AS total_price FROM part GROUP BY 1")
 def _(t):
@@ -103,14 +101,14 @@ def _(t):
     return t.spark.read.parquet(paths[0])
 
 
-@query("table_row_counts", " UNION ALL ".join(f"SELECT '{n}' AS table_name, COUNT(*) AS row_count FROM {n}" for n in TPCH))
+@query("table_row_counts", " UNION ALL ".join(f"SELECT '{n}' AS table_name, COUNT(*) AS row_count FROM {n}" for n in BASE_TABLES))
 def _(t):
-    return tables.table_row_counts({n: t[n] for n in TPCH})
+    return tables.table_row_counts({n: t[n] for n in BASE_TABLES})
 
 
 @query("table_inventory")
 def _(t):
-    return tables.table_inventory({n: t[n] for n in TPCH}, PRIMARY_KEYS, FOREIGN_KEYS)
+    return tables.table_inventory({n: t[n] for n in BASE_TABLES}, PRIMARY_KEYS, FOREIGN_KEYS)
 
 
 @query("preview", "SELECT c_custkey, c_name, c_mktsegment FROM customer ORDER BY c_custkey LIMIT 50")
@@ -262,10 +260,10 @@ def _(t):
     """SELECT s_suppkey, 'SP' || LPAD(CAST(s_suppkey AS VARCHAR), GREATEST(6, LENGTH(CAST(s_suppkey AS VARCHAR)))::INTEGER, '0') AS code,
         CASE WHEN s_acctbal >= 1000 THEN 'PKR ' || CAST(CAST(ROUND(CAST(s_acctbal / 1000 AS DECIMAL(18,6)), 0) AS BIGINT) AS VARCHAR) || 'K'
              ELSE 'PKR ' || CAST(CAST(ROUND(CAST(s_acctbal AS DECIMAL(18,4)), 0) AS BIGINT) AS VARCHAR) END AS label
-    FROM supplier WHERE s_acctbal >= 0""",
+    FROM supplier""",
 )
 def _(t):
-    return t["supplier"].where(F.col("s_acctbal") >= 0).select(
+    return t["supplier"].select(
         "s_suppkey", fn.make_id("SP", "s_suppkey", 6).alias("code"), fn.money_label("s_acctbal").alias("label")
     )
 

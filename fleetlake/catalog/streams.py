@@ -18,18 +18,15 @@ DELAY = "1 day"
 CLOSED = "(SELECT MAX(ts) - INTERVAL 1 DAY FROM events)"
 
 
-def replay(t, pieces=3):
-    """The events as a folder of drop files, oldest first."""
-    folder = scratch_path(t.spark, "inbox")
-    t["events"].repartitionByRange(pieces, "ts").write.parquet(folder)
-    return folder, t["events"].schema
+def events(t):
+    """The events table's own files as a stream; a glob, since the table may be one file or a folder of files."""
+    return streams.source(t.spark, f"{t.root}/events.parque[t]", t["events"].schema)
 
 
 def run(t, label, build, mode="append"):
-    """Stream the replayed events through ``build`` into a folder and return what arrived."""
-    folder, schema = replay(t)
+    """Stream the events through ``build`` into a folder and return what arrived."""
     out, state = scratch_path(t.spark, label), scratch_path(t.spark, f"{label}-state")
-    streams.drain(build(streams.source(t.spark, folder, schema)), state, target=out, mode=mode)
+    streams.drain(build(events(t)), state, target=out, mode=mode)
     return t.spark.read.parquet(out)
 
 
@@ -48,10 +45,9 @@ def _(t):
 
 @query("stream_append", f"SELECT event_id, user_id, event_type, value, {TS('ts')} AS ts FROM events")
 def _(t):
-    folder, schema = replay(t)
     out, state = scratch_path(t.spark, "append"), scratch_path(t.spark, "append-state")
     for _ in range(2):  # the second run finds nothing new
-        streams.append(streams.source(t.spark, folder, schema, files_per_batch=1), out, state)
+        streams.append(events(t), out, state)
     return t.spark.read.parquet(out).select("event_id", "user_id", "event_type", "value", "ts")
 
 
@@ -63,8 +59,10 @@ def _(t):
     old = t["events"].withColumns({"version": F.lit(1), "value": F.col("value") - 1})
     old.unionByName(e).write.parquet(folder)
     out, state = scratch_path(t.spark, "upsert"), scratch_path(t.spark, "upsert-state")
-    streams.upsert(streams.source(t.spark, folder, e.schema, files_per_batch=4), out, state)
-    return streams.current(t.spark, out, ["event_id"], ["-version"]).select("event_id", "user_id", "event_type", "value")
+    streams.upsert(streams.source(t.spark, folder, e.schema), out, state)
+    small = scratch_path(t.spark, "upsert-compacted")
+    streams.compact(t.spark, out, small, ["event_id"], ["-version"])
+    return streams.current(t.spark, small, ["event_id"], ["-version"]).select("event_id", "user_id", "event_type", "value")
 
 
 @query(
@@ -97,7 +95,7 @@ def _(t):
 @query("stream_dedup", "SELECT event_id, user_id, event_type FROM events")
 def _(t):
     folder = scratch_path(t.spark, "inbox")
-    t["events"].unionByName(t["events"]).repartition(4).write.parquet(folder)
+    t["events"].unionByName(t["events"]).write.parquet(folder)
     out, state = scratch_path(t.spark, "dedup"), scratch_path(t.spark, "dedup-state")
     s = streams.source(t.spark, folder, t["events"].schema)
     streams.drain(streams.dedup(s, "ts", DELAY, ["event_id"]), state, target=out)
@@ -117,7 +115,7 @@ def _(t):
     out = {n: scratch_path(t.spark, n) for n in ("accepted", "late", "progress", "late-state")}
     each = streams.split_late("ts", DELAY, out["accepted"], out["late"], out["progress"])
     for part in (F.col("ts") >= half, F.col("ts") < half):
-        t["events"].where(part).coalesce(1).write.mode("append").parquet(folder)
+        t["events"].where(part).write.mode("append").parquet(folder)
         streams.drain(streams.source(t.spark, folder, t["events"].schema), out["late-state"], each=each)
     schema = t["events"].schema
     accepted = t.spark.read.schema(schema).parquet(out["accepted"]).select("event_type", F.lit(1).alias("a"), F.lit(0).alias("l"))
@@ -146,8 +144,6 @@ def _(t):
     f"SELECT user_id, COUNT(*) AS n, ARG_MAX(value, ts) AS last_value, {TS('MAX(ts)')} AS last_seen FROM events GROUP BY 1",
 )
 def _(t):
-    folder, schema = replay(t)
     out, state = scratch_path(t.spark, "running"), scratch_path(t.spark, "running-state")
-    s = streams.source(t.spark, folder, schema, files_per_batch=1)
-    streams.upsert(streams.running_kpi(s, "user_id", "ts", "event_id", "value"), out, state, mode="update")
+    streams.upsert(streams.running_kpi(events(t), "user_id", "ts", "event_id", "value"), out, state, mode="update")
     return streams.current(t.spark, out, ["user_id"], ["-n"])

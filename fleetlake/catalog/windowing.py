@@ -119,6 +119,21 @@ def _(t):
     return df.select("o_orderkey", "o_custkey", F.col("r").cast("double").alias("running_total"), "orders_so_far")
 
 
+@query(
+    "win_running_by_range",
+    """SELECT line_id, l_returnflag, ROW_NUMBER() OVER w AS seq, CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,4))) OVER w AS DOUBLE) AS running_total
+        FROM (SELECT DISTINCT ON (l_orderkey, l_linenumber) 'LN' || LPAD(CAST(l_orderkey AS VARCHAR), 12, '0') || '-' || CAST(l_linenumber AS VARCHAR) AS line_id, l_returnflag, l_extendedprice FROM staged_lineitem)
+        WINDOW w AS (PARTITION BY l_returnflag ORDER BY line_id ROWS UNBOUNDED PRECEDING)""",
+)
+def _(t):
+    # three groups hold all rows and the order is a text id: cut into ranges whatever the size
+    line = F.concat(F.lit("LN"), F.lpad(F.col("l_orderkey").cast("string"), 12, "0"), F.lit("-"), F.col("l_linenumber").cast("string"))
+    df = t["staged_lineitem"].select(line.alias("line_id"), "l_returnflag", "l_extendedprice")
+    split = scale.Split(df, ["l_returnflag"], ["line_id"], force=True)
+    out = scale.running(df, ["l_returnflag"], ["line_id"], {"seq": F.lit(1).cast("bigint"), "r": fn.money("l_extendedprice")}, split=split)
+    return out.select("line_id", "l_returnflag", "seq", F.col("r").cast("double").alias("running_total"))
+
+
 _FRAMES = {"avg_3": 3, "avg_5": 5, "avg_7": 7, "avg_30": 30}
 
 
@@ -153,7 +168,7 @@ def _(t):
 )
 def _(t):
     w = Window.partitionBy(F.year("month")).orderBy("month").rowsBetween(Window.unboundedPreceding, 0)
-    return monthly_orders(t).select("month", F.sum(fn.money("revenue")).over(w).cast("double").alias("ytd"))
+    return monthly_orders(t).select("month", F.sum(fn.wide_money("revenue")).over(w).cast("double").alias("ytd"))
 
 
 @query(
@@ -173,7 +188,7 @@ def _(t):
 def _(t):
     o = t["orders"].select("o_orderkey", "o_orderpriority", "o_totalprice")
     mean = o.groupBy("o_orderpriority").agg(davg("o_totalprice").alias("avg_price"))
-    df = o.join(scale.broadcast_if_small(mean), "o_orderpriority")
+    df = o.join(mean, "o_orderpriority")
     return df.select("o_orderkey", "o_orderpriority", "avg_price", (F.col("o_totalprice") / F.col("avg_price")).alias("price_index"))
 
 

@@ -66,9 +66,13 @@ def detect_new_rows(current: DataFrame, state: DataFrame) -> DataFrame:
 
 
 def after_watermark(df: DataFrame, ts: str, state: DataFrame, table: str) -> DataFrame:
-    """Rows newer than the recorded watermark; everything when there is none."""
+    """Rows from the recorded watermark on; everything when there is none.
+
+    Rows at the watermark itself come again: more of them may have arrived since. The merge
+    that follows goes by key, so a row that was loaded before is not doubled.
+    """
     seen = state.where(F.col("table_name") == table).agg(F.max("watermark")).scalar()
-    return df.where(seen.isNull() | (F.col(ts) > seen))
+    return df.where(seen.isNull() | (F.col(ts) >= seen))
 
 
 def write_months(df: DataFrame, path: str, date: str) -> None:
@@ -83,14 +87,20 @@ def write_months(df: DataFrame, path: str, date: str) -> None:
 def merge_months(spark: SparkSession, path: str, delta: DataFrame, date: str, keys: Sequence[str]) -> None:
     """Upsert ``delta`` into a month-partitioned table, rewriting only the touched months.
 
-    A key is expected to keep its month.
+    Touched are the months of the new rows and the months in which their keys lie so far, so a
+    row whose date moved leaves its old month. A month that loses its last row is written empty.
     """
-    touched = delta.select(F.date_format(date, "yyyy-MM").alias("month_key")).distinct()
+    fresh = materialise(dedup_latest(delta, keys, [f"-{date}", *[c for c in delta.columns if c != date]]), "delta")
+    table = spark.read.parquet(path)
+    moved = table.select("month_key", *keys).join(fresh.select(*keys), list(keys), "left_semi").select("month_key")
+    touched = materialise(moved.union(fresh.select(F.date_format(date, "yyyy-MM").alias("month_key"))).distinct(), "months")
     # partition pruning happens at run time through the join on the partition column
-    old = spark.read.parquet(path).join(F.broadcast(touched), "month_key", "left_semi").drop("month_key")
-    fresh = dedup_latest(delta, keys, [f"-{date}", *[c for c in delta.columns if c != date]])
+    old = table.join(touched, "month_key", "left_semi").drop("month_key")
     merged = materialise(upsert(old.select(*delta.columns), fresh, keys), "merge")
     write_months(merged, path, date)
+    left = touched.join(merged.select(F.date_format(date, "yyyy-MM").alias("month_key")), "month_key", "left_anti")
+    for row in left.collect():  # calendar months, and only those that lost all their rows
+        merged.limit(0).write.mode("overwrite").parquet(f"{path}/month_key={row['month_key']}")
 
 
 def input_inventory(df: DataFrame, kind: str = "parquet") -> DataFrame:
@@ -104,11 +114,12 @@ def run_manifest(df: DataFrame, run_id: str) -> DataFrame:
     return input_inventory(df).withColumns({"run_id": F.lit(run_id), "state": F.lit("processed")})
 
 
-def lineage(edges: DataFrame, start: DataFrame, downstream: bool = True, max_depth: int = 100) -> DataFrame:
+def lineage(edges: DataFrame, start: DataFrame, downstream: bool = True, max_depth: int | None = None) -> DataFrame:
     """All nodes reachable from ``start`` (column ``node``) over ``source -> target`` edges, with their depth.
 
-    One distributed join per level; each level is written to the shared folder, so the
-    plan does not grow and a lost executor costs one level at most.
+    One distributed join per level, until a level finds nothing new; each level is written to the
+    shared folder, so the plan does not grow and a lost executor costs one level at most. A given
+    ``max_depth`` that is reached before the end raises.
     """
     a, b = ("source", "target") if downstream else ("target", "source")
     links = edges.select(F.col(a).alias("node"), F.col(b).alias("next")).distinct()
@@ -118,13 +129,17 @@ def lineage(edges: DataFrame, start: DataFrame, downstream: bool = True, max_dep
     frontier.write.parquet(f"{root}/level=0")
     seen = spark.read.parquet(f"{root}/level=0")
     frontier = seen
-    for level in range(1, max_depth + 1):
+    level = 0
+    while True:
+        level += 1
         reached = frontier.join(links, "node").select(F.col("next").alias("node")).distinct()
         fresh = reached.join(seen, "node", "left_anti").withColumn("depth", F.lit(level))
         fresh.write.parquet(f"{root}/level={level}")
         frontier = spark.read.schema(fresh.schema).parquet(f"{root}/level={level}")
         if frontier.isEmpty():
             break
+        if max_depth is not None and level > max_depth:
+            raise ValueError(f"lineage goes deeper than {max_depth} levels")
         seen = spark.read.schema(fresh.schema).parquet(*[f"{root}/level={i}" for i in range(level + 1)])
     return seen.where(F.col("depth") > 0)
 

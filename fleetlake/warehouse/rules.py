@@ -99,14 +99,12 @@ def expense_spine(months: DataFrame, bases: DataFrame, key: str, shares: Mapping
     return df.select(column, key, F.col("_c.category").alias("category"), (F.col("base").cast("decimal(18,4)") * F.col("_c.share")).cast("double").alias("amount"))
 
 
-def rate_matrix(fleets: DataFrame, types: DataFrame, valid_from: str, valid_to: str, multipliers: Mapping[str, float] = BOOKING_MULTIPLIERS, max_types: int = 10_000) -> DataFrame:
+def rate_matrix(fleets: DataFrame, types: DataFrame, valid_from: str, valid_to: str, multipliers: Mapping[str, float] = BOOKING_MULTIPLIERS) -> DataFrame:
     """Daily rate per fleet, vehicle type and booking type with its validity.
 
-    ``types`` (``category, daily_rate``) is a short catalogue; its size is checked before it
-    is turned into an array that every fleet explodes.
+    Every fleet gets a rate for every type: the product is the result. ``types``
+    (``category, daily_rate``) becomes one array that each fleet explodes.
     """
-    if types.limit(max_types + 1).count() > max_types:
-        raise ValueError(f"more than {max_types} vehicle types")
     catalogue = types.agg(F.collect_list(F.struct("category", "daily_rate"))).scalar()
     cells = F.array(*[F.struct(F.lit(b).alias("booking_type"), F.lit(m).cast("decimal(4,2)").alias("factor")) for b, m in multipliers.items()])
     df = fleets.withColumn("_t", F.explode(catalogue)).withColumn("_b", F.explode(cells))

@@ -117,10 +117,20 @@ def test_conflicts_are_linked_not_paired(spark):
     assert sorted((r.id, r.next_id) for r in rows)[:2] == [(0, 1), (1, 2)]
 
 
-def test_short_list_refuses_long_ones(spark):
-    with pytest.raises(ValueError):
-        joins.short_list(spark.range(20).withColumnRenamed("id", "x"), "x", 10)
+def test_first_values_of_many(spark):
+    assert joins.first_values(spark.range(20).withColumnRenamed("id", "x"), "x", 12) == list(range(12))
+
+
+def test_totals_of_totals_do_not_overflow(spark):
+    from fleetlake.operators.aggregates import share_of_total
 
+    df = spark.createDataFrame([("a", 7.5e15), ("b", 2.5e15), ("c", float("nan"))], "k string, v double")
+    got = {r["k"]: r["share"] for r in share_of_total(df, "v", "share").collect()}
+    assert (got["a"], got["b"]) == (75.0, 25.0)
+    assert df.agg(fn.wide_sum("v")).first()[0] == 1e16
+    one = spark.createDataFrame([(1.25,), (float("nan"),), (float("inf"),), (None,)], "v double")
+    assert one.agg(fn.dsum("v")).first()[0] == 1.25
+    assert [r[0] for r in one.select(fn.money("v").cast("double")).collect()] == [1.25, None, None, None]
 
 def test_sets(spark):
     target = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")

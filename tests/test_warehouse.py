@@ -1,5 +1,6 @@
 from datetime import date, datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from fleetlake.operators.sets import upsert
@@ -85,7 +86,7 @@ def test_state_and_watermark(spark):
     empty = load.read_state(spark, scratch_path(spark, "no-state"))
     assert load.after_watermark(df, "ts", empty, "t").count() == 2
     state = load.measure_state({"t": (df.where("id = 1"), "ts")})
-    assert [r.id for r in load.after_watermark(df, "ts", state, "t").collect()] == [2]
+    assert sorted(r.id for r in load.after_watermark(df, "ts", state, "t").collect()) == [1, 2]  # the boundary row comes again
     got = {r.table_name: (r.new_rows, r.action) for r in load.detect_new_rows(load.measure_state({"t": (df, "ts"), "u": (df, "ts")}), state).collect()}
     assert got == {"t": (1, "incremental load"), "u": (2, "full load")}
 
@@ -138,3 +139,32 @@ def test_fuel_prices_and_scores(spark):
     lit = F.lit
     scores = spark.range(1).select(rules.safety_score(lit(0), lit(0), lit(0), lit(0.0)), rules.safety_score(lit(100), lit(0), lit(0), lit(0.0)), rules.safety_score(lit(2), lit(1), lit(20), lit(10.0))).first()
     assert tuple(scores) == (100.0, 0.0, 92.0)
+
+
+def invoices(spark, rows):
+    return spark.createDataFrame(rows, "id int, d date, v double")
+
+
+def test_merge_moves_rows_between_months(spark):
+    path = scratch_path(spark, "moved")
+    load.write_months(invoices(spark, [(1, date(2024, 1, 5), 1.0), (2, date(2024, 1, 9), 2.0), (3, date(2024, 2, 2), 3.0), (4, date(2024, 3, 3), 4.0)]), path, "d")
+    delta = invoices(spark, [(1, date(2024, 2, 20), 10.0), (4, date(2024, 2, 21), 40.0), (5, date(2024, 4, 1), 5.0)])
+    want = [(1, "2024-02-20", 10.0), (2, "2024-01-09", 2.0), (3, "2024-02-02", 3.0), (4, "2024-02-21", 40.0), (5, "2024-04-01", 5.0)]
+    for _ in range(2):  # the same delta again changes nothing
+        load.merge_months(spark, path, delta, "d", ["id"])
+        assert sorted((r.id, str(r.d), r.v) for r in spark.read.parquet(path).collect()) == want
+
+
+def test_watermark_keeps_rows_of_its_own_day(spark):
+    state = spark.createDataFrame([("t", 2, datetime(2024, 1, 9))], load.STATE_SCHEMA)
+    df = invoices(spark, [(1, date(2024, 1, 8), 1.0), (2, date(2024, 1, 9), 2.0), (3, date(2024, 1, 9), 3.0), (4, date(2024, 1, 10), 4.0)])
+    assert sorted(r.id for r in load.after_watermark(df, "d", state, "t").collect()) == [2, 3, 4]
+    assert load.after_watermark(df, "d", state, "other").count() == 4
+
+
+def test_lineage_goes_to_the_end_or_raises(spark):
+    edges = spark.createDataFrame([(str(i), str(i + 1)) for i in range(104)], "source string, target string")
+    start = spark.createDataFrame([("0",)], "node string")
+    assert load.lineage(edges, start).agg(F.max("depth")).first()[0] == 104
+    with pytest.raises(ValueError, match="deeper than 3"):
+        load.lineage(edges, start, max_depth=3)
