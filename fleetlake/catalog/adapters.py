@@ -158,6 +158,10 @@ def _telematics(t: Tables) -> DataFrame:
         accel.alias("harsh_accels"),
         idle.alias("idle_minutes"),
         (F.col("value") / 2).alias("speeding_km"),
+        F.col("value").alias("distance_km"),
+        (F.col("event_id") % 90 + 10).alias("duration_min"),
+        (F.col("event_id") % 80 + 40).alias("max_speed"),
+        (F.col("value") * 60 / (F.col("event_id") % 90 + 10)).alias("mean_speed"),
         score.alias("safety_score"),
         (F.col("event_type") == "error").alias("accident"),
         (F.col("event_type") == "signup").alias("complaint"),

@@ -11,6 +11,7 @@ from fleetlake.catalog.registry import A, CI, D, M, P, R, S, SI, TS, query
 from fleetlake.catalog.windowing import daily_orders, monthly_orders
 from fleetlake.functions import scalar as fn
 from fleetlake.functions.scalar import count_if, davg, dsum, pct, ratio, rows, sum_if, zero, zero_int
+from fleetlake.models import forecast
 from fleetlake.operators import joins, scale, windows
 from fleetlake.operators.aggregates import pivot_count, pivot_sum, share_of_total, value_counts
 from fleetlake.operators.filters import period_slice
@@ -333,11 +334,12 @@ def _(t):
     return t["drivers"].select("driver_id", "profile", reports.driver_risk_index(_RISK).alias("risk_score"))
 
 
-@query("fleet_audit", f"""SELECT make, COUNT(*) AS vehicles, {CI("status = 'Available'")} AS available, {CI("status = 'Maintenance'")} AS in_service, {CI(f"insurance_expiry < DATE '{AS_OF}'")} AS insurance_expired,
+@query("fleet_audit", f"""SELECT make, COUNT(*) AS vehicles, {CI("status = 'Available'")} AS available, {CI("status = 'On Trip'")} AS on_trip, {CI("status = 'Maintenance'")} AS in_service, {CI("status = 'Retired'")} AS retired, {CI(f"insurance_expiry < DATE '{AS_OF}'")} AS insurance_expired,
     {CI(f"fitness_expiry < DATE '{AS_OF}'")} AS fitness_expired FROM vehicles GROUP BY 1""")
 def _(t):
     return t["vehicles"].groupBy("make").agg(
         rows().alias("vehicles"), count_if(F.col("status") == "Available").alias("available"), count_if(F.col("status") == "Maintenance").alias("in_service"),
+        count_if(F.col("status") == "On Trip").alias("on_trip"), count_if(F.col("status") == "Retired").alias("retired"),
         count_if(F.col("insurance_expiry") < as_of()).alias("insurance_expired"), count_if(F.col("fitness_expiry") < as_of()).alias("fitness_expired"),
     )
 
@@ -377,9 +379,10 @@ _IN = f"BETWEEN TIMESTAMP '{_PERIOD[0]}' AND TIMESTAMP '{_PERIOD[1]}'"
 
 @query(
     "report_financial",
-    f"""SELECT *, gross - discount AS subtotal, gross - discount + tax - opex AS net, {P('gross - discount + tax - opex', 'gross')} AS net_margin_pct FROM (
+    f"""SELECT *, gross + surcharge - discount AS subtotal, gross + surcharge - discount + tax - opex AS net, {P('gross + surcharge - discount + tax - opex', 'gross')} AS net_margin_pct FROM (
         SELECT {S('l_extendedprice')} AS gross, CAST(SUM(CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(18,4))) AS DOUBLE) AS discount,
-        CAST(SUM(CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(18,4))) AS DOUBLE) AS tax FROM lineitem WHERE l_shipdate {_IN}),
+        CAST(SUM(CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(18,4))) AS DOUBLE) AS tax,
+        COALESCE(CAST(SUM(CASE WHEN EXTRACT(isodow FROM l_shipdate) >= 6 THEN CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(0.05 AS DECIMAL(4,2)) AS DECIMAL(18,4)) END) AS DOUBLE), 0.0::DOUBLE) AS surcharge FROM lineitem WHERE l_shipdate {_IN}),
         (SELECT {S('amount')} AS opex FROM opex WHERE expense_month BETWEEN DATE '{_PERIOD[0]}' AND DATE '{_PERIOD[1]}')""",
 )
 def _(t):
@@ -388,10 +391,13 @@ def _(t):
     one = li.agg(
         dsum("l_extendedprice").alias("gross"), F.sum((price * F.col("l_discount").cast("decimal(4,2)")).cast(fn.MONEY)).cast("double").alias("discount"),
         F.sum((price * F.col("l_tax").cast("decimal(4,2)")).cast(fn.MONEY)).cast("double").alias("tax"),
+        F.coalesce(F.sum(F.when(fn.is_weekend("l_shipdate"), (price * F.lit(0.05).cast("decimal(4,2)")).cast(fn.MONEY))).cast("double"), F.lit(0.0)).alias("surcharge"),
     )
     cost = t["opex"].where(F.col("expense_month").between(*[F.lit(d).cast("date") for d in _PERIOD])).agg(dsum("amount").alias("opex"))
-    net = F.col("gross") - F.col("discount") + F.col("tax") - F.col("opex")
-    return one_row(one, cost).withColumns({"subtotal": F.col("gross") - F.col("discount"), "net": net, "net_margin_pct": pct(net, "gross")})
+    # the weekend surcharge of 5 percent is billed on top of the gross price
+    subtotal = F.col("gross") + F.col("surcharge") - F.col("discount")
+    net = subtotal + F.col("tax") - F.col("opex")
+    return one_row(one, cost).withColumns({"subtotal": subtotal, "net": net, "net_margin_pct": pct(net, "gross")})
 
 
 @query(
@@ -567,17 +573,33 @@ def _(t):
     return one.select(ratio("revenue", "vehicles").alias("revenue_per_vehicle"), ratio("fuel", "km").alias("fuel_cost_per_km"), "completion_pct")
 
 
+_UTILISATION_SQL = f"""SELECT LEAST(100.0::DOUBLE, days_used * 100.0::DOUBLE / (fleet * span_days)) FROM (SELECT {S('duration_days')} AS days_used,
+    DATE_DIFF('day', MIN(pickup_datetime), MAX(pickup_datetime)) + 1 AS span_days FROM trips WHERE {DONE}), (SELECT {CI("status <> 'Retired'")} AS fleet FROM vehicles)"""
+_CHURN_SQL = f"SELECT {P(CI('days > 180'), 'COUNT(*)')} FROM (SELECT customer_id, DATE_DIFF('day', MAX(invoice_date), DATE '{AS_OF}') AS days FROM invoices GROUP BY 1)"
+
+
+def utilisation(t):
+    """Vehicle days used as a share of the vehicle days on hand, at most 100 percent; one row."""
+    used = t["trips"].where(done()).agg(
+        dsum("duration_days").alias("days_used"), (fn.days_between(F.min("pickup_datetime"), F.max("pickup_datetime")) + 1).alias("span_days")
+    )
+    fleet = t["vehicles"].agg(count_if(F.col("status") != "Retired").alias("fleet"))
+    return one_row(used, fleet).select(F.least(F.lit(100.0), pct("days_used", F.col("fleet") * F.col("span_days"))).alias("utilisation"))
+
+
 def _metrics_sql():
     m = {
         "gross_revenue": S("trip_fare"), "avg_fare": A("trip_fare"), "cancel_rate": P(CI(CANC), "COUNT(*)"), "active_customers": "COUNT(DISTINCT customer_id)::DOUBLE",
         "revenue_per_km": f"{S('trip_fare')} / {S('distance_km')}", "vehicles_used": "COUNT(DISTINCT vehicle_id)::DOUBLE", "dq_rate": P(CI("pickup_datetime < booking_datetime"), "COUNT(*)"),
     }
-    return " UNION ALL ".join(f"SELECT '{n}' AS metric, {c} AS value FROM booked_trips" for n, c in m.items())
+    return " UNION ALL ".join(f"SELECT '{n}' AS metric, {c} AS value FROM booked_trips" for n, c in m.items()) + f" UNION ALL SELECT 'utilisation', ({_UTILISATION_SQL}) UNION ALL SELECT 'churn_rate', ({_CHURN_SQL})"
 
 
 @query("metric_layer", _metrics_sql())
 def _(t):
-    return reports.metric_layer(
+    last = t["invoices"].groupBy("customer_id").agg(F.max("invoice_date").alias("last"))
+    gone = fn.days_between("last", as_of()) > 180
+    booked = reports.metric_layer(
         t["booked_trips"],
         {
             "gross_revenue": dsum("trip_fare"), "avg_fare": davg("trip_fare"), "cancel_rate": pct(count_if(cancelled()), rows()), "active_customers": F.count_distinct("customer_id"),
@@ -585,6 +607,7 @@ def _(t):
             "dq_rate": pct(count_if(F.col("pickup_datetime") < F.col("booking_datetime")), rows()),
         },
     )
+    return union_all(booked, reports.unpivot_row(utilisation(t)), reports.metric_layer(last, {"churn_rate": pct(count_if(gone), rows())}))
 
 
 def _flags_sql():
@@ -592,8 +615,9 @@ def _flags_sql():
         "collection_rate": f"SELECT {P(S('paid_amount'), S('total_amount'))} FROM invoices", "cancel_rate": f"SELECT {P(CI(CANC), 'COUNT(*)')} FROM trips",
         "safety_score": f"SELECT {A('safety_score')} FROM telematics", "fuel_efficiency": f"SELECT {A('efficiency')} FROM fuel_logs",
         "repeat_rate": f"SELECT {P(CI('n > 1'), 'COUNT(*)')} FROM (SELECT customer_id, COUNT(*) AS n FROM invoices GROUP BY 1)",
+        "utilisation": _UTILISATION_SQL,
     }
-    rules = {"collection_rate": (92, 80, 1), "cancel_rate": (8, 15, 0), "safety_score": (70, 55, 1), "fuel_efficiency": (12, 9, 1), "repeat_rate": (40, 0, 1)}
+    rules = {"collection_rate": (92, 80, 1), "cancel_rate": (8, 15, 0), "safety_score": (70, 55, 1), "fuel_efficiency": (12, 9, 1), "repeat_rate": (40, 0, 1), "utilisation": (65, 45, 1)}
     out = []
     for n, q in vals.items():
         g, w, up = rules[n]
@@ -611,6 +635,7 @@ def _(t):
         reports.metric_layer(t["telematics"], {"safety_score": davg("safety_score")}),
         reports.metric_layer(t["fuel_logs"], {"fuel_efficiency": davg("efficiency")}),
         reports.metric_layer(per_customer, {"repeat_rate": pct(count_if(F.col("n") > 1), rows())}),
+        reports.unpivot_row(utilisation(t)),
     )
     return reports.kpi_flags(metrics)
 
@@ -668,12 +693,21 @@ def _(t):
     )
 
 
+@query("forecast_outlook")
+def _(t):
+    """Per fleet: growth of the revenue forecast against the last actual month, and its peak month."""
+    series = forecast.revenue_forecast(t["fleet_invoices"], "fleet_id", "invoice_date", "total_amount")
+    actual = t["fleet_invoices"].groupBy("fleet_id", fn.month_start("invoice_date").alias("month")).agg(dsum("total_amount").alias("revenue"))
+    last = actual.groupBy("fleet_id").agg(F.max_by("revenue", "month").alias("last_actual"), F.max("month").alias("last_month"))
+    return forecast.outlook(series, last, "fleet_id")
+
+
 @query(
     "monthly_events",
-    """SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, COUNT(*) AS errors FROM events WHERE event_type = 'error' GROUP BY 1""",
+    """SELECT STRFTIME(ts, '%Y-%m') AS period, COUNT(*) AS errors FROM events WHERE event_type = 'error' GROUP BY 1""",
 )
 def _(t):
-    return t["events"].where(F.col("event_type") == "error").groupBy(F.to_date("ts").alias("day")).agg(rows().alias("errors"))
+    return reports.trend(t["events"].where(F.col("event_type") == "error"), "ts", "month", {"errors": rows()})
 
 
 @query("monthly_maintenance", f"SELECT {D(M('maintenance_date'))} AS month, {S('total_cost')} AS total_cost, COUNT(*) AS services FROM maintenance GROUP BY 1")

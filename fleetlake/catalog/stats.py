@@ -13,8 +13,22 @@ from fleetlake.plans.customers import rfm_raw
 from fleetlake.quality import profile
 from fleetlake.session import materialise
 
-# trees in the registered runs; the library defaults are larger
-TREES = 20
+
+def fitted(t, name, fit):
+    """A model and its scored test rows, trained once per opened folder however many queries report on it."""
+    known = t.__dict__.setdefault("fitted", {})
+    if name not in known:
+        model, scored = fit()
+        known[name] = (model, materialise(scored, f"scored-{name}"))
+    return known[name]
+
+
+def safety_model(t):
+    return fitted(t, "safety", lambda: training.train_safety(features.safety(t["telematics"], t["telem_drivers"], training.SAFETY_FEATURES)))
+
+
+def pricing_model(t):
+    return fitted(t, "pricing", lambda: training.train_pricing(pricing_frame(t)))
 
 
 @query(
@@ -127,14 +141,14 @@ def _(t):
 
 @query("driver_safety_model")
 def _(t):
-    model, scored = training.train_safety(features.safety(t["telematics"], t["telem_drivers"]), trees=TREES)
+    _, scored = safety_model(t)
     return scored.groupBy("profile", "predicted_profile").agg(rows().alias("n"))
 
 
 @query("demand_model")
 def _(t):
     frame = features.demand(t["city_trips"], "pickup_datetime", "pickup_city")
-    model, _ = training.train_demand(frame, trees=TREES)
+    model, _ = fitted(t, "demand", lambda: training.train_demand(frame))
     cities = t["nation"].select(F.col("n_name").alias("city"))
     return training.forecast_demand(model, cities, AS_OF)
 
@@ -146,30 +160,30 @@ def _(t):
 
 @query("maintenance_model")
 def _(t):
-    _, scored = training.train_maintenance(maintenance_frame(t), trees=TREES)
-    risky = training.at_risk(scored, 0.5)
+    _, scored = fitted(t, "maintenance", lambda: training.train_maintenance(maintenance_frame(t)))
+    risky = training.at_risk(scored)
     return risky.groupBy("vehicle_id").agg(F.max("risk").alias("risk"), rows().alias("services"))
 
 
 @query("pricing_model")
 def _(t):
-    _, scored = training.train_pricing(pricing_frame(t), trees=TREES)
+    _, scored = pricing_model(t)
     return training.regression_report(scored)
 
 
 @query("price_surface")
 def _(t):
-    model, _ = training.train_pricing(pricing_frame(t), trees=TREES)
+    model, _ = pricing_model(t)
     return training.price_surface(model, t["nation"].select(F.col("n_name").alias("city")), "1-URGENT", 250.0)
 
 
 @query("model_report")
 def _(t):
-    _, scored = training.train_safety(features.safety(t["telematics"], t["telem_drivers"]), trees=TREES)
+    _, scored = safety_model(t)
     return training.classification_report(scored)
 
 
 @query("feature_importance")
 def _(t):
-    model, scored = training.train_safety(features.safety(t["telematics"], t["telem_drivers"]), trees=TREES)
+    model, scored = safety_model(t)
     return training.feature_importance(scored, model, training.SAFETY_FEATURES, 2)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,10 +19,9 @@ def calendar(day: Column | str) -> dict[str, Column]:
     }
 
 
-def safety(tel: DataFrame, drivers: DataFrame) -> DataFrame:
-    """Behaviour measures per trip with the driver's profile as label; rows without a profile are left out."""
+def safety(tel: DataFrame, drivers: DataFrame, cols: Sequence[str] = ("harsh_brakes", "harsh_accels", "idle_minutes", "speeding_km")) -> DataFrame:
+    """Behaviour measures ``cols`` per trip with the driver's profile as label; rows without a profile are left out."""
     df = tel.join(drivers.where(F.col("profile").isNotNull()), "driver_id")
-    cols = ["harsh_brakes", "harsh_accels", "idle_minutes", "speeding_km"]
     return df.select("telem_id", *[F.coalesce(F.col(c), F.lit(0)).cast("double").alias(c) for c in cols], "profile")
 
 

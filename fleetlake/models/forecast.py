@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlake.functions.scalar import dsum, month_start
+from fleetlake.functions.scalar import dsum, month_start, pct
 
 BAND = 0.15
 MIN_MONTHS = 12
@@ -63,3 +63,12 @@ def revenue_forecast(df: DataFrame, key: str, ts: str, amount: str, periods: int
         )
 
     return monthly.groupBy(key).applyInPandas(fit, f"{key} {kind}, month date, forecast double, lower double, upper double")
+
+
+def outlook(series: DataFrame, actual: DataFrame, key: str) -> DataFrame:
+    """Per key: mean forecast, growth of the first forecast month against ``last_actual`` in percent, peak month and its value."""
+    ahead = series.groupBy(key).agg(
+        F.min_by("forecast", "month").alias("next_forecast"), F.avg("forecast").alias("mean_forecast"), F.max_by("month", "forecast").alias("peak_month"), F.max("forecast").alias("peak")
+    )
+    joined = ahead.join(actual, key)
+    return joined.withColumn("growth_pct", pct(F.col("next_forecast") - F.col("last_actual"), "last_actual"))

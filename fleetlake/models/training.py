@@ -18,7 +18,7 @@ from fleetlake.models import features
 from fleetlake.operators.sets import union_all
 from fleetlake.session import materialise
 
-SAFETY_FEATURES = ["harsh_brakes", "harsh_accels", "idle_minutes", "speeding_km"]
+SAFETY_FEATURES = ["harsh_brakes", "harsh_accels", "idle_minutes", "speeding_km", "distance_km", "duration_min", "max_speed", "mean_speed"]
 DEMAND_FEATURES = ["dow", "month", "year", "is_weekend", "day_of_month", "city_code"]
 MAINTENANCE_FEATURES = ["vehicle_age", "odometer_km", "days_since_last", "type_code"]
 PRICING_FEATURES = ["month", "dow", "is_weekend", "city_code", "type_code", "distance_km"]
@@ -39,14 +39,18 @@ def _bins(df: DataFrame, columns: Sequence[str], least: int = 32) -> int:
     return max(least, *[int(sizes[c] * 1.1) + 2 for c in columns])
 
 
-def train_safety(df: DataFrame, trees: int = 150, depth: int = 8) -> tuple[PipelineModel, DataFrame]:
-    """Behaviour profile from trip measures; returns the model and the scored test rows."""
+def train_safety(df: DataFrame, trees: int = 150, depth: int = 8, columns: Sequence[str] | None = None) -> tuple[PipelineModel, DataFrame]:
+    """Behaviour profile from trip measures; returns the model and the scored test rows.
+
+    ``columns`` are the features; by default all columns of ``df`` but the key and the label.
+    """
+    columns = columns or [c for c in df.columns if c not in ("telem_id", "profile")]
     df = materialise(df, "safety-frame")
     train, test = features.hash_split(df, "telem_id", 0.2)
     label = StringIndexer(inputCol="profile", outputCol="label", stringOrderType="alphabetAsc").fit(df)
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=42)
     names = IndexToString(inputCol="prediction", outputCol="predicted_profile", labels=label.labels)
-    model = Pipeline(stages=[label, _vector(SAFETY_FEATURES), forest, names]).fit(train)
+    model = Pipeline(stages=[label, _vector(columns), forest, names]).fit(train)
     return model, model.transform(test)
 
 
