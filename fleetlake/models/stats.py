@@ -25,6 +25,7 @@ def quantile_scores(df: DataFrame, columns: dict[str, tuple[str, bool]], bins: i
 
     Equal edges collapse, as there is then no bin between them. Missing values get NULL.
     """
+    df = materialise(df, "scored")  # read by every score
     out = df
     probs = [i / bins for i in range(1, bins)]
     for name, (column, low_is_best) in columns.items():

@@ -87,33 +87,32 @@ def price_steps(timeline: Sequence[tuple[str, float]], on: Column, default: floa
 def asof_join(
     facts: DataFrame, timeline: DataFrame, by: Sequence[str], on: str, since: str, value: str, default=None
 ) -> DataFrame:
-    """Each fact with the value in force at ``on``: the last entry with ``since <= on``.
+    """Each fact with the value in force at ``on``: the last entry with ``since <= on``, by day.
 
-    The timeline (any size) becomes half-open validity intervals spread over calendar
-    months, so the join has the equality keys ``by`` + month and only a residual range
-    test. A hot key is thereby spread over its months, and AQE splits what stays skewed.
+    Facts and timeline are put in one order per key, timeline entries before the facts of
+    their day, and the last entry is carried forward: one shuffle, no range join. Where a key
+    is too large for one task, entries are numbered along the split order instead, and a fact
+    meets its entry by number. Facts with a NULL key or day get no value.
     """
-    bounds = facts.agg(F.max(F.to_date(on)).alias("hi"), F.min(F.to_date(on)).alias("lo"))
-    w = Window.partitionBy(*by).orderBy(since)
-    valid = timeline.select(
-        *by, F.to_date(since).alias("_from"), F.lead(F.to_date(since)).over(w).alias("_to"), F.col(value)
-    )
-    top, low = F.trunc(bounds.select("hi").scalar(), "month"), F.trunc(bounds.select("lo").scalar(), "month")
-    first = F.greatest(F.trunc("_from", "month"), low)
-    last = F.least(F.coalesce(F.trunc("_to", "month"), top), top)
-    months = valid.where(first <= last).withColumn(
-        "_m", F.explode(F.sequence(first, last, F.expr("INTERVAL '1' MONTH")))
-    )
-    names = {k: f"_b_{k}" for k in by}
-    right = months.withColumnsRenamed(names)
-    on_day = F.to_date(F.col(on))
-    keyed = facts.withColumn("_fm", F.trunc(F.col(on), "month"))
-    cond = (
-        [F.col(k) == F.col(n) for k, n in names.items()]
-        + [F.col("_fm") == F.col("_m"), on_day >= F.col("_from")]
-        + [F.col("_to").isNull() | (on_day < F.col("_to"))]
-    )
-    out = keyed.join(right, cond, "left").drop("_fm", "_m", "_from", "_to", *names.values())
+    known = F.col("_at").isNotNull()
+    for k in by:
+        known = known & F.col(k).isNotNull()
+    entries = timeline.select(*by, F.to_date(since).alias("_at"), F.col(value).alias("_value")).where(known)
+    left = facts.withColumn("_at", F.to_date(F.col(on)))
+    both = left.withColumn("_fact", F.lit(True)).unionByName(entries.withColumn("_fact", F.lit(False)), allowMissingColumns=True)
+    both = both.withColumn("_tie", F.xxhash64(*[c for c in both.columns if not c.startswith("_")]))  # splits a day with very many facts
+    order = ["_at", "_fact", "_tie"]
+    split = scale.Split(both, by, order)
+    if split.small:
+        w = Window.partitionBy(*by).orderBy(*scale.order_columns(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        carried = F.last(F.when(~F.col("_fact"), F.struct("_value")), ignorenulls=True).over(w)["_value"]
+        found = split.of(both).withColumn("_carried", carried)
+    else:
+        entry = F.when(F.col("_fact"), 0).otherwise(1).cast("bigint")
+        numbered = scale.running(both, by, order, {"_nth": entry}, split=split)
+        steps = numbered.where(~F.col("_fact")).select(*by, "_nth", F.col("_value").alias("_carried"))
+        found = numbered.join(steps, [*by, "_nth"], "left")
+    out = found.where("_fact").select(*facts.columns, F.when(known, F.col("_carried")).alias(value))
     return out if default is None else out.withColumn(value, F.coalesce(F.col(value), F.lit(default)))
 
 
