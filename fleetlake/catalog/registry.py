@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,15 +63,19 @@ def portable(df: DataFrame) -> DataFrame:
     )
 
 
-_OPEN: dict[tuple[str, int, str], Tables] = {}
+_OPEN: WeakKeyDictionary[SparkSession, dict[str, Tables]] = WeakKeyDictionary()
 
 
-def open_tables(spark: SparkSession, root: str) -> Tables:
-    """The tables of a folder, opened once per session: plans are shared, no data is kept."""
-    key = (spark.sparkContext.applicationId, id(spark), root)
-    if key not in _OPEN:
-        _OPEN[key] = Tables(spark, root)
-    return _OPEN[key]
+def open_tables(spark: SparkSession, root: str, refresh: bool = False) -> Tables:
+    """The tables of a folder, opened once per session: plans are shared, no data is kept.
+
+    ``refresh`` opens them again, for a folder whose files have changed since. An entry goes
+    with its session.
+    """
+    known = _OPEN.setdefault(spark, {})
+    if refresh or root not in known:
+        known[root] = Tables(spark, root)
+    return known[root]
 
 
 def bind(name: str) -> Callable[[SparkSession, str], DataFrame]:

@@ -62,9 +62,24 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """Where this application keeps its intermediate tables."""
+    return f"{shared_dir(spark)}/fleetlake/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/fleetlake/{label}-{uuid.uuid4().hex}"
+    """A fresh path in the application's part of the shared folder."""
+    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def remove_scratch(spark: SparkSession) -> bool:
+    """Delete this application's intermediate tables; call it when no frame that reads them is needed any more.
+
+    Results are lazy and may still read them, so this is for the end of a job, not of a query. Other
+    applications' folders are not touched. True if there was anything to delete.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

@@ -10,10 +10,11 @@ SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    from fleetlake.session import local_session
+    from fleetlake.session import local_session, remove_scratch
 
     session = local_session("tests", cores="8", partitions=4)
     yield session
+    remove_scratch(session)
     session.stop()
 
 

@@ -47,3 +47,15 @@ def test_exact_sums_stay_in_generated_code(spark, tables):
     g = tables["orders"].groupBy("o_orderstatus").agg(dsum("o_totalprice").alias("s"))
     assert "*(1) HashAggregate" in plan(g) or "HashAggregate" in plan(g)
     assert "SortAggregate" not in plan(g) and "ObjectHashAggregate" not in plan(g)
+
+
+def test_scratch_is_removed(spark, monkeypatch):
+    from fleetlake import session
+
+    monkeypatch.setattr(session, "scratch_root", lambda s: f"{session.shared_dir(s)}/fleetlake/a-job")
+    kept = session.materialise(spark.range(3).toDF("x"), "kept")
+    path = spark._jvm.org.apache.hadoop.fs.Path(session.scratch_root(spark))
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    assert kept.count() == 3 and files.exists(path)
+    assert session.remove_scratch(spark) and not files.exists(path)
+    assert not session.remove_scratch(spark)
