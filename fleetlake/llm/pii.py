@@ -5,8 +5,8 @@ by cue words before it; transitions tie the words of one item together. It is tr
 labelled table below (maximum likelihood, forward-backward, gradient steps from zero: always the same
 weights). Decoding packs the sequences of a batch side by side and runs Viterbi over all of them at once.
 
-A sequence is a stretch of words around words that hold a digit or an ``@``, with ``CONTEXT`` words
-on either side; stretches that touch are one sequence. Words elsewhere have no personal data.
+A sequence is a stretch of words around words that hold a digit, an ``@`` or a bracketed ``at``, with
+``CONTEXT`` words on either side; stretches that touch are one sequence. Words elsewhere have no personal data.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ LABELS = ("O", "email", "+email", "ip", "+ip", "card", "+card", "phone", "+phone
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 BLANKS = frozenset("\x20\x09\x0a\x0b\x0c\x0d")
-SEED = re.compile("[0-9@]")
+SEED = re.compile(r"[0-9@]|[\[({]at[\])}]")
 EDGE_LEFT, EDGE_RIGHT = "\"'<[{:;,.!?|*#$%&=", "\"'>]});:,.!?|*#$%&="
 
 # The labelled table. An item stands in braces: {kind words}; everything else is no personal data.
@@ -262,7 +262,7 @@ def viterbi(emission: list[np.ndarray], move: np.ndarray) -> list[np.ndarray]:
 
 
 def sequences(text: str) -> list[list[tuple[int, int]]]:
-    """Stretches of words, as (start, end), around words with a digit or @."""
+    """Stretches of words, as (start, end), around words with a digit, @ or a bracketed at."""
     out: list[list[tuple[int, int]]] = []
     done, n = 0, len(text)  # words before ``done`` are in a sequence or have been passed
     m = SEED.search(text)
