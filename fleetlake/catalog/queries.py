@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from fleetlake.catalog.adapters import AS_OF
 from fleetlake.catalog.registry import A, CI, D, M, P, R, S, SI, TS, query
+from fleetlake.constants import DOWNTIME_BEYOND, DOWNTIME_CATEGORIES, IDLE_FUEL_PRICE, IDLE_LITRES_PER_HOUR, RISK_BEYOND, RISK_CATEGORIES, RISK_WEIGHTS
 from fleetlake.functions import scalar as fn
 from fleetlake.functions.scalar import count_if, davg, dsum, pct, ratio, rows, sum_if, zero, zero_int
 from fleetlake.operators import joins, scale, windows
@@ -308,18 +312,13 @@ _DRIVER_KPIS = f"""(SELECT driver_id, COUNT(*) AS total_trips, {A('safety_score'
 )
 def _(t):
     k = driver_kpis(t["telematics"])
-    score = (
-        (100 - F.col("avg_safety")) * 0.35
-        + ratio("total_harsh_brakes", "total_trips") * 15
-        + ratio("total_harsh_accels", "total_trips") * 10
-        + F.col("avg_idle_min") * 0.05
-        + ratio("total_speeding_km", "total_trips") * 0.1
-        + F.col("accidents") * 8
-        + F.col("complaints") * 3
-    )
+    parts = {
+        "lost safety": 100 - F.col("avg_safety"), "brakes per trip": ratio("total_harsh_brakes", "total_trips"), "accelerations per trip": ratio("total_harsh_accels", "total_trips"),
+        "mean idle minutes": F.col("avg_idle_min"), "speeding km per trip": ratio("total_speeding_km", "total_trips"), "accidents": F.col("accidents"), "complaints": F.col("complaints"),
+    }
+    score = reduce(add, [part * RISK_WEIGHTS[name] for name, part in parts.items()])
     df = materialise(k.withColumn("composite_risk_score", F.round(score, 2)).join(t["telem_drivers"], "driver_id"), "risk")
-    s = F.col("composite_risk_score")
-    category = F.when(s < 20, "Low Risk").when(s < 45, "Medium Risk").when(s < 70, "High Risk").otherwise("Critical")
+    category = fn.below("composite_risk_score", RISK_CATEGORIES, RISK_BEYOND)
     return scale.ranks(df, [], "-composite_risk_score", rank="risk_rank").withColumn("risk_category", category)
 
 
@@ -334,7 +333,7 @@ def _(t):
 def _(t):
     idle = t["telematics"].groupBy("driver_id").agg(F.sum("idle_minutes").alias("total_idle_min"), F.avg("idle_minutes").alias("avg_idle_per_trip"))
     fuel = t["fuel_logs"].groupBy("driver_id").agg(dsum("fuel_cost").alias("total_fuel_cost"), davg("efficiency").alias("avg_efficiency"))
-    est = F.col("total_idle_min") / 60.0 * 0.5 * 260
+    est = F.col("total_idle_min") / 60.0 * IDLE_LITRES_PER_HOUR * IDLE_FUEL_PRICE
     df = joins.preaggregated(idle.join(t["telem_drivers"], "driver_id"), "driver_id", [fuel])
     df = df.withColumns({"est_idle_fuel_cost": est, "idle_pct_of_fuel": F.try_divide(est, "total_fuel_cost") * 100})
     return df.orderBy(F.desc("total_idle_min"), "driver_id").limit(30)
@@ -708,8 +707,7 @@ def downtime(t):
     trips = materialise(trips, "staged-trips")
     df = scale.bounded(trips, ["vehicle_id"], ["pickup_datetime", "trip_id"], {"next_pickup": lambda w: F.lead("pickup_datetime").over(w)}, before=0, after=1)
     df = df.where(F.col("next_pickup").isNotNull()).withColumn("idle_hours", fn.hours_between("dropoff_datetime", "next_pickup"))
-    h = F.col("idle_hours")
-    return df.withColumn("downtime_category", F.when(h < 2, "Immediate").when(h < 24, "Same Day").when(h < 168, "Within Week").otherwise("Extended Downtime"))
+    return df.withColumn("downtime_category", fn.below("idle_hours", DOWNTIME_CATEGORIES, DOWNTIME_BEYOND))
 
 
 @query(

@@ -46,6 +46,47 @@ EXPENSE_SHARES = {
 # Driver behaviour profiles, best to worst.
 PROFILES = ["excellent", "good", "average", "poor", "dangerous"]
 
+# RFM segments in order, as (name, recency at least, frequency at least, recency below, frequency below); None is open.
+RFM_SEGMENTS = [
+    ("Champion", 4, 4, None, None),
+    ("Loyal", 3, 3, None, None),
+    ("New Customer", 4, None, None, 2),
+    ("At Risk", None, 3, 2, None),
+    ("Lost", None, None, 2, 2),
+]
+RFM_OTHER = "Potential"
+
+# Weights of the composite driver risk.
+RISK_WEIGHTS = {
+    "lost safety": 0.35,
+    "brakes per trip": 15,
+    "accelerations per trip": 10,
+    "mean idle minutes": 0.05,
+    "speeding km per trip": 0.1,
+    "accidents": 8,
+    "complaints": 3,
+}
+
+# Upper bounds of the risk categories, and the one beyond.
+RISK_CATEGORIES = [(20, "Low Risk"), (45, "Medium Risk"), (70, "High Risk")]
+RISK_BEYOND = "Critical"
+
+# Upper bounds in hours of the downtime categories, and the one beyond.
+DOWNTIME_CATEGORIES = [(2, "Immediate"), (24, "Same Day"), (168, "Within Week")]
+DOWNTIME_BEYOND = "Extended Downtime"
+
+# Fuel burnt by an idling engine (litres per hour) and its price.
+IDLE_LITRES_PER_HOUR = 0.5
+IDLE_FUEL_PRICE = 260
+
+# Invoice lines as charge type and description.
+CHARGES = {
+    "base": ("Base Rental Fare", "Base fare"),
+    "airport": ("Surcharge", "Airport Pickup/Drop"),
+    "night": ("Surcharge", "Night Surcharge"),
+    "discount": ("Discount", "Promotional / Loyalty Discount"),
+}
+
 # KPI thresholds as (metric, good bound, warning bound, higher is better).
 KPI_THRESHOLDS = [
     ("collection_rate", 92.0, 80.0, True),

@@ -123,6 +123,14 @@ def cut(c: Column | str, edges: Sequence[float], labels: Sequence[str]) -> Colum
     return out
 
 
+def below(c: Column | str, bounds: Sequence[tuple[float, str]], beyond: str) -> Column:
+    """Label of the first bound that the value is below, else ``beyond``."""
+    c, out = as_col(c), F.when(F.lit(False), F.lit(beyond))
+    for upper, label in bounds:
+        out = out.when(c < F.lit(upper), F.lit(label))
+    return out.otherwise(F.lit(beyond))
+
+
 def clip(c: Column | str, lo: float, hi: float) -> Column:
     c = as_col(c)
     return F.when(c.isNotNull(), F.greatest(F.lit(lo), F.least(F.lit(hi), c)))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fleetlake.constants import RFM_OTHER, RFM_SEGMENTS
 from fleetlake.functions import scalar as fn
 from fleetlake.functions.scalar import dsum, rows
 from fleetlake.operators import scale
@@ -35,14 +36,14 @@ def rfm_scores(raw: DataFrame, customer: str, legacy_scores: bool = False) -> Da
     for name, order in orders.items():
         df = scale.ntile(df, [], order, {name: 5})
     r, f = F.col("r_score"), F.col("f_score")
-    segment = (
-        F.when((r >= 4) & (f >= 4), "Champion")
-        .when((r >= 3) & (f >= 3), "Loyal")
-        .when((r >= 4) & (f < 2), "New Customer")
-        .when((r < 2) & (f >= 3), "At Risk")
-        .when((r < 2) & (f < 2), "Lost")
-        .otherwise("Potential")
-    )
+    segment = F.when(F.lit(False), F.lit(RFM_OTHER))
+    for label, r_least, f_least, r_below, f_below in RFM_SEGMENTS:
+        rule = F.lit(True)
+        for column, least, under in ((r, r_least, r_below), (f, f_least, f_below)):
+            rule = rule & (column >= least) if least is not None else rule
+            rule = rule & (column < under) if under is not None else rule
+        segment = segment.when(rule, label)
+    segment = segment.otherwise(RFM_OTHER)
     return df.withColumns({"rfm_total": r + f + F.col("m_score"), "rfm_segment": segment})
 
 

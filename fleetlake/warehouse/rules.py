@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetlake.constants import BOOKING_MULTIPLIERS, DEFAULT_FUEL_PRICE, EXPENSE_SHARES
+from fleetlake.constants import BOOKING_MULTIPLIERS, CHARGES, DEFAULT_FUEL_PRICE, EXPENSE_SHARES
 from fleetlake.functions import scalar as fn
 from fleetlake.operators import joins
 
@@ -46,10 +46,10 @@ def derive_line_items(invoices: DataFrame) -> DataFrame:
 
     lines = F.array_compact(
         F.array(
-            line("Base Rental Fare", "Base fare", F.col("base_fare")),
-            F.when(F.col("airport_surcharge") > 0, line("Surcharge", "Airport Pickup/Drop", F.col("airport_surcharge"))),
-            F.when(F.col("night_surcharge") > 0, line("Surcharge", "Night Surcharge", F.col("night_surcharge"))),
-            F.when(F.col("discount") > 0, line("Discount", "Promotional / Loyalty Discount", -F.col("discount"))),
+            line(*CHARGES["base"], F.col("base_fare")),
+            F.when(F.col("airport_surcharge") > 0, line(*CHARGES["airport"], F.col("airport_surcharge"))),
+            F.when(F.col("night_surcharge") > 0, line(*CHARGES["night"], F.col("night_surcharge"))),
+            F.when(F.col("discount") > 0, line(*CHARGES["discount"], -F.col("discount"))),
         )
     )
     return invoices.select("trip_id", F.explode(lines).alias("l")).select("trip_id", "l.*")
