@@ -1,7 +1,7 @@
 """Language-model scores: exact smoothed unigrams, and a log-bilinear model over word classes.
 
 Texts are cut into blocks of a few MB; a block lists its documents' tokens as numbers in its own
-dictionary. Only dictionaries meet the corpus-wide counts, one row per word and block, so the joins
+dictionary. Only dictionaries meet the corpus-wide counts, one row per word and block, so the shuffles
 carry far fewer rows than there are words in documents.
 
 The model: the ``WORDS`` most frequent tokens are classes of their own, every other token falls into one
@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetlake.llm.common import held_out
@@ -28,29 +28,35 @@ from fleetlake.session import materialise
 
 FOLDS = 7
 BLOCK_BYTES = 8_000_000
+BATCH_TOKENS = 1_000_000
 WORDS, ENDINGS = 1_000, 64
 DIMENSIONS, NOISE, STEPS = 24, 20, 120
 END = b""  # no word is empty
 
-_BLOCK = "block long, ids array<long>, held array<boolean>, sizes array<int>, codes binary, tokens array<binary>, counts array<long>"
+_ROWS = "block long, id long, held boolean, codes binary, token binary, n long"
 
 
 def encode(docs: DataFrame) -> DataFrame:
-    """Blocks of documents (doc_id, text, held_out): ids, token numbers, the dictionary, training counts per token."""
+    """Blocks of documents (doc_id, text, held_out): a row per document with its token numbers, then a row per token of the block.
+
+    Document rows: block, id (doc_id), held, codes. Token rows: block, id (its number), token, n (its training count).
+    """
+    names = ["block", "id", "held", "codes", "token", "n"]
+    types = [pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.binary(), pa.int64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        made, ids, held, sizes, codes, known, size = 0, [], [], [], [], {}, 0
+        made, ids, held, codes, known, size = 0, [], [], [], {}, 0
 
-        def block() -> pa.RecordBatch:
-            flat = np.concatenate(codes)
-            learn = np.repeat(~np.array(held, bool), sizes)
-            counts = np.bincount(flat[learn], minlength=len(known))
-            row = [[part << 32 | made], [ids], [held], [sizes], [flat.tobytes()], [list(known)], [counts]]
-            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types)], names=names)
+        def rows() -> Iterator[pa.RecordBatch]:
+            block, docs, tokens = part << 32 | made, len(ids), len(known)
+            learn = [c for c, h in zip(codes, held) if not h]
+            counts = np.bincount(np.concatenate(learn) if learn else np.zeros(0, np.int32), minlength=tokens)
+            row = [np.full(docs, block), ids, held, [c.tobytes() for c in codes], [None] * docs, [None] * docs]
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types)], names=names)
+            row = [np.full(tokens, block), np.arange(tokens), [None] * tokens, [None] * tokens, list(known), counts]
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types)], names=names)
 
-        names = ["block", "ids", "held", "sizes", "codes", "tokens", "counts"]
-        types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int64())]
         for batch in batches:
             texts = batch.column(1)
             for i, (doc, out) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())):
@@ -60,24 +66,32 @@ def encode(docs: DataFrame) -> DataFrame:
                 codes.append(np.array([number(w, len(known)) for w in words], np.int32))
                 ids.append(doc)
                 held.append(out)
-                sizes.append(len(words))
                 size += sum(map(len, words)) + len(words)
                 if size >= BLOCK_BYTES:
-                    yield block()
-                    made, ids, held, sizes, codes, known, size = made + 1, [], [], [], [], {}, 0
+                    yield from rows()
+                    made, ids, held, codes, known, size = made + 1, [], [], [], {}, 0
         if ids:
-            yield block()
+            yield from rows()
+
+    return docs.select("doc_id", "text", "held_out").mapInArrow(run, _ROWS)
 
-    return docs.select("doc_id", "text", "held_out").mapInArrow(run, _BLOCK)
+
+def with_counts(tokens: DataFrame) -> DataFrame:
+    """Token rows with the training count ``c`` over all blocks; ``first`` marks one row of each token.
+
+    One shuffle by token. A token has a row per block that holds it, so no group has more rows than there are blocks.
+    """
+    every = Window.partitionBy("token")
+    return tokens.select("block", "id", "token", F.sum("n").over(every).alias("c"), (F.row_number().over(every.orderBy("block")) == 1).alias("first"))
 
 
-def with_classes(counts: DataFrame, words: int, endings: int) -> DataFrame:
-    """(token, c, cls): frequent training tokens get their rank, others a class by ending."""
-    top = counts.where("c > 0").orderBy(F.col("c").desc(), "token").limit(words).select("token").collect()
+def with_classes(counted: DataFrame, words: int, endings: int) -> DataFrame:
+    """Adds ``cls``: frequent training tokens get their rank, others a class by ending."""
+    top = counted.where("first and c > 0").orderBy(F.col("c").desc(), "token").limit(words).select("token").collect()
     # at most ``words`` rows
-    table = counts.sparkSession.createDataFrame([(bytes(r[0]), i) for i, r in enumerate(top)], "token binary, rank int")
+    table = counted.sparkSession.createDataFrame([(bytes(r[0]), i) for i, r in enumerate(top)], "token binary, rank int")
     ending = F.lit(words) + F.pmod(F.crc32(F.expr("substring(token, -2, 2)")), F.lit(endings)).cast("int")
-    return counts.join(F.broadcast(table), "token", "left").select("token", "c", F.coalesce("rank", ending).alias("cls"))
+    return counted.join(F.broadcast(table), "token", "left").withColumn("cls", F.coalesce("rank", ending)).drop("rank")
 
 
 # --- the log-bilinear model ---
@@ -138,74 +152,81 @@ def lm_score(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", fol
     """
     classes = words + endings
     own = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"), held_out(F.col(f"`{doc_id}`"), folds).alias("held_out"))
-    blocks = materialise(encode(own), "lm-blocks")
-    entries = blocks.select("block", F.posexplode(F.arrays_zip("tokens", "counts")).alias("code", "e")).select("block", "code", "e.tokens", "e.counts")
-    entries = entries.withColumnRenamed("tokens", "token")
-    counts = materialise(entries.groupBy("token").agg(F.sum("counts").alias("c")), "lm-counts")
-    classed = with_classes(counts, words, endings)
-    seen = classed.where("c > 0").groupBy(F.greatest(F.col("cls"), F.lit(words - 1)).alias("cls")).agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).collect()
+    rows = materialise(encode(own), "lm-blocks")
+    counted = materialise(with_counts(rows.where("token is not null")), "lm-counts")
+    classed = with_classes(counted, words, endings)
+    seen = classed.where("first and c > 0").groupBy(F.greatest(F.col("cls"), F.lit(words - 1)).alias("cls")).agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).collect()
     total, distinct = sum(r["n"] for r in seen), sum(r["v"] for r in seen)
     unseen = np.ones(endings)  # the tokens and kinds of each class of rare words, and one for any unseen
     for r in seen:
         if r["cls"] >= words:
             unseen[r["cls"] - words] += r["n"] + r["v"]
-    found = entries.join(classed, "token").select(F.col("block").alias("of"), "code", "c", "cls")
 
-    def classify(key: tuple, block: pa.Table, dictionary: pa.Table) -> pa.Table:
+    def classify(key: tuple, docs: pa.Table, dictionary: pa.Table) -> pa.Table:
         code = dictionary.column("code").to_numpy()
         c, cls = np.zeros(len(code), np.float64), np.zeros(len(code), np.int64)
         c[code], cls[code] = dictionary.column("c").to_numpy(), dictionary.column("cls").to_numpy()
         base = np.log10((c + 1) / (total + distinct + 1))
         inner = np.where(cls >= words, np.log10((c + 1) / unseen[np.maximum(cls - words, 0)]), 0.0)
-        flat = np.frombuffer(block.column("codes")[0].as_py(), np.int32)
-        sizes = block.column("sizes")[0].values.to_numpy()
-        first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-        sums = [np.add.reduceat(v[flat], first) for v in (base, inner, (c > 0).astype(np.int64))]
-        row = [block.column("ids")[0], block.column("held")[0], block.column("sizes")[0]]
-        arrays = [pa.array([x.as_py()], t) for x, t in zip(row, (pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32())))]
-        arrays += [pa.array([s], pa.list_(t)) for s, t in zip(sums, (pa.float64(), pa.float64(), pa.int64()))]
-        return pa.table([*arrays, pa.array([cls[flat].astype(np.uint16).tobytes()], pa.binary())], names=["ids", "held", "sizes", "base", "inner", "known", "classes"])
-
-    coded_blocks = blocks.select("block", "ids", "held", "sizes", "codes")
-    schema = "ids array<long>, held array<boolean>, sizes array<int>, base array<double>, inner array<double>, known array<long>, classes binary"
-    coded = materialise(coded_blocks.groupBy("block").cogroup(found.groupBy("of")).applyInArrow(classify, schema), "lm-classes")
-    end_class = next((r["cls"] for r in classed.where(F.length("token") == 0).select("cls").collect()), words)
-
-    def neighbours(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Pair numbers of a block's tokens with what stands before them, the first of a text after an end."""
-        now = np.frombuffer(batch.column("classes")[i].as_py(), np.uint16).astype(np.int64)
-        sizes = batch.column("sizes")[i].values.to_numpy()
+        out: list[list] = [[], [], [], [], []]
+        for codes in docs.column("codes"):
+            flat = np.frombuffer(codes.as_buffer(), np.int32)
+            for column, value in zip(out, (len(flat), int((c[flat] > 0).sum()), base[flat].sum(), inner[flat].sum(), cls[flat].astype(np.uint16).tobytes())):
+                column.append(value)
+        return pa.table([docs.column("id"), docs.column("held"), *[pa.array(v, t) for v, t in zip(out, (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary()))]], names=names)
+
+    names = ["doc_id", "held_out", "n_tokens", "n_known", "base", "inner", "classes"]
+    by_block = rows.where("token is null").select("block", "id", "held", "codes").groupBy("block")
+    entries = classed.select(F.col("block").alias("of"), F.col("id").alias("code"), "c", "cls").groupBy("of")
+    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, base double, inner double, classes binary"
+    coded = materialise(by_block.cogroup(entries).applyInArrow(classify, schema), "lm-classes")
+    end_class = next((r["cls"] for r in classed.where("first and length(token) = 0").select("cls").collect()), words)
+
+    def neighbours(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pair numbers of tokens with what stands before them, the first of a text after an end; sizes and starts of the texts."""
+        texts = [x.as_py() for x in batch.column("classes")]
+        now = np.frombuffer(b"".join(texts), np.uint16).astype(np.int64)
+        sizes = np.array([len(t) // 2 for t in texts], np.int64)
         first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
         before = np.concatenate([[end_class], now[:-1]])
         before[first] = end_class
         return before * classes + now, sizes, first
 
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Batches of few enough tokens to be worked on as arrays."""
+        for batch in batches:
+            at, size = 0, 0
+            for i, n in enumerate(batch.column("n_tokens").to_pylist()):
+                if size and size + n > BATCH_TOKENS:
+                    yield batch.slice(at, i - at)
+                    at, size = i, 0
+                size += n
+            if size:
+                yield batch.slice(at)
+
     def pairs_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(classes * classes, np.int64)
-        for batch in batches:
-            for i in range(batch.num_rows):
-                pair, sizes, _ = neighbours(batch, i)
-                learn = np.repeat(~np.array(batch.column("held")[i].as_py(), bool), sizes)
-                seen += np.bincount(pair[learn], minlength=classes * classes)
+        for batch in parts(batches):
+            pair, sizes, _ = neighbours(batch)
+            learn = np.repeat(~np.array(batch.column("held_out").to_pylist(), bool), sizes)
+            seen += np.bincount(pair[learn], minlength=classes * classes)
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(seen[at])], names=["pair", "n"])
 
     # a bounded table: pairs of classes
-    summed = coded.select("sizes", "held", "classes").mapInArrow(pairs_of, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
+    summed = coded.select("n_tokens", "held_out", "classes").mapInArrow(pairs_of, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
     pairs = np.zeros(classes * classes)
     pairs[summed.column("pair").to_numpy()] = summed.column("n").to_numpy()
     log_p = train(pairs.reshape(classes, classes))
     flat_p = log_p.ravel()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                pair, sizes, first = neighbours(batch, i)
-                outer = np.add.reduceat(flat_p[pair].astype(np.float64), first)
-                inner, base, known = (batch.column(n)[i].values.to_numpy() for n in ("inner", "base", "known"))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("ids")[i].values, batch.column("held")[i].values, pa.array(sizes.astype(np.int64)), pa.array(known), pa.array(np.full(len(sizes), total, np.int64)), pa.array(base), pa.array(inner + outer)],
-                    names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
-                )
-
+        for batch in parts(batches):
+            pair, _, first = neighbours(batch)
+            outer = np.add.reduceat(flat_p[pair].astype(np.float64), first)
+            known = [batch.column(n) for n in ("doc_id", "held_out", "n_tokens", "n_known")]
+            sums = [batch.column("base"), pa.array(batch.column("inner").to_numpy() + outer)]
+            yield pa.RecordBatch.from_arrays([*known, pa.array(np.full(len(outer), total, np.int64)), *sums], names=result)
+
+    result = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
     return coded.mapInArrow(score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
