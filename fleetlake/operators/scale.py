@@ -52,7 +52,7 @@ class Split:
     """Whether groups of a frame must be cut for ordered work; measured once, used by several steps.
 
     ``small`` is True when no group exceeds ``hot_rows``: a plain window is then safe, and only
-    a count that stops at the limit may have run. A larger frame is written once to the shared
+    a count of the rows may have run. A larger frame is written once to the shared
     folder, so neither the measurement nor the steps that follow compute its input again.
     Frames passed to ``mark`` must hold the same rows per group as the measured one
     (columns may have been added).
@@ -64,7 +64,7 @@ class Split:
         self.hot_rows = hot_rows or hot_rows_limit(df)
         self._measured, self._stored = df, df
         self._least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) if force else 1
-        self.total = df.limit(self.hot_rows + 1).count()
+        self.total = df.count()  # partial counts per task; a LIMIT would gather its rows in one
         self.small = self.total <= self.hot_rows and not force
         if self.small:
             return
