@@ -61,6 +61,17 @@ def map_texts(
     return source.mapInArrow(run, schema)
 
 
+def shielded(docs: DataFrame) -> tuple[DataFrame, dict[str, str], Callable[[DataFrame], DataFrame]]:
+    """``docs`` under plain column names, the plain name of each column, and the way back.
+
+    Whatever the given columns are called, they cannot clash with those an operator adds.
+    """
+    names = docs.columns
+    plain = [f"c{i}" for i in range(len(names))]
+    back = lambda df: df.select(*[F.col(p).alias(n) for p, n in zip(plain, names)])
+    return docs.toDF(*plain), dict(zip(names, plain)), back
+
+
 def _quoted(name: str) -> Column:
     return F.col(f"`{name}`")
 

@@ -16,10 +16,10 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import map_texts
+from fleetlake.llm.common import map_texts, shielded
 from fleetlake.llm.components import components
 from fleetlake.session import materialise
 
@@ -242,7 +242,13 @@ def keep_one(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", wid
     # one row per fingerprint before the join, one per component after it
     per_print = made.groupBy("fingerprint").agg(first).join(roots, "fingerprint")
     chosen = materialise(per_print.groupBy("root").agg(F.min("first").alias("first")).select("first._id", "first._h"), "simhash-chosen")
-    marked = docs.withColumn("_hash", F.xxhash64(F.col(f"`{text}`")))
-    stays = marked.join(chosen, F.col(f"`{doc_id}`").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_h")))
-    one = Window.partitionBy("_id", "_h").orderBy(F.lit(1))
-    return stays.withColumn("_n", F.row_number().over(one)).where("_n = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    plain, named, back = shielded(docs)
+
+    def key(of: Column, hashed: Column) -> Column:
+        return F.concat_ws(":", of.isNull().cast("string"), of.cast("string"), hashed.cast("string"))
+
+    # texts are shuffled once, by the key that the window and the join share; copies go before it
+    marked = plain.withColumn("key", key(F.col(named[doc_id]), F.xxhash64(F.col(named[text]))))
+    one = Window.partitionBy("key").orderBy("key")
+    single = marked.withColumn("nth", F.row_number().over(one)).where("nth = 1")
+    return back(single.join(chosen.select(key(F.col("_id"), F.col("_h")).alias("key")), "key", "left_semi"))
