@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import map_texts
+from fleetlake.llm.common import map_texts, shielded
 
 SIMILARITY = 0.8
 REPEATS = 6
@@ -218,12 +218,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text: str = "text",
 
 def clean(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item_text: str = "text", item_id: str = "item_id", similarity: float = SIMILARITY) -> DataFrame:
     """The rows and columns of ``docs`` without the documents that contain an item; nothing is shuffled."""
-    columns = docs.columns
-    marked = docs.select("*", F.col(f"`{text}`").alias("_whole"))
+    marked, named, back = shielded(docs)
+    columns = marked.columns
     for index in item_blocks(benchmark, item_text, item_id):
 
         def work(texts: list[str], index: Index = index) -> list[list]:
             return [[bool(hits) for hits in index.matches(texts, similarity)]]
 
-        marked = map_texts(marked, "_whole", [("_leak", "boolean")], work, [*columns, "_whole"]).where("not _leak").drop("_leak")
-    return marked.select(*[F.col(f"`{c}`") for c in columns])
+        marked = map_texts(marked, named[text], [("leak", "boolean")], work, columns).where("not leak").drop("leak")
+    return back(marked)

@@ -6,8 +6,8 @@ linear schedule. The integral of that schedule is the cumulative demand for its
 turns the place a document has in its source's supply into a training position, and documents are
 range-sorted by position. Supply is a fixed pseudo-random order, read as often as the target asks.
 
-Only DataFrame functions. Running sums over a source are made in two steps, over 1,024 hash ranges
-and inside each, so no task holds a whole source.
+Only DataFrame functions. The order is that of an MD5 of id and text. Running sums over a source are made in two
+steps, over 4,096 ranges of it and inside each, so no task holds a whole source.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ WEIGHTS = (5.0, 2.0, 1.0)
 MOST = 3
 #: (weight at the start, weight at the end) of training, relative to the source's mean; dealt to the sources in turn.
 SCHEDULES = ((1.5, 0.5), (1.0, 1.0), (0.5, 1.5))
-RANGE_BITS = 10
+RANGE_DIGITS = 3  # hexadecimal
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -76,9 +76,10 @@ def mix(
     others. Equal rows are interchangeable, so reruns agree. An empty table gives an empty result.
     Other columns are not read; a kept column must not be named like a result.
     """
+    ident = F.concat(F.coalesce(F.col(f"`{doc_id}`").cast("string"), F.lit("")), F.lit(":"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")))
     words = F.coalesce(F.regexp_count(F.col(f"`{text}`"), F.lit(WORD)), F.lit(0)).cast("long")
-    own = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{source}`").alias("source"), words.alias("size"), F.xxhash64(F.col(f"`{doc_id}`"), F.col(f"`{text}`")).alias("_h"), *[F.col(f"`{c}`") for c in keep])
-    own = own.withColumn("_range", F.shiftrightunsigned("_h", 64 - RANGE_BITS).cast("int"))
+    own = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{source}`").alias("source"), words.alias("size"), F.md5(ident.cast("binary")).alias("_h"), *[F.col(f"`{c}`") for c in keep])
+    own = own.withColumn("_range", F.substring("_h", 1, RANGE_DIGITS))
     ranges = materialise(own.groupBy("source", "_range").agg(F.sum("size").alias("_words")), "mix-ranges")
     totals = ranges.groupBy("source").agg(F.sum("_words").alias("source_size"))
     earlier = Window.partitionBy("source").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
@@ -106,3 +107,22 @@ def mix(
         "doc_id", "source", "size", "source_size", "target", (F.col("_rounds") * F.col("size") + F.col("_part")).alias("taken"), positions.alias("positions"), *[F.col(f"`{c}`") for c in keep]
     )
     return out.withColumn("position", F.get("positions", F.lit(0))).orderBy(F.col("position").asc_nulls_last(), F.col("doc_id").asc_nulls_last())
+
+
+def oracle_sql(table: str = "documents") -> str:
+    """The same figures in DuckDB SQL, with the default weights and schedules; position is that of the first reading."""
+    pick = lambda values: "CASE (rnk - 1) % " + str(len(values)) + "".join(f" WHEN {i} THEN {v}::DOUBLE" for i, v in enumerate(values)) + " END"
+    return f"""WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(COALESCE(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
+            md5(COALESCE(CAST(doc_id AS VARCHAR), '') || ':' || COALESCE(text, '')) AS h FROM {table}),
+        s AS (SELECT source, CAST(SUM(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+        r AS (SELECT *, ROW_NUMBER() OVER (ORDER BY source NULLS LAST) AS rnk FROM s),
+        w AS (SELECT *, {pick(WEIGHTS)} AS weight, CAST(source_size * {MOST} AS DOUBLE) AS lim FROM r),
+        l AS (SELECT *, (SUM(CAST(source_size AS DOUBLE)) OVER () - COALESCE(SUM(lim) OVER f, 0)) / (SUM(weight) OVER () - COALESCE(SUM(weight) OVER f, 0)) AS level FROM w
+            WINDOW f AS (ORDER BY lim / weight, rnk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+        t AS (SELECT source, source_size, rnk, LEAST(lim, (SELECT level FROM l WHERE lim / weight >= level ORDER BY lim / weight, rnk LIMIT 1) * weight) AS target FROM l),
+        b AS (SELECT d.*, CAST(COALESCE(SUM(size) OVER (PARTITION BY source ORDER BY h, doc_id NULLS LAST, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before FROM d),
+        j AS (SELECT b.*, source_size, rnk, target, CASE WHEN source_size > 0 THEN CAST(FLOOR(target / source_size) AS BIGINT) ELSE 0 END AS rounds FROM b JOIN t ON b.source IS NOT DISTINCT FROM t.source),
+        p AS (SELECT *, CAST(GREATEST(0, LEAST(size, CAST(FLOOR(target - rounds * source_size) AS BIGINT) - before)) AS BIGINT) AS part, {pick([a for a, _ in SCHEDULES])} AS a, {pick([e for _, e in SCHEDULES])} AS e FROM j),
+        u AS (SELECT *, rounds * size + part AS taken, LEAST((before + CAST(CASE WHEN rounds > 0 THEN size ELSE part END AS DOUBLE) / 2) / target, 1.0::DOUBLE) AS used FROM p)
+        SELECT doc_id, source, size, source_size, target, taken,
+            CASE WHEN CASE WHEN rounds > 0 THEN size ELSE part END > 0 THEN CASE WHEN a = e THEN used ELSE (SQRT(a * a + (e * e - a * a) * used) - a) / (e - a) END END AS position FROM u"""

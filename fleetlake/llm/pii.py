@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import map_texts
+from fleetlake.llm.common import map_texts, shielded
 
 CONTEXT = 3
 KINDS = ("email", "ip", "card", "phone")
@@ -430,7 +430,10 @@ def mask(docs: DataFrame, *, text: str = "text", size: str = "n_chars") -> DataF
             out.append("".join([*parts, t[at:]]) if parts else t)
         return [out]
 
-    made = map_texts(docs, text, [("_masked", "string")], work, docs.columns)
-    new = F.when(F.col(f"`{text}`").isNull(), F.lit(None)).otherwise(F.col("_masked"))
-    sized = {size: F.coalesce(F.length(new), F.col(f"`{size}`")).cast(docs.schema[size].dataType)} if size in docs.columns else {}
-    return made.select(*[sized[c].alias(c) if c in sized else new.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])
+    plain, named, back = shielded(docs)
+    made = map_texts(plain, named[text], [("masked", "string")], work, plain.columns)
+    new = F.when(F.col(named[text]).isNotNull(), F.col("masked"))
+    changed = {named[text]: new}
+    if size in named:
+        changed[named[size]] = F.coalesce(F.length(new), F.col(named[size])).cast(docs.schema[size].dataType)
+    return back(made.withColumns(changed))

@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import held_out, map_texts
+from fleetlake.llm.common import held_out, map_texts, shielded
 
 MAX_LABELLED = 20_000
 FOLDS, HELD_FOLD = 4, 2
@@ -178,6 +178,12 @@ def score(docs: DataFrame, model: Model, *, text: str = "text", keep: Sequence[s
     return out.withColumn("predicted", (F.col("score") >= cut).cast("int"))
 
 
+def accepted(docs: DataFrame, model: Model, *, text: str = "text", cut: float = CUT) -> DataFrame:
+    """The rows and columns of ``docs`` whose text scores ``cut`` or more."""
+    plain, named, back = shielded(docs)
+    return back(score(plain, model, text=named[text], keep=plain.columns, cut=cut).where("predicted = 1"))
+
+
 def quality_classifier(docs: DataFrame, labels: DataFrame, *, text: str = "text", doc_id: str = "doc_id", label: str = "quality", max_labelled: int = MAX_LABELLED) -> DataFrame:
     """doc_id, held_out, score and predicted of every document; see ``fit`` and ``score``."""
     model = fit(docs, labels, text=text, doc_id=doc_id, label=label, max_labelled=max_labelled)

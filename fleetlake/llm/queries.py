@@ -10,9 +10,11 @@ from fleetlake.llm.common import table
 from fleetlake.llm.decontaminate import decontaminate
 from fleetlake.llm.lm_score import lm_score
 from fleetlake.llm.mixing import mix
+from fleetlake.llm.mixing import oracle_sql as mix_sql
 from fleetlake.llm.pii import pii
 from fleetlake.llm.quality_classifier import quality_classifier
 from fleetlake.llm.quality_rules import quality_rules
+from fleetlake.llm.repeats import oracle_sql as repeats_sql
 from fleetlake.llm.repeats import remove_repeats
 from fleetlake.llm.secret_scan import secret_scan
 from fleetlake.llm.simhash import simhash_components
@@ -55,7 +57,7 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(table(spark, sf_dir, "documents"))
+    return mix(table(spark, sf_dir, "documents")).drop("positions")
 
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,4 +76,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 #: SQL for the queries that SQL can express; the others are tested against brute force.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op8_mix": mix_sql(), "op10_repeats": repeats_sql()}

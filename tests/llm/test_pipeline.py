@@ -6,7 +6,7 @@ from llm_helpers import SMALL, nothing, odd
 
 import __spark_entry__ as entry
 from fleetlake.llm import decontaminate, pii, simhash
-from fleetlake.llm.queries import QUERIES
+from fleetlake.llm.queries import ORACLES, QUERIES
 from fleetlake.session import materialise
 
 
@@ -16,6 +16,15 @@ def test_registered():
     assert [f.__name__ for _, f in pipeline.STAGES] == ["quality", "near_duplicates", "decontamination", "personal_data", "mix"]
 
 
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_matches_sql(spark, duck, name):
+    got = QUERIES[name](spark, SMALL)
+    want = duck.execute(ORACLES[name])
+    names = [d[0] for d in want.description]
+    assert sorted(names) == sorted(got.columns)
+    assert sorted((tuple(r) for r in got.select(*names).collect()), key=repr) == sorted(want.fetchall(), key=repr)
+
+
 def test_each_stage_on_its_input(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     columns = docs.columns
