@@ -16,8 +16,7 @@ from fleetlake.session import materialise
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts (operator 1)."""
     model = quality_classifier.fit(docs, table(spark, sf_dir, "labels"))
-    scored = quality_classifier.score(docs.select("*", docs["text"].alias("_whole")), model, text="_whole", keep=docs.columns)
-    return scored.where("predicted = 1").select(*docs.columns)
+    return quality_classifier.accepted(docs, model)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
