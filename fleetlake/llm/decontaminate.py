@@ -28,8 +28,9 @@ SIMILARITY = 0.8
 REPEATS = 6
 STEPS = 64
 SAMPLES = 16
-ITEMS = 5_000
-TABLE_BITS = 20
+ITEMS = 1_000
+#: Samples after which a walk asks whether any item agrees so far.
+ASKED = 8
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -74,8 +75,8 @@ def mixed(key: np.ndarray, byte: np.ndarray) -> np.ndarray:
     return (key ^ byte.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1)
 
 
-def slot(key: np.ndarray) -> np.ndarray:
-    return (key >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+def slot(key: np.ndarray, bits: int) -> np.ndarray:
+    return (key >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def walked(left: int) -> int:
@@ -94,12 +95,14 @@ class Index:
     """Sampled keys of a block of items."""
 
     items: list[tuple[int, str]]  # (id, normalised text)
+    bits: int = 16  # of a table's addresses
     tables: list[dict[int, np.ndarray]] = field(default_factory=list)  # per repeat: step -> keys seen up to that sample
     finals: list[dict[int, dict[int, list[tuple[int, int]]]]] = field(default_factory=list)  # per repeat: steps walked -> key -> (item, offset)
 
     def __post_init__(self):
         texts = [t.encode() for _, t in self.items]
         places = [(i, o) for i, t in enumerate(texts) for o in entries(t) if t]
+        self.bits = max(16, (32 * len(places)).bit_length())
         buffer = np.frombuffer(b"".join(t + bytes(STEPS) for t in texts) or bytes(STEPS), np.uint8)
         begins = np.cumsum([0, *[len(t) + STEPS for t in texts]])
         starts = np.array([begins[i] + o for i, o in places], np.int64)
@@ -117,9 +120,9 @@ class Index:
                 byte = buffer[at]
                 if j in PLACES[r]:
                     key = mixed(key, byte)
-                    table = np.zeros(1 << TABLE_BITS, bool)
-                    table[slot(key[reach > j])] = True
-                    tables[j] = table
+                    if len(tables) < ASKED:
+                        tables[j] = np.zeros(1 << self.bits, bool)
+                        tables[j][slot(key[reach > j], self.bits)] = True
                 at = at + BITS[r, j][byte]
             self.tables.append(tables)
             self.finals.append(finals)
@@ -127,7 +130,7 @@ class Index:
     def candidates(self, x: np.ndarray, starts: np.ndarray) -> set[tuple[int, int, int]]:
         """(item, offset in the item, place in ``x``) of windows whose samples equal an item's in some walk. ``x`` ends in zeros."""
         out: set[tuple[int, int, int]] = set()
-        for tables, finals, bits in zip(self.tables, self.finals, BITS):
+        for tables, finals, bits, sampled in zip(self.tables, self.finals, BITS, PLACES):
             at = first = starts
             key = np.zeros(len(starts), np.uint64)
             for j in range(STEPS + 1):
@@ -138,9 +141,10 @@ class Index:
                 if j == STEPS or not len(at):
                     break
                 byte = x[at]
-                if j in tables:
+                if j in sampled:
                     key = mixed(key, byte)
-                    left = tables[j][slot(key)]
+                if j in tables:
+                    left = tables[j][slot(key, self.bits)]
                     at, first, key, byte = at[left], first[left], key[left], byte[left]
                 at = at + bits[j][byte]
         return out
@@ -181,14 +185,26 @@ class Index:
         return out
 
 
+_INDEXES: dict[int, Index] = {}
+
+
+def index_of(items: list[tuple[int, str]]) -> Index:
+    """The index of a block of items, built once per Python worker: only the items travel to the tasks."""
+    key = hash(tuple(items))
+    if key not in _INDEXES:
+        _INDEXES.clear()
+        _INDEXES[key] = Index(items)
+    return _INDEXES[key]
+
+
 def item_blocks(benchmark: DataFrame, text: str, item_id: str, size: int = ITEMS):
-    """The items in blocks of about ``size``: an index each. Items without words are left out: they occur everywhere."""
+    """The items in blocks of about ``size``, as (id, normalised text). Items without words are left out: they occur everywhere."""
     own = benchmark.select(F.col(f"`{item_id}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
     blocks = max(1, -(-own.count() // size))
     for b in range(blocks):
         part = own.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == b).distinct().collect()
         items = [(r["id"], normalised(r["text"]).decode()) for r in part]
-        yield Index(sorted({(i, t) for i, t in items if t and i is not None}))
+        yield sorted({(i, t) for i, t in items if t and i is not None})
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", doc_id: str = "doc_id", item_text: str = "text", item_id: str = "item_id", similarity: float = SIMILARITY) -> DataFrame:
@@ -201,11 +217,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text: str = "text",
     """
     own = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     out = None
-    for index in item_blocks(benchmark, item_text, item_id):
+    for items in item_blocks(benchmark, item_text, item_id):
 
-        def work(texts: list[str], index: Index = index) -> list[list]:
+        def work(texts: list[str], items: list = items) -> list[list]:
             rows = []
-            for t, hits in zip(texts, index.matches(texts, similarity)):
+            for t, hits in zip(texts, index_of(items).matches(texts, similarity)):
                 words = [m.span() for m in WORD.finditer(t)] if hits else []
                 rows.append([{"item_id": i, "distance": d, "start": words[a][0], "end": words[b][1]} for i, (d, a, b) in sorted(hits.items())])
             return [rows]
@@ -220,10 +236,10 @@ def clean(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item_tex
     """The rows and columns of ``docs`` without the documents that contain an item; nothing is shuffled."""
     marked, named, back = shielded(docs)
     columns = marked.columns
-    for index in item_blocks(benchmark, item_text, item_id):
+    for items in item_blocks(benchmark, item_text, item_id):
 
-        def work(texts: list[str], index: Index = index) -> list[list]:
-            return [[bool(hits) for hits in index.matches(texts, similarity)]]
+        def work(texts: list[str], items: list = items) -> list[list]:
+            return [[bool(hits) for hits in index_of(items).matches(texts, similarity)]]
 
         marked = map_texts(marked, named[text], [("leak", "boolean")], work, columns).where("not leak").drop("leak")
     return back(marked)
