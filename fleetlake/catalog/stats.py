@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from fleetlake.catalog.adapters import AS_OF
 from fleetlake.catalog.queries import DONE, regression_frame, _REG
-from fleetlake.catalog.registry import A, CI, D, M, P, S, TS, query
+from fleetlake.catalog.registry import A, CI, D, M, ORACLES, P, S, TS, query
 from fleetlake.functions.scalar import dsum, rows
 from fleetlake.models import features, forecast, stats, training
+from fleetlake.operators.sets import union_all
 from fleetlake.plans.customers import rfm_raw
 from fleetlake.quality import profile
 from fleetlake.session import materialise
@@ -139,6 +140,31 @@ def _(t):
     return pricing_frame(t)
 
 
+_SPLITS = {"safety": ("feat_safety", "telem_id", "profile"), "demand": ("feat_demand", "day || '|' || city", "'all'"), "maintenance": ("feat_maint", "maint_id", "upcoming"), "pricing": ("feat_pricing", "trip_id", "'all'")}
+
+
+def _splits_sql():
+    parts = []
+    for model, (frame, key, label) in _SPLITS.items():
+        bucket = f"CAST('0x' || substr(md5(CAST({key} AS VARCHAR) || ':42'), 1, 8) AS BIGINT) % 1000"
+        parts.append(f"SELECT '{model}' AS model, CASE WHEN {bucket} < {int(training.TEST_SHARES[model] * 1000)} THEN 'test' ELSE 'train' END AS part, CAST({label} AS VARCHAR) AS label, COUNT(*) AS n FROM ({ORACLES[frame]}) GROUP BY 1, 2, 3")
+    return " UNION ALL ".join(parts)
+
+
+@query("model_splits", _splits_sql())
+def _(t):
+    """What each model learns from and is tested on: rows per part and label."""
+    frames = {
+        "safety": (features.safety(t["telematics"], t["telem_drivers"]), "telem_id", F.col("profile")), "demand": (features.demand(t["city_trips"], "pickup_datetime", "pickup_city"), F.concat_ws("|", "day", "city"), F.lit("all")),
+        "maintenance": (maintenance_frame(t), "maint_id", F.col("upcoming")), "pricing": (pricing_frame(t), "trip_id", F.lit("all")),
+    }
+    out = []
+    for model, (df, key, label) in frames.items():
+        part = F.when(features.in_test(key, training.TEST_SHARES[model]), "test").otherwise("train")
+        out.append(df.groupBy(F.lit(model).alias("model"), part.alias("part"), label.cast("string").alias("label")).agg(rows().alias("n")))
+    return union_all(*out)
+
+
 @query("driver_safety_model")
 def _(t):
     _, scored = safety_model(t)

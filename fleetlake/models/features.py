@@ -59,8 +59,13 @@ def pricing(trips: DataFrame, ts: str) -> DataFrame:
     )
 
 
+def in_test(key: Column | str, test_share: float, seed: int = 42) -> Column:
+    """Whether a key falls into the test part: by an MD5 of it, so any engine and partitioning agree."""
+    digest = F.md5(F.concat(F.col(key).cast("string") if isinstance(key, str) else key.cast("string"), F.lit(f":{seed}")).cast("binary"))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % 1000 < int(test_share * 1000)
+
+
 def hash_split(df: DataFrame, key: str, test_share: float, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """(train, test) by a hash of the key: the same rows on any cluster and partitioning."""
-    bucket = F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1000))
-    limit = int(test_share * 1000)
-    return df.where(bucket >= limit), df.where(bucket < limit)
+    """(train, test) by a hash of the key."""
+    test = in_test(key, test_share, seed)
+    return df.where(~test), df.where(test)

@@ -18,6 +18,8 @@ from fleetlake.models import features
 from fleetlake.operators.sets import union_all
 from fleetlake.session import materialise
 
+#: Share of the rows kept for testing, by model.
+TEST_SHARES = {"safety": 0.2, "demand": 0.15, "maintenance": 0.2, "pricing": 0.2}
 SAFETY_FEATURES = ["harsh_brakes", "harsh_accels", "idle_minutes", "speeding_km", "distance_km", "duration_min", "max_speed", "mean_speed"]
 DEMAND_FEATURES = ["dow", "month", "year", "is_weekend", "day_of_month", "city_code"]
 MAINTENANCE_FEATURES = ["vehicle_age", "odometer_km", "days_since_last", "type_code"]
@@ -46,7 +48,7 @@ def train_safety(df: DataFrame, trees: int = 150, depth: int = 8, columns: Seque
     """
     columns = columns or [c for c in df.columns if c not in ("telem_id", "profile")]
     df = materialise(df, "safety-frame")
-    train, test = features.hash_split(df, "telem_id", 0.2)
+    train, test = features.hash_split(df, "telem_id", TEST_SHARES["safety"])
     label = StringIndexer(inputCol="profile", outputCol="label", stringOrderType="alphabetAsc").fit(df)
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=42)
     names = IndexToString(inputCol="prediction", outputCol="predicted_profile", labels=label.labels)
@@ -70,7 +72,7 @@ def train_demand(df: DataFrame, trees: int = 200, depth: int = 4, step: float =
     """Daily trips per city."""
     df = materialise(df, "demand-frame")
     data = df.withColumn("_key", F.concat_ws("|", "day", "city")).withColumn("label", F.col("trip_count").cast("double"))
-    train, test = features.hash_split(data, "_key", 0.15)
+    train, test = features.hash_split(data, "_key", TEST_SHARES["demand"])
     gbt = GBTRegressor(maxIter=trees, maxDepth=depth, stepSize=step, maxBins=_bins(df, ["city"]), seed=42)
     model = Pipeline(stages=[_codes("city", "city_code"), _vector(DEMAND_FEATURES), gbt]).fit(train)
     return model, model.transform(test)
@@ -87,7 +89,7 @@ def forecast_demand(model: PipelineModel, cities: DataFrame, after: str, days: i
 def train_maintenance(df: DataFrame, trees: int = 100, depth: int = 5) -> tuple[PipelineModel, DataFrame]:
     """Service due soon; classes weigh the same whatever their size."""
     df = materialise(df, "maintenance-frame")
-    train, test = features.hash_split(df.withColumn("label", F.col("upcoming").cast("double")), "maint_id", 0.2)
+    train, test = features.hash_split(df.withColumn("label", F.col("upcoming").cast("double")), "maint_id", TEST_SHARES["maintenance"])
     sizes = train.groupBy("label").agg(rows().alias("_n"))
     total, classes = sizes.agg(F.sum("_n")).scalar(), sizes.agg(rows()).scalar()
     weights = sizes.select("label", (total / (classes * F.col("_n"))).alias("weight"))
@@ -107,7 +109,7 @@ def at_risk(scored: DataFrame, threshold: float = 0.6) -> DataFrame:
 def train_pricing(df: DataFrame, trees: int = 200, depth: int = 5, step: float = 0.07) -> tuple[PipelineModel, DataFrame]:
     """Fare per day."""
     df = materialise(df, "pricing-frame")
-    train, test = features.hash_split(df.withColumn("label", F.col("fare_per_day")), "trip_id", 0.2)
+    train, test = features.hash_split(df.withColumn("label", F.col("fare_per_day")), "trip_id", TEST_SHARES["pricing"])
     gbt = GBTRegressor(maxIter=trees, maxDepth=depth, stepSize=step, maxBins=_bins(df, ["city", "booking_type"]), seed=42)
     stages = [_codes("city", "city_code"), _codes("booking_type", "type_code"), _vector(PRICING_FEATURES), gbt]
     model = Pipeline(stages=stages).fit(train)

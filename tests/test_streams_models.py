@@ -158,3 +158,13 @@ def test_demand_accepts_unseen_cities(spark):
     cities = spark.createDataFrame([("A",), ("B",), ("new",)], "city string")
     out = training.forecast_demand(model, cities, "2024-03-01", days=3)
     assert out.count() == 9 and out.agg(F.min("predicted_trips")).first()[0] >= 0
+
+
+def test_outlook_of_a_forecast(spark):
+    from datetime import date
+
+    from fleetlake.models import forecast
+
+    series = spark.createDataFrame([(1, date(2024, 5, 1), 120.0), (1, date(2024, 6, 1), 180.0), (1, date(2024, 7, 1), 90.0)], "k int, month date, forecast double")
+    row = forecast.outlook(series, spark.createDataFrame([(1, 100.0)], "k int, last_actual double"), "k").first()
+    assert (row.next_forecast, row.mean_forecast, row.peak_month, row.peak, row.growth_pct) == (120.0, 130.0, date(2024, 6, 1), 180.0, 20.0)
