@@ -15,6 +15,7 @@ matrix products then give the normalised log-probabilities of all pairs of class
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +34,11 @@ WORDS, ENDINGS = 1_000, 64
 DIMENSIONS, NOISE, STEPS = 24, 20, 120
 END = b""  # no word is empty
 
+def pack(numbers: np.ndarray) -> bytes:
+    """Token numbers in fewer bytes: they are written, shuffled and read again."""
+    return zlib.compress(numbers.tobytes(), 1)
+
+
 _ROWS = "block long, id long, held boolean, codes binary, token binary, n long"
 
 
@@ -52,7 +58,7 @@ def encode(docs: DataFrame) -> DataFrame:
             block, docs, tokens = part << 32 | made, len(ids), len(known)
             learn = [c for c, h in zip(codes, held) if not h]
             counts = np.bincount(np.concatenate(learn) if learn else np.zeros(0, np.int32), minlength=tokens)
-            row = [np.full(docs, block), ids, held, [c.tobytes() for c in codes], [None] * docs, [None] * docs]
+            row = [np.full(docs, block), ids, held, [pack(c) for c in codes], [None] * docs, [None] * docs]
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types)], names=names)
             row = [np.full(tokens, block), np.arange(tokens), [None] * tokens, [None] * tokens, list(known), counts]
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types)], names=names)
@@ -170,8 +176,8 @@ def lm_score(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", fol
         inner = np.where(cls >= words, np.log10((c + 1) / unseen[np.maximum(cls - words, 0)]), 0.0)
         out: list[list] = [[], [], [], [], []]
         for codes in docs.column("codes"):
-            flat = np.frombuffer(codes.as_buffer(), np.int32)
-            for column, value in zip(out, (len(flat), int((c[flat] > 0).sum()), base[flat].sum(), inner[flat].sum(), cls[flat].astype(np.uint16).tobytes())):
+            flat = np.frombuffer(zlib.decompress(codes.as_buffer()), np.int32)
+            for column, value in zip(out, (len(flat), int((c[flat] > 0).sum()), base[flat].sum(), inner[flat].sum(), pack(cls[flat].astype(np.uint16)))):
                 column.append(value)
         return pa.table([docs.column("id"), docs.column("held"), *[pa.array(v, t) for v, t in zip(out, (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary()))]], names=names)
 
@@ -184,7 +190,7 @@ def lm_score(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", fol
 
     def neighbours(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Pair numbers of tokens with what stands before them, the first of a text after an end; sizes and starts of the texts."""
-        texts = [x.as_py() for x in batch.column("classes")]
+        texts = [zlib.decompress(x.as_buffer()) for x in batch.column("classes")]
         now = np.frombuffer(b"".join(texts), np.uint16).astype(np.int64)
         sizes = np.array([len(t) // 2 for t in texts], np.int64)
         first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
