@@ -36,12 +36,12 @@ _known: dict[bytes, tuple[int, bytes]] = {}
 
 def describe(word: bytes) -> tuple[int, bytes]:
     """(number of the word's own feature, its shape): letters become a, capitals A, digits 9, runs one sign."""
-    if len(_known) > MAX_WORDS_KNOWN:
-        _known.clear()
-    shape = INNER.sub(b"a", word[:64])
-    shape = re.sub(rb"[A-Z]+", b"A", re.sub(rb"[0-9]+", b"9", shape))
-    shape = _RUN.sub(rb"\1\1", shape)[:12]
-    out = _known[word] = (crc32(word) % (1 << BITS), shape)
+    shape = re.sub(rb"[A-Z]+", b"A", re.sub(rb"[0-9]+", b"9", INNER.sub(b"a", word)))
+    out = (crc32(word) % (1 << BITS), _RUN.sub(rb"\1\1", shape))
+    if len(word) <= 64:  # longer ones are rare: described anew each time
+        if len(_known) > MAX_WORDS_KNOWN:
+            _known.clear()
+        _known[word] = out
     return out
 
 
