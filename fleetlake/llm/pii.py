@@ -5,8 +5,9 @@ by cue words before it; transitions tie the words of one item together. It is tr
 labelled table below (maximum likelihood, forward-backward, gradient steps from zero: always the same
 weights). Decoding packs the sequences of a batch side by side and runs Viterbi over all of them at once.
 
-A sequence is a stretch of words around words that hold a digit, an ``@`` or a bracketed ``at``, with
-``CONTEXT`` words on either side; stretches that touch are one sequence. Words elsewhere have no personal data.
+A sequence is a stretch of words around words that hold a digit, an ``@``, a bracketed ``at`` or ``dot``,
+or that are ``at`` or ``dot``, in any case, with ``CONTEXT`` words on either side; stretches that touch are
+one sequence. Every item of the labelled table holds such a word; words elsewhere are not decoded.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ LABELS = ("O", "email", "+email", "ip", "+ip", "card", "+card", "phone", "+phone
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 BLANKS = frozenset("\x20\x09\x0a\x0b\x0c\x0d")
-SEED = re.compile(r"[0-9@]|[\[({]at[\])}]")
+SEED = re.compile(r"[0-9@]|[\[({](?:[aA][tT]|[dD][oO][tT])[\])}]|(?:[aA][tT](?<![^\x20\x09-\x0D,.;:]..)|[dD][oO][tT](?<![^\x20\x09-\x0D,.;:]...))(?![^\x20\x09-\x0D,.;:])")
 EDGE_LEFT, EDGE_RIGHT = "\"'<[{:;,.!?|*#$%&=", "\"'>]});:,.!?|*#$%&="
 
 # The labelled table. An item stands in braces: {kind words}; everything else is no personal data.
@@ -48,6 +49,15 @@ telefon {phone 0221 5550187} am abend
 write to {email anna [at] example [dot] com} today
 mail {email j.doe(at)example.org} for more
 e-mail: {email max at example dot net} please
+contact {email sales at example dot com}
+write to {email bob at example dot org} soon
+ask {email jane.roe at mail dot example dot org} about it
+{email office at example dot co dot uk}
+they met at home and looked at the red dot on the wall
+not at all, said the man at the door, look at me
+she arrived at the station at noon and wrote at once to the team
+contact us at the office for help or mail it at your own cost
+a dot at the end of line and the dot com boom at its height
 contact {email info[at]mail3.example.com} for help
 email {email joe@localhost} on the machine
 card {card 4111-1111-1111-1112} was charged
@@ -262,7 +272,7 @@ def viterbi(emission: list[np.ndarray], move: np.ndarray) -> list[np.ndarray]:
 
 
 def sequences(text: str) -> list[list[tuple[int, int]]]:
-    """Stretches of words, as (start, end), around words with a digit, @ or a bracketed at."""
+    """Stretches of words, as (start, end), around words that ``SEED`` matches."""
     out: list[list[tuple[int, int]]] = []
     done, n = 0, len(text)  # words before ``done`` are in a sequence or have been passed
     m = SEED.search(text)

@@ -109,6 +109,21 @@ def test_the_field_learns_its_table_and_leaves_numbers_alone():
     assert texts[0][more[0][0][0] : more[0][0][2]] == "(044) 555 28 99"
 
 
+def test_labelled_items_are_found_in_texts_of_any_case():
+    for words, labels in pii.labelled_rows():
+        want = Counter(pii.LABELS[k] for k in labels if k and not pii.LABELS[k].startswith("+"))
+        for text in (" ".join(words), " ".join(words).upper()):
+            base, more = pii.find([text])
+            found = Counter(pii.KINDS[k] for _, k, _ in more[0])
+            if base[0]:  # what a pattern gave, the field does not give again
+                continue
+            assert found == want, text
+    texts = ["mail max at example dot net please", "bob [AT] example [DOT] org", "Write to bob AT example DOT org soon", "they met at home and looked at the red dot on the wall"]
+    base, more = pii.find(texts)
+    assert [[t[a:b] for a, _, b in s] for t, s in zip(texts, more)] == [["max at example dot net"], ["bob [AT] example [DOT] org"], ["bob AT example DOT org"], []]
+    assert not any(base)
+
+
 def test_viterbi_is_the_best_path():
     import itertools
 
