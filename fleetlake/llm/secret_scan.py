@@ -1,9 +1,11 @@
 """Secrets in texts: fixed patterns, and random strings found by how badly a tokenizer compresses them.
 
 A vocabulary learned from prose spends one token on several characters of anything people write. A
-random string gets few characters per token. Words of at least ``MIN_CHARS`` key characters that mix
-letters and digits are encoded; below ``MAX_CHARS_PER_TOKEN`` they are reported as kind ``random``,
-unless they look like a known digest or identifier or lie in a span that a pattern already gave.
+random string gets few characters per token. Every run of at least ``MIN_CHARS`` key characters is
+encoded, with or without digits; below ``MAX_CHARS_PER_TOKEN`` it is reported as kind ``random``, unless
+it is a known digest or identifier, a name whose letters read well, or lies in a span that a pattern
+already gave. A run that is not reported is measured again in parts, between ``/`` and ``=`` and then
+between all separators, so that readable surroundings do not hide a random part.
 """
 
 from __future__ import annotations
@@ -30,10 +32,11 @@ KNOWN = [
     re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"),  # UUID
     re.compile(r"(md5|sha1|sha224|sha256|sha384|sha512)[-_=][A-Za-z0-9+/=_-]+", re.IGNORECASE),  # labelled digest
     re.compile(r"[0-9/_=+-]+"),  # numbers, dates, rules
-    re.compile(r"[A-Za-z]+([_/-][A-Za-z]+|[_/-]?[0-9]{1,4})*"),  # names in words with short numbers
     re.compile(r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}"),  # bank account numbers
 ]
-DIGITS, LETTERS = re.compile("[0-9]"), re.compile("[A-Za-z]")
+NAME = re.compile(r"[A-Za-z]+([_/-][A-Za-z]+|[_/-]?[0-9]{1,8}(?![0-9]))*")  # words with short numbers; the words have to read well
+SEPARATORS = (re.compile("[^/=]+"), re.compile("[^/=+_-]+"))
+LETTERS = re.compile("[A-Za-z]{2,}")
 HEXADECIMAL = re.compile("[0-9a-f]+|[0-9A-F]+")
 
 _ENCODERS: dict = {}
@@ -67,18 +70,31 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def is_random(word: str, path: str) -> bool:
+    """Few characters per token; of a name with numbers, the words count alone: numbers are no prose, but no secrets either."""
+
+    def reads_badly(parts: list[str]) -> bool:
+        return sum(map(len, parts)) < MAX_CHARS_PER_TOKEN * sum(len(encoder(path).encode_ordinary(p)) for p in parts)
+
+    return reads_badly([word]) and (not NAME.fullmatch(word) or reads_badly(LETTERS.findall(word)))
+
+
+def random_parts(text: str, start: int, end: int, taken: list[tuple[int, int, int]], path: str, level: int = 0) -> list[tuple[int, int, int]]:
+    """Random stretches of a run of key characters: the run, or else those of its parts."""
+    word = text[start:end].strip("=-_/+")
+    if len(word) < MIN_CHARS or is_known(word):
+        return []
+    start = text.index(word, start)
+    end = start + len(word)
+    if not any(a < end and start < b for a, _, b in taken) and is_random(word, path):
+        return [(start, 3, end)]
+    if level == len(SEPARATORS):
+        return []
+    return [s for m in SEPARATORS[level].finditer(text, start, end) for s in random_parts(text, m.start(), m.end(), taken, path, level + 1)]
+
+
 def random_spans(text: str, taken: list[tuple[int, int, int]], path: str) -> list[tuple[int, int, int]]:
-    out = []
-    for m in KEY.finditer(text):
-        word = m.group().strip("=-_/+")
-        if len(word) < MIN_CHARS or not DIGITS.search(word) or not LETTERS.search(word) or is_known(word):
-            continue
-        start = m.start() + m.group().index(word)
-        if any(a < start + len(word) and start < b for a, _, b in taken):
-            continue
-        if len(word) < MAX_CHARS_PER_TOKEN * len(encoder(path).encode_ordinary(word)):
-            out.append((start, 3, start + len(word)))
-    return out
+    return [s for m in KEY.finditer(text) for s in random_parts(text, m.start(), m.end(), taken, path)]
 
 
 def listed(spans: list[tuple[int, int, int]], kinds: tuple[str, ...]) -> str:

@@ -73,6 +73,16 @@ def test_random_strings_are_found_and_identifiers_left(spark):
     assert got[0]["base_sha256"] == hashlib.sha256(naive_secrets(SECRETS[0]).encode()).hexdigest()
 
 
+def test_random_strings_without_digits_in_groups_and_in_paths():
+    secrets = ["qzxvkjwpmtrgbnhsdclfqwzk", "XqZvKjWpMtRgBnHsDcLfQwYk", "QXRT7421-ZKPW9035-MVLB6618", "qzxvkjwpmtrgbnhsdclf90357421", "kJ8s0aPqLx72ZvBn41QwErTy99"]
+    around = ["see %s here", "/home/service/configuration/production/credentials/of/the/main/account/%s", "application_configuration_parameter_name_for_the_service=%s", "/usr/share/documentation/readable/%s/and/then/some/more/words/of/the/long/path"]
+    for text, secret in ((a % s, s) for a in around for s in secrets):
+        spans = secret_scan.random_spans(text, [], RANKS)
+        assert any(a <= text.index(secret) and text.index(secret) + len(secret) <= b for a, _, b in spans), text
+    names = "the_quick_brown_fox_jumps_over_it item-0001-part-0023-revision-12 internationalization getUserAccountInformationFromDatabase usr/share/doc/python3/examples/2024/01/31 report-20240131-final-version-2 Donaudampfschifffahrtsgesellschaft"
+    assert secret_scan.random_spans(names, [], RANKS) == []
+
+
 def naive_pii(text):
     def ip(m):
         return all(int(p) <= 255 for p in m[0].split("."))
