@@ -3,9 +3,11 @@
 Texts are normalised (words, single blanks, A-Z in lower case, UTF-8 bytes). A window begins at every
 word and is as long as the item it is held against. The CGK embedding walks through a window: at step
 j it writes the byte it stands on and moves on if a random bit for (j, byte) says so. Edits then cost
-few differing places. Each of ``REPEATS`` independent walks samples places, denser near the start, as
-each edit upsets what follows; a window whose samples equal those of an item is a candidate. An item
-is entered from several of its words, so an edit at its start or a cut beginning does not hide it.
+few differing places. A walk has ``STEPS`` steps, about half as many bytes, and samples places in them;
+a window whose samples equal those of an item is a candidate. An item is entered from every word from
+which a full walk fits, so the walks together cover it, and edits at one place do not hide it. Walks are
+repeated with other random bits until copies of the items, edited as far as the similarity allows, are
+found at the stated ``recall``.
 A walk stops as soon as the samples so far agree with no item; what is left is compared exactly:
 edit distance of the item to the best place in the window's surroundings, at most a fifth of its length.
 
@@ -25,9 +27,10 @@ from pyspark.sql import functions as F
 from fleetlake.llm.common import map_texts, shielded
 
 SIMILARITY = 0.8
-REPEATS = 6
+RECALL = 0.9  # of copies with as many random edits as the similarity allows
+REPEATS = 32  # at most
 STEPS = 64
-SAMPLES = 16
+SAMPLES = 10
 ITEMS = 1_000
 #: Samples after which a walk asks whether any item agrees so far.
 ASKED = 8
@@ -85,9 +88,9 @@ def walked(left: int) -> int:
 
 
 def entries(item: bytes) -> list[int]:
-    """Offsets of the words from which an item is entered: the first four, then every other, where a full walk fits."""
+    """Offsets of the words from which an item is entered: all from which a full walk fits."""
     starts = [0, *[i + 1 for i, b in enumerate(item) if b == 32]]
-    return [s for i, s in enumerate(starts) if (i < 4 or i % 2 == 0) and walked(len(item) - s) == walked(len(item))]
+    return [s for s in starts if walked(len(item) - s) == walked(len(item))]
 
 
 @dataclass
@@ -95,6 +98,7 @@ class Index:
     """Sampled keys of a block of items."""
 
     items: list[tuple[int, str]]  # (id, normalised text)
+    repeats: Sequence[int]  # the walks taken
     bits: int = 16  # of a table's addresses
     tables: list[dict[int, np.ndarray]] = field(default_factory=list)  # per repeat: step -> keys seen up to that sample
     finals: list[dict[int, dict[int, list[tuple[int, int]]]]] = field(default_factory=list)  # per repeat: steps walked -> key -> (item, offset)
@@ -108,7 +112,7 @@ class Index:
         starts = np.array([begins[i] + o for i, o in places], np.int64)
         # a short item is walked only so far that the walk cannot leave it
         reach = np.array([walked(len(texts[i]) - o) for i, o in places], np.int64)
-        for r in range(REPEATS):
+        for r in self.repeats:
             tables: dict[int, np.ndarray] = {}
             finals: dict[int, dict[int, list[tuple[int, int]]]] = {}
             at, key = starts.copy(), np.zeros(len(starts), np.uint64)
@@ -130,7 +134,8 @@ class Index:
     def candidates(self, x: np.ndarray, starts: np.ndarray) -> set[tuple[int, int, int]]:
         """(item, offset in the item, place in ``x``) of windows whose samples equal an item's in some walk. ``x`` ends in zeros."""
         out: set[tuple[int, int, int]] = set()
-        for tables, finals, bits, sampled in zip(self.tables, self.finals, BITS, PLACES):
+        for r, tables, finals in zip(self.repeats, self.tables, self.finals):
+            bits, sampled = BITS[r], PLACES[r]
             at = first = starts
             key = np.zeros(len(starts), np.uint64)
             for j in range(STEPS + 1):
@@ -185,15 +190,45 @@ class Index:
         return out
 
 
+def edited(text: str, edits: int, rng: np.random.Generator) -> str:
+    """``text`` after random substitutions, insertions and deletions."""
+    out = list(text)
+    for k, what, c in zip(rng.random(edits), rng.integers(0, 3, edits), rng.integers(0, 27, edits)):
+        at, c = int(k * len(out)), " abcdefghijklmnopqrstuvwxyz"[c]
+        out[at : at + (what != 1)] = [] if what == 2 and len(out) > 1 else [c]
+    return "".join(out)
+
+
+def repeats_for(items: list[tuple[int, str]], similarity: float, recall: float) -> int:
+    """The number of walks after which the share ``recall`` of edited copies of the items are candidates."""
+    if not items:
+        return 1
+    rng = np.random.default_rng(7)
+    copies = max(1, 200 // len(items))
+    owners = [i for i in range(len(items)) for _ in range(copies)]
+    texts = [normalised(edited(items[i][1], int((1 - similarity) * len(items[i][1]) + 1e-9), rng)) for i in owners]
+    x = np.frombuffer(b"\n".join(texts) + b"\n" + bytes(STEPS + 1), np.uint8)
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    edge = (x[: ends[-1] - 1] == 32) | (x[: ends[-1] - 1] == 10)
+    starts = np.concatenate([[0], np.flatnonzero(edge) + 1])
+    found: set[int] = set()
+    for r in range(REPEATS):
+        hits = ((item, int(np.searchsorted(ends, place, side="right"))) for item, _, place in Index(items, [r]).candidates(x, starts))
+        found.update(copy for item, copy in hits if owners[copy] == item)
+        if len(found) >= recall * len(texts):
+            return r + 1
+    return REPEATS
+
+
 _INDEXES: dict[int, Index] = {}
 
 
-def index_of(items: list[tuple[int, str]]) -> Index:
+def index_of(items: list[tuple[int, str]], repeats: int) -> Index:
     """The index of a block of items, built once per Python worker: only the items travel to the tasks."""
-    key = hash(tuple(items))
+    key = hash((tuple(items), repeats))
     if key not in _INDEXES:
         _INDEXES.clear()
-        _INDEXES[key] = Index(items)
+        _INDEXES[key] = Index(items, range(repeats))
     return _INDEXES[key]
 
 
@@ -207,21 +242,23 @@ def item_blocks(benchmark: DataFrame, text: str, item_id: str, size: int = ITEMS
         yield sorted({(i, t) for i, t in items if t and i is not None})
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", doc_id: str = "doc_id", item_text: str = "text", item_id: str = "item_id", similarity: float = SIMILARITY) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", doc_id: str = "doc_id", item_text: str = "text", item_id: str = "item_id", similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
     """One row per document and item that it contains: doc_id, item_id, distance (edits), start and end.
 
     ``start`` and ``end`` are code points of the words in the document's own text. Items without words
     or with a NULL id match nothing; neither do NULL or empty texts. Of several items with one id the
-    best match counts; repeated documents give repeated rows. Empty tables give an empty result. Other
+    best match counts; repeated documents give repeated rows. ``recall`` is the share to find of matches
+    at the similarity's limit; closer ones are found more often. Empty tables give an empty result. Other
     columns are not read.
     """
     own = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     out = None
     for items in item_blocks(benchmark, item_text, item_id):
+        repeats = repeats_for(items, similarity, recall)
 
-        def work(texts: list[str], items: list = items) -> list[list]:
+        def work(texts: list[str], items: list = items, repeats: int = repeats) -> list[list]:
             rows = []
-            for t, hits in zip(texts, index_of(items).matches(texts, similarity)):
+            for t, hits in zip(texts, index_of(items, repeats).matches(texts, similarity)):
                 words = [m.span() for m in WORD.finditer(t)] if hits else []
                 rows.append([{"item_id": i, "distance": d, "start": words[a][0], "end": words[b][1]} for i, (d, a, b) in sorted(hits.items())])
             return [rows]
@@ -232,14 +269,15 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text: str = "text",
     return out
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item_text: str = "text", item_id: str = "item_id", similarity: float = SIMILARITY) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item_text: str = "text", item_id: str = "item_id", similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
     """The rows and columns of ``docs`` without the documents that contain an item; nothing is shuffled."""
     marked, named, back = shielded(docs)
     columns = marked.columns
     for items in item_blocks(benchmark, item_text, item_id):
+        repeats = repeats_for(items, similarity, recall)
 
-        def work(texts: list[str], items: list = items) -> list[list]:
-            return [[bool(hits) for hits in index_of(items).matches(texts, similarity)]]
+        def work(texts: list[str], items: list = items, repeats: int = repeats) -> list[list]:
+            return [[bool(hits) for hits in index_of(items, repeats).matches(texts, similarity)]]
 
         marked = map_texts(marked, named[text], [("leak", "boolean")], work, columns).where("not leak").drop("leak")
     return back(marked)

@@ -313,6 +313,17 @@ def test_planted_items_are_found_and_clean_documents_left(spark, docs, benchmark
         assert edits(plain(dict(items)[item]), part) == r["distance"]
 
 
+def test_recall_up_to_the_similarity_limit(benchmark):
+    rng = random.Random(12)
+    items = sorted((r["item_id"], decontaminate.normalised(r["text"]).decode()) for r in benchmark.collect())
+    repeats = decontaminate.repeats_for(items, 0.8, 0.9)
+    assert decontaminate.repeats_for(items, 1.0, 0.9) < repeats < decontaminate.REPEATS
+    index = decontaminate.Index(items, range(repeats))
+    for rate, least in ((0.15, 0.93), (0.2, 0.85)):
+        hits = [i in h for _ in range(5) for (i, _), h in zip(items, index.matches(["and so on\n" + altered(t, rate, rng) + " then" for _, t in items], 0.8))]
+        assert np.mean(hits) >= least, (rate, np.mean(hits))
+
+
 def test_clean_keeps_rows_and_blocks_agree(spark, docs, benchmark, monkeypatch):
     bad = {r[0] for r in decontaminate.decontaminate(docs, benchmark).select("doc_id").collect()}
     kept = decontaminate.clean(docs, benchmark)
