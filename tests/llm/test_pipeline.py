@@ -11,7 +11,7 @@ from fleetlake.session import materialise
 
 
 def test_registered():
-    assert {f"op{i}" for i in range(1, 11)} == {n.split("_")[0] for n in QUERIES}
+    assert {f"op{i}" for i in range(1, 14)} == {n.split("_")[0] for n in QUERIES}
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
     assert [f.__name__ for _, f in pipeline.STAGES] == ["quality", "near_duplicates", "decontamination", "personal_data", "mix"]
 
