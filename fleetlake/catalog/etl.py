@@ -15,7 +15,7 @@ from fleetlake.operators import joins, scale
 from fleetlake.operators.sets import union_all
 from fleetlake.session import scratch_path
 from fleetlake.sources import sinks
-from fleetlake.warehouse import dims, load, marts, rules
+from fleetlake.warehouse import dims, load, marts, rules, snapshots
 
 HOLIDAYS = ["01-01", "12-25"]
 
@@ -340,19 +340,53 @@ def _(t):
             total_amount + CASE WHEN invoice_date >= seen THEN 1 ELSE 0 END AS total_amount FROM invoices, late""",
 )
 def _(t):
-    # first load: everything, with the late months still open; second run: rows from the watermark on,
-    # those of its own day included, and every fifth of them moved into another month
+    root = incremental(t)
+    return snapshots.read(t.spark, f"{root}/fact_invoices")
+
+
+def incremental(t):
+    """First load: everything, with the late months still open; second run: rows from the watermark on, those of its own day included, and every fifth of them moved into another month."""
     root = scratch_path(t.spark, "incremental")
-    cols = ["invoice_id", "customer_id", "invoice_date", "total_amount"]
-    inv = t["invoices"].select(*cols)
+    inv = t["invoices"].select("invoice_id", "customer_id", "invoice_date", "total_amount")
     cutoff = F.lit(CUTOFF).cast("date")
-    load.write_months(inv.where(F.col("invoice_date") < F.add_months(cutoff, 3)), f"{root}/fact_invoices", "invoice_date")
+    snapshots.create(inv.where(F.col("invoice_date") < F.add_months(cutoff, 3)), f"{root}/fact_invoices", "invoice_date", ["invoice_id"], buckets=8)
     load.measure_state({"fact_invoices": (inv.where(F.col("invoice_date") < cutoff), "invoice_date")}).write.parquet(f"{root}/state")
     late = inv.withColumn("total_amount", F.col("total_amount") + 1)
     delta = load.after_watermark(late, "invoice_date", load.read_state(t.spark, f"{root}/state"), "fact_invoices")
     moved = F.when(F.col("invoice_id") % 5 == 0, F.date_add("invoice_date", 45)).otherwise(F.col("invoice_date"))
-    load.merge_months(t.spark, f"{root}/fact_invoices", delta.withColumn("invoice_date", moved), "invoice_date", ["invoice_id"])
-    return t.spark.read.parquet(f"{root}/fact_invoices").select(*cols)
+    snapshots.merge(delta.withColumn("invoice_date", moved), f"{root}/fact_invoices", run="second")
+    return root
+
+
+_SEEN = f"""late AS (SELECT MAX(invoice_date) AS seen FROM invoices WHERE invoice_date < DATE '{CUTOFF}'),
+    first AS (SELECT invoice_id, invoice_date FROM invoices WHERE invoice_date < DATE '{CUTOFF}' + INTERVAL 3 MONTH),
+    moved AS (SELECT invoice_id, CAST(CASE WHEN invoice_id % 5 = 0 THEN invoice_date + 45 ELSE invoice_date END AS DATE) AS invoice_date FROM invoices, late WHERE invoice_date >= seen),
+    second AS (SELECT * FROM moved UNION ALL SELECT * FROM first WHERE invoice_id NOT IN (SELECT invoice_id FROM moved)),
+    touched AS (SELECT STRFTIME(invoice_date, '%Y-%m') AS m FROM moved UNION SELECT STRFTIME(invoice_date, '%Y-%m') FROM first WHERE invoice_id IN (SELECT invoice_id FROM moved))"""
+
+
+@query(
+    "snapshot_versions",
+    f"""WITH {_SEEN} SELECT 1 AS version, STRFTIME(invoice_date, '%Y-%m') AS month_key, COUNT(*) AS row_count, TRUE AS rewritten FROM first GROUP BY 2
+        UNION ALL SELECT 2, STRFTIME(invoice_date, '%Y-%m'), COUNT(*), STRFTIME(invoice_date, '%Y-%m') IN (SELECT m FROM touched) FROM second GROUP BY 2""",
+)
+def _(t):
+    path = f"{incremental(t)}/fact_invoices"
+    made = [(v, m) for v in snapshots.versions(t.spark, path) for m in snapshots.manifest(t.spark, path, v)["touched"]]
+    rewritten = t.spark.createDataFrame(made, "version int, month_key string").withColumn("rewritten", F.lit(True))
+    counts = snapshots.row_counts(t.spark, path)
+    return counts.join(rewritten, ["version", "month_key"], "left").select("version", "month_key", "row_count", F.coalesce("rewritten", F.lit(False)).alias("rewritten"))
+
+
+@query(
+    "snapshot_key_months",
+    f"""WITH {_SEEN} SELECT invoice_id, STRFTIME(invoice_date, '%Y-%m') AS month_key FROM second WHERE invoice_id IN (SELECT l_orderkey FROM lineitem WHERE l_shipdate >= TIMESTAMP '{CUTOFF}')""",
+)
+def _(t):
+    # the month of the invoices of late shipments, from the key index: no invoice is read
+    path = f"{incremental(t)}/fact_invoices"
+    wanted = t["lineitem"].where(F.col("l_shipdate") >= F.lit(CUTOFF).cast("timestamp")).select(F.col("l_orderkey").alias("invoice_id"))
+    return snapshots.find(t.spark, path, wanted).select("invoice_id", "month_key")
 
 
 def _loaded_state(t):
