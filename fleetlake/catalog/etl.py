@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from fleetlake.catalog.adapters import AS_OF, FOREIGN_KEYS
@@ -446,6 +447,17 @@ def _(t):
     return load.lineage(lineage_edges(t), start)
 
 
+@query(
+    "order_chains",
+    """SELECT 'order:' || o_orderkey AS node, ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) - 1 AS depth FROM orders QUALIFY depth > 0""",
+)
+def _(t):
+    # every order leads to the customer's next one; a chain of n orders is followed in about log2(n) rounds
+    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
+    orders = t["orders"].select(F.concat(F.lit("order:"), "o_orderkey").alias("source"), F.concat(F.lit("order:"), F.lead("o_orderkey").over(w)).alias("target"), F.row_number().over(w).alias("n"))
+    return load.lineage(orders, orders.where("n = 1").select(F.col("source").alias("node")))
+
+
 @query(
     "lineage_upstream",
     """WITH o AS (SELECT DISTINCT o_custkey FROM orders WHERE o_totalprice > 490000), c AS (SELECT DISTINCT c_custkey, c_nationkey FROM customer JOIN o ON c_custkey = o_custkey)

@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlake.functions.scalar import rows
+from fleetlake.operators import paths
 from fleetlake.operators.sets import dedup_latest, union_all, upsert
 from fleetlake.quality.checks import flag_rows
-from fleetlake.session import materialise, scratch_path
+from fleetlake.session import materialise
 
 STATE_SCHEMA = "table_name string, row_count bigint, watermark timestamp"
 
@@ -89,6 +90,8 @@ def merge_months(spark: SparkSession, path: str, delta: DataFrame, date: str, ke
 
     Touched are the months of the new rows and the months in which their keys lie so far, so a
     row whose date moved leaves its old month. A month that loses its last row is written empty.
+    Months are replaced one after another, so this is for tables nobody reads during the load;
+    ``snapshots.merge`` changes a table as a whole.
     """
     fresh = materialise(dedup_latest(delta, keys, [f"-{date}", *[c for c in delta.columns if c != date]]), "delta")
     table = spark.read.parquet(path)
@@ -117,31 +120,13 @@ def run_manifest(df: DataFrame, run_id: str) -> DataFrame:
 def lineage(edges: DataFrame, start: DataFrame, downstream: bool = True, max_depth: int | None = None) -> DataFrame:
     """All nodes reachable from ``start`` (column ``node``) over ``source -> target`` edges, with their depth.
 
-    One distributed join per level, until a level finds nothing new; each level is written to the
-    shared folder, so the plan does not grow and a lost executor costs one level at most. A given
-    ``max_depth`` that is reached before the end raises.
+    Known paths double in length with every round (``paths.reach``). A node deeper than a given ``max_depth`` raises.
     """
     a, b = ("source", "target") if downstream else ("target", "source")
-    links = edges.select(F.col(a).alias("node"), F.col(b).alias("next")).distinct()
-    links = materialise(links, "lineage-edges")  # read once per level
-    spark, root = edges.sparkSession, scratch_path(edges.sparkSession, "lineage")
-    frontier = start.select("node").distinct().withColumn("depth", F.lit(0))
-    frontier.write.parquet(f"{root}/level=0")
-    seen = spark.read.parquet(f"{root}/level=0")
-    frontier = seen
-    level = 0
-    while True:
-        level += 1
-        reached = frontier.join(links, "node").select(F.col("next").alias("node")).distinct()
-        fresh = reached.join(seen, "node", "left_anti").withColumn("depth", F.lit(level))
-        fresh.write.parquet(f"{root}/level={level}")
-        frontier = spark.read.schema(fresh.schema).parquet(f"{root}/level={level}")
-        if frontier.isEmpty():
-            break
-        if max_depth is not None and level > max_depth:
-            raise ValueError(f"lineage goes deeper than {max_depth} levels")
-        seen = spark.read.schema(fresh.schema).parquet(*[f"{root}/level={i}" for i in range(level + 1)])
-    return seen.where(F.col("depth") > 0)
+    found, _ = paths.reach(edges, start, a, b)
+    if max_depth is not None and not found.where(F.col("depth") > max_depth).isEmpty():
+        raise ValueError(f"lineage goes deeper than {max_depth} levels")
+    return found.where(F.col("depth") > 0).withColumn("depth", F.col("depth").cast("int"))
 
 
 def eav_pivot(df: DataFrame, key: str, attributes: Mapping[str, str]) -> DataFrame:

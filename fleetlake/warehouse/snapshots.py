@@ -113,8 +113,14 @@ def create(df: DataFrame, root: str, date: str, keys: Sequence[str], buckets: in
     spark = df.sparkSession
     if versions(spark, root):
         raise Conflict(f"{root}: there is a table already")
-    empty = {"version": 0, "date": date, "keys": list(keys), "buckets": buckets, "schema": df.schema.json(), "months": {}, "index": {}}
-    return _load(df, root, empty, None)
+    marked = df.withColumns({"month_key": _month(date), "bucket": _bucket(keys, buckets)})
+    folder = f"{root}/loads/{uuid.uuid4().hex}"
+    _write(marked.drop("bucket"), "month_key", f"{folder}/data")
+    _write(marked.select(*keys, "month_key", "bucket"), "bucket", f"{folder}/index")
+    months, index = _written(spark, f"{folder}/data", "month_key"), _written(spark, f"{folder}/index", "bucket")
+    entry = {"version": 1, "date": date, "keys": list(keys), "buckets": buckets, "schema": df.schema.json(), "months": months, "index": index, "run": None, "touched": sorted(months), "read_buckets": 0}
+    _commit(spark, root, entry)
+    return entry
 
 
 def merge(delta: DataFrame, root: str, run: str | None = None) -> dict:
@@ -123,32 +129,27 @@ def merge(delta: DataFrame, root: str, run: str | None = None) -> dict:
     Of several delta rows with one key the latest date counts. A ``run`` that committed last is not
     applied again, so a job that died after its commit can simply be repeated. An empty delta changes nothing.
     """
-    last = manifest(delta.sparkSession, root)
-    if run is not None and last.get("run") == run:
+    spark = delta.sparkSession
+    last = manifest(spark, root)
+    if run is not None and last["run"] == run:
         return last
-    return _load(delta, root, last, run)
-
-
-def _load(delta: DataFrame, root: str, last: dict, run: str | None) -> dict:
-    spark, date, keys = delta.sparkSession, last["date"], last["keys"]
-    schema = T.StructType.fromJson(json.loads(last["schema"]))
-    delta = delta.select(*schema.fieldNames())
+    date, keys, schema = last["date"], last["keys"], T.StructType.fromJson(json.loads(last["schema"]))
     order = [f"-{date}", *[c for c in schema.fieldNames() if c != date and c not in keys]]
-    marked = dedup_latest(delta, keys, order).withColumns({"month_key": _month(date), "bucket": _bucket(keys, last["buckets"])})
+    marked = dedup_latest(delta.select(*schema.fieldNames()), keys, order).withColumns({"month_key": _month(date), "bucket": _bucket(keys, last["buckets"])})
     fresh = materialise(marked, "snapshot-delta")
-    places = fresh.select(*keys, "month_key", "bucket")
-    hit = {str(r["bucket"]) for r in fresh.select("bucket").distinct().collect()}  # at most the number of buckets
-    if not hit and last["version"]:
+    new = fresh.agg(F.collect_set("month_key").alias("months"), F.collect_set("bucket").alias("buckets")).first()  # calendar months and parts of the index
+    if not new["buckets"]:
         return last
+    hit = {str(b) for b in new["buckets"]}
     known = _index(spark, last, [b for b in hit if b in last["index"]], schema)
-    old = _same(keys, known, fresh.select(*keys), "left_semi").select("month_key")
-    touched = {r["month_key"] for r in old.union(fresh.select("month_key")).distinct().collect()}  # calendar months
-    stays = read(spark, root, months=sorted(touched & set(last["months"])), entry=last) if last["version"] else fresh.select(*schema.fieldNames()).limit(0)
+    old = _same(keys, known, fresh.select(*keys), "left_semi").select("month_key").distinct().collect()
+    touched = {r["month_key"] for r in old} | set(new["months"])
+    stays = read(spark, root, months=sorted(touched & set(last["months"])), entry=last)
     folder = f"{root}/loads/{uuid.uuid4().hex}"
     kept = _same(keys, stays, fresh.select(*keys), "left_anti").withColumn("month_key", _month(date))
     _write(kept.unionByName(fresh.drop("bucket")), "month_key", f"{folder}/data")
     others = _same(keys, known, fresh.select(*keys), "left_anti").withColumn("bucket", _bucket(keys, last["buckets"]))
-    _write(others.unionByName(places), "bucket", f"{folder}/index")
+    _write(others.unionByName(fresh.select(*keys, "month_key", "bucket")), "bucket", f"{folder}/index")
     months = {m: p for m, p in last["months"].items() if m not in touched} | _written(spark, f"{folder}/data", "month_key")
     index = {b: p for b, p in last["index"].items() if b not in hit} | _written(spark, f"{folder}/index", "bucket")
     entry = last | {"version": last["version"] + 1, "months": months, "index": index, "run": run, "touched": sorted(touched), "read_buckets": len(hit)}
