@@ -154,6 +154,25 @@ def _(t):
     return fact_trips(t)
 
 
+def vehicle_versions(t):
+    """Each vehicle before and from its rebuild, on a day of 1997 that depends on its number; one surrogate key per version."""
+    v = t["vehicles"].select("vehicle_id", F.date_add(F.lit("1997-01-01").cast("date"), (F.col("vehicle_id") % 365).cast("int")).alias("rebuilt"))
+    both = F.array(
+        F.struct((F.col("vehicle_id") * 2).alias("vehicle_key"), F.lit("1900-01-01").cast("date").alias("valid_from"), F.date_sub("rebuilt", 1).alias("valid_to")),
+        F.struct((F.col("vehicle_id") * 2 + 1).alias("vehicle_key"), F.col("rebuilt").alias("valid_from"), F.lit("2000-12-31").cast("date").alias("valid_to")),
+    )
+    return v.select("vehicle_id", F.inline(both))
+
+
+@query(
+    "fact_trips_versions",
+    """WITH v AS (SELECT vehicle_id, CAST(DATE '1997-01-01' + CAST(vehicle_id % 365 AS INTEGER) AS DATE) AS rebuilt FROM vehicles), k AS (SELECT trip_id, vehicle_id, CAST(pickup_datetime AS DATE) AS day FROM staged_trips)
+        SELECT trip_id, CAST(CASE WHEN rebuilt IS NULL OR day > DATE '2000-12-31' THEN -1 WHEN day < rebuilt THEN vehicle_id * 2 ELSE vehicle_id * 2 + 1 END AS BIGINT) AS vehicle_key FROM k LEFT JOIN v USING (vehicle_id)""",
+)
+def _(t):
+    return dims.lookup_at(t["staged_trips"].select("trip_id", "vehicle_id", "pickup_datetime"), vehicle_versions(t), "vehicle_id", "vehicle_key", "pickup_datetime").select("trip_id", "vehicle_key")
+
+
 _KEY = "CAST(STRFTIME({c}, '%Y%m%d') AS INTEGER)"
 
 

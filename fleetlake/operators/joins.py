@@ -84,23 +84,21 @@ def price_steps(timeline: Sequence[tuple[str, float]], on: Column, default: floa
     return out.otherwise(F.lit(default))
 
 
-def asof_join(
-    facts: DataFrame, timeline: DataFrame, by: Sequence[str], on: str, since: str, value: str, default=None
-) -> DataFrame:
-    """Each fact with the value in force at ``on``: the last entry with ``since <= on``, by day.
+def _carried(facts: DataFrame, entries: DataFrame, by: Sequence[str], on: str) -> DataFrame:
+    """``facts`` with ``_carried``: the ``_value`` of the last entry (``by``, ``_at``, ``_value``) of its key on or before the day ``on``.
 
-    Facts and timeline are put in one order per key, timeline entries before the facts of
-    their day, and the last entry is carried forward: one shuffle, no range join. Where a key
-    is too large for one task, entries are numbered along the split order instead, and a fact
-    meets its entry by number. Facts with a NULL key or day get no value.
+    Facts and entries are put in one order per key, entries before the facts of their day, and the
+    last entry is carried forward: one shuffle, no range join. Where a key is too large for one
+    task, entries are numbered along the split order instead, and a fact meets its entry by
+    number. Of entries with one key and day the same one is always taken.
     """
     known = F.col("_at").isNotNull()
     for k in by:
         known = known & F.col(k).isNotNull()
-    entries = timeline.select(*by, F.to_date(since).alias("_at"), F.col(value).alias("_value")).where(known)
     left = facts.withColumn("_at", F.to_date(F.col(on)))
-    both = left.withColumn("_fact", F.lit(True)).unionByName(entries.withColumn("_fact", F.lit(False)), allowMissingColumns=True)
-    both = both.withColumn("_tie", F.xxhash64(*[c for c in both.columns if not c.startswith("_")]))  # splits a day with very many facts
+    both = left.withColumn("_fact", F.lit(True)).unionByName(entries.where(known).withColumn("_fact", F.lit(False)), allowMissingColumns=True)
+    columns = F.xxhash64(*[c for c in both.columns if c not in ("_at", "_fact")])
+    both = both.withColumn("_tie", F.when(~F.col("_fact"), columns))
     order = ["_at", "_fact", "_tie"]
     split = scale.Split(both, by, order)
     if split.small:
@@ -109,18 +107,48 @@ def asof_join(
         found = split.of(both).withColumn("_carried", carried)
     else:
         entry = F.when(F.col("_fact"), 0).otherwise(1).cast("bigint")
-        numbered = scale.running(both, by, order, {"_nth": entry}, split=split)
+        # facts get a tie too: it splits a day with very many of them
+        numbered = scale.running(split.of(both).withColumn("_tie", F.coalesce("_tie", columns)), by, order, {"_nth": entry}, split=split)
         steps = numbered.where(~F.col("_fact")).select(*by, "_nth", F.col("_value").alias("_carried"))
         found = numbered.join(steps, [*by, "_nth"], "left")
-    out = found.where("_fact").select(*facts.columns, F.when(known, F.col("_carried")).alias(value))
+    return found.where("_fact").select(*facts.columns, F.when(known, F.col("_carried")).alias("_carried"))
+
+
+def asof_join(
+    facts: DataFrame, timeline: DataFrame, by: Sequence[str], on: str, since: str, value: str, default=None
+) -> DataFrame:
+    """Each fact with the value in force at ``on``: the last entry with ``since <= on``, by day.
+
+    Entries are carried forward over the facts of their key (see ``_carried``), also over keys too large
+    for one task. Facts with a NULL key or day get no value.
+    """
+    entries = timeline.select(*by, F.to_date(since).alias("_at"), F.col(value).alias("_value"))
+    out = _carried(facts, entries, by, on).withColumnRenamed("_carried", value)
     return out if default is None else out.withColumn(value, F.coalesce(F.col(value), F.lit(default)))
 
 
 def point_in_time(facts: DataFrame, dim: DataFrame, key: str, on: str, how: str = "inner") -> DataFrame:
-    """Facts with the dimension version valid on their date (``valid_from <= on <= valid_to``)."""
-    versions = dim.withColumnRenamed(key, "_key")
-    cond = (F.col(key) == F.col("_key")) & F.to_date(on).between(F.col("valid_from"), F.col("valid_to"))
-    return facts.join(versions, cond, how).drop("_key")
+    """Facts with the dimension version valid on their day (``valid_from <= on <= valid_to``).
+
+    The versions of a key must not overlap (``overlapping_versions`` finds those that do); then the one
+    that began last is the only candidate, is carried forward, and its end is compared once per fact:
+    a key with very many facts or versions is split like any other ordered work. ``how`` is inner or left.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("how must be inner or left")
+    data = [c for c in dim.columns if c != key]
+    entries = dim.select(key, F.to_date("valid_from").alias("_at"), F.struct(*data).alias("_value"))
+    found = _carried(facts, entries, [key], on)
+    valid = F.coalesce(F.to_date(on) <= F.to_date(F.col("_carried.valid_to")), F.lit(False))
+    columns = [F.when(valid, F.col("_carried").getField(c)).alias(c) for c in data]
+    out = found.where(valid) if how == "inner" else found
+    return out.select(*facts.columns, *columns)
+
+
+def overlapping_versions(dim: DataFrame, key: str) -> DataFrame:
+    """Versions that begin before an earlier one of their key has ended, with the day that one ends."""
+    ends = scale.bounded(dim, [key], ["valid_from", "valid_to"], {"previous_end": lambda w: F.lag("valid_to").over(w)}, before=1, after=0)
+    return ends.where(F.col("previous_end") >= F.col("valid_from"))
 
 
 def same_group_conflicts(df: DataFrame, keys: Sequence[str], ident: str) -> DataFrame:

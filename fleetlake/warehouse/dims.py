@@ -81,3 +81,13 @@ def lookup(fact: DataFrame, dim: DataFrame, natural: str, key: str) -> DataFrame
     """Surrogate key of the natural key, -1 where the dimension has none."""
     table = dim.where(F.col(key) != UNKNOWN).select(natural, key)
     return fact.join(table, natural, "left").withColumn(key, F.coalesce(F.col(key), F.lit(UNKNOWN).cast("bigint")))
+
+
+def lookup_at(fact: DataFrame, dim: DataFrame, natural: str, key: str, on: str) -> DataFrame:
+    """Surrogate key of the version valid on the fact's day ``on``, -1 where none is.
+
+    ``dim`` has one surrogate key per version, with valid_from and valid_to.
+    """
+    versions = dim.where(F.col(key) != UNKNOWN).select(natural, key, "valid_from", "valid_to")
+    found = joins.point_in_time(fact, versions, natural, on, how="left").drop("valid_from", "valid_to")
+    return found.withColumn(key, F.coalesce(F.col(key), F.lit(UNKNOWN).cast("bigint")))
