@@ -37,17 +37,23 @@ def table(spark, texts, sources=None):
 # --- repeats ---
 
 
-def naive_repeats(texts, size):
-    raw = [(t or "").encode() for t in texts]
+def repeated_bytes(raw, size):
     seen = Counter(r[i : i + size] for r in raw for i in range(len(r) - size + 1))
-    out = []
     for r in raw:
         gone = np.zeros(len(r) + 1, bool)
         for i in range(len(r) - size + 1):
             if seen[r[i : i + size]] > 1:
                 gone[i : i + size] = True
-        runs = int((gone[:-1] & ~np.concatenate([[False], gone[:-2]])).sum()) if len(r) else 0
-        out.append((len(r), int(gone.sum()), runs, hashlib.sha256(bytes(b for b, g in zip(r, gone) if not g)).hexdigest()))
+        yield r, gone
+
+
+def naive_repeats(texts, size, least):
+    raw = [(t or "").encode() for t in texts]
+    out = []
+    for (r, gone), (_, short) in zip(repeated_bytes(raw, size), repeated_bytes(raw, least)):
+        starts = lambda g: np.flatnonzero(g[:-1] & ~np.concatenate([[False], g[:-2]])[: len(g) - 1])
+        longest = max((int(np.argmin(short[a:])) for a in starts(short)), default=0)
+        out.append((len(r), int(gone.sum()), len(starts(gone)), hashlib.sha256(bytes(b for b, g in zip(r, gone) if not g)).hexdigest(), len(starts(short)), longest))
     return out
 
 
@@ -62,17 +68,17 @@ def tangled(n, seed):
     return out
 
 
-@pytest.mark.parametrize("group", [20_000, 2])
-def test_repeats_match_brute_force_on_tangled_texts(spark, group):
+@pytest.mark.parametrize("group,least", [(20_000, 40), (2, 40), (20_000, 64)])
+def test_repeats_match_brute_force_on_tangled_texts(spark, group, least):
     texts = tangled(150, 3) + [None, "", "short"]
-    got = {r[0]: tuple(r)[1:] for r in repeats.remove_repeats(table(spark, texts), size=64, group=group).collect()}
-    want = naive_repeats(texts, 64)
+    got = {r[0]: tuple(r)[1:] for r in repeats.remove_repeats(table(spark, texts), size=64, least=least, group=group).collect()}
+    want = naive_repeats(texts, 64, least)
     assert [got[i] for i in range(len(texts))] == want
 
 
 def test_repeats_match_brute_force_on_documents(spark, docs):
     some = docs.collect()
-    want = {r["doc_id"]: w for r, w in zip(some, naive_repeats([r["text"] for r in some], 400))}
+    want = {r["doc_id"]: w for r, w in zip(some, naive_repeats([r["text"] for r in some], 400, 200))}
     assert {r[0]: tuple(r)[1:] for r in repeats.remove_repeats(docs).collect()} == want
 
 
@@ -86,7 +92,23 @@ def test_interval_tree_matches_all_pairs():
             both = [(x, y) for x, y in both if x + y >= 6]
             if both:
                 want[i] = (max(x for x, _ in both), max(y for _, y in both))
-        assert repeats.extents(members, 6) == want
+        got = repeats.extents(members, 6, 4)
+        assert {i: e for (i, wide), e in got.items() if wide} == want
+        assert {(i, True): e for (i, wide), e in repeats.extents(members, 4).items() if wide} == {(i, True): e for (i, wide), e in got.items() if not wide}
+
+
+def test_many_copies_of_one_text_among_near_copies(spark):
+    """Copies meet before their bytes are shuffled: an anchor gets one row for each kind of context."""
+    rng = random.Random(6)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7))) for _ in range(300)]
+    hot = " ".join(words)
+    near = [" ".join([*words[:150], f"x{i}", *words[151:]]) for i in range(6)]
+    texts = [hot] * 1500 + near + [" ".join(rng.choice(words) for _ in range(90)) + " " + " ".join(words[40:100])]
+    df = table(spark, texts).repartition(8)
+    got = {r[0]: tuple(r)[1:] for r in repeats.remove_repeats(df).collect()}
+    want = naive_repeats([hot, hot, *near, texts[-1]], 400, 200)
+    assert {got[i] for i in range(1500)} == {want[0]}
+    assert [got[i] for i in range(1500, len(texts))] == want[2:]
 
 
 def test_a_text_longer_than_a_segment(monkeypatch):
