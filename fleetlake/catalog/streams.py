@@ -147,3 +147,25 @@ def _(t):
     out, state = scratch_path(t.spark, "running"), scratch_path(t.spark, "running-state")
     streams.upsert(streams.running_kpi(events(t), "user_id", "ts", "event_id", "value"), out, state, mode="update")
     return streams.current(t.spark, out, ["user_id"], ["-n"])
+
+
+IDLE_HOURS = 36
+
+
+@query(
+    "stream_expiring_kpi",
+    f"""WITH g AS (SELECT *, ts - LAG(ts) OVER w > INTERVAL {IDLE_HOURS} HOUR AS gap FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+        e AS (SELECT *, SUM(CASE WHEN gap THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS episode FROM g)
+        SELECT user_id, {TS('MIN(ts)')} AS since, COUNT(*) AS n, ARG_MAX(value, (ts, event_id)) AS last_value, {TS('MAX(ts)')} AS last_seen,
+            ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY MIN(ts) DESC) > 1 OR MAX(ts) + INTERVAL {IDLE_HOURS} HOUR < {CLOSED} AS closed FROM e GROUP BY user_id, episode""",
+)
+def _(t):
+    # four files in the order of time, one per batch; timers close what has gone idle between them
+    folder, out, state = (scratch_path(t.spark, f"expiring{x}") for x in ("", "-out", "-state"))
+    cuts = t["events"].select(F.percentile_approx("ts", [0.25, 0.5, 0.75], 1000).alias("c")).first()["c"]
+    for i, (a, b) in enumerate(zip([None, *cuts], [*cuts, None])):
+        part = t["events"] if a is None else t["events"].where(F.col("ts") >= a)
+        (part if b is None else part.where(F.col("ts") < b)).coalesce(1).write.parquet(f"{folder}/part{i}")
+    stream = streams.source(t.spark, f"{folder}/*", t["events"].schema, files_per_batch=1)
+    streams.upsert(streams.expiring_kpi(stream, "user_id", "ts", "event_id", "value", DELAY, IDLE_HOURS * 3600), out, state, mode="update")
+    return streams.current(t.spark, out, ["user_id", "since"], ["-closed", "-n"])

@@ -6,12 +6,14 @@ in a checkpoint, so running it again picks up new files only.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from fleetlake.operators.sets import dedup_latest
 
@@ -127,3 +129,57 @@ def running_kpi(stream: DataFrame, key: str, ts: str, tie: str, value: str) -> D
     """Running count and latest value per key (update mode; state is one row per key)."""
     at = F.struct(ts, tie)
     return stream.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.max_by(value, at).alias("last_value"), F.max(ts).alias("last_seen"))
+
+
+_EPISODE = "since bigint, n bigint, seen bigint, tie bigint"
+
+
+def expiring_kpi(stream: DataFrame, key: str, ts: str, tie: str, value: str, delay: str, idle_seconds: int) -> DataFrame:
+    """Running count and latest value per key and episode; idle keys leave the state (update mode).
+
+    An episode of a key ends when no event follows its last one within ``idle_seconds``. When the watermark passes that
+    moment a timer closes it: a last row with ``closed`` comes out and the state of the key is removed, so the
+    state holds the keys seen lately and not all keys ever. An event after a longer gap opens the next episode,
+    also before the timer has fired. Events of a key must arrive in order up to ``delay``; older ones are
+    dropped by the watermark. Of events at one time the largest ``tie`` (a whole number) is the latest.
+    Columns: key, since (first event), n, last_value, last_seen, closed. Rows with a NULL key or time are left out.
+    """
+    kind, number = stream.schema[key].dataType.simpleString(), stream.schema[value].dataType.simpleString()
+    schema = f"{key} {kind}, since timestamp, n bigint, last_value {number}, last_seen timestamp, closed boolean"
+    idle = idle_seconds * 1_000_000
+    names = [key, "since", "n", "last_value", "last_seen", "closed"]
+
+    def work(group: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        since, n, seen, last_tie, last = state.get if state.exists else (None, 0, None, None, None)
+        rows = []
+
+        def row(closed: bool) -> None:
+            rows.append((group[0], pd.Timestamp(since, unit="us"), n, last, pd.Timestamp(seen, unit="us"), closed))
+
+        if state.hasTimedOut:
+            row(True)
+            state.remove()
+        else:
+            events = pd.concat(list(frames)).sort_values(["at", "tie"])
+            for at, order, v in zip(events["at"].tolist(), events["tie"].tolist(), events["value"].tolist()):
+                if n and at > seen + idle:
+                    row(True)
+                    since, n, seen, last_tie, last = None, 0, None, None, None
+                n += 1
+                since = at if since is None else min(since, at)
+                if seen is None or (at, order) >= (seen, last_tie):
+                    seen, last_tie, last = at, order, v
+            row(False)
+            state.update((since, n, seen, last_tie, last))
+            # a moment that the watermark has passed already can be no timer: the next moment is
+            state.setTimeoutTimestamp(max(-(-(seen + idle) // 1000), state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame(rows, columns=names)
+
+    known = stream.where(F.col(key).isNotNull() & F.col(ts).isNotNull()).withWatermark(ts, delay)
+    plain = known.select(F.col(key).alias("key"), F.unix_micros(F.col(ts).cast("timestamp")).alias("at"), F.col(tie).cast("bigint").alias("tie"), F.col(value).alias("value"), F.col(ts))
+    return plain.groupBy("key").applyInPandasWithState(work, schema, f"{_EPISODE}, last {number}", "update", GroupStateTimeout.EventTimeTimeout)
+
+
+def live_state(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The keys a stateful job holds at present, read from its checkpoint: columns ``key`` and ``value``."""
+    return spark.read.format("statestore").load(checkpoint).select("key", "value")
