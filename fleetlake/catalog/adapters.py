@@ -22,10 +22,11 @@ BASE_TABLES = [
 PRIMARY_KEYS = {
     "region": ["r_regionkey"], "nation": ["n_nationkey"], "customer": ["c_custkey"], "supplier": ["s_suppkey"],
     "part": ["p_partkey"], "orders": ["o_orderkey"], "lineitem": ["l_orderkey", "l_linenumber"], "events": ["event_id"],
+    "documents": ["doc_id"], "embeddings": ["vec_id"], "pages": ["page_id"], "benchmark": ["item_id"], "labels": ["doc_id"], "conversations": ["conv_id", "turn"],
 }
 FOREIGN_KEYS = {
     "nation": ["n_regionkey"], "customer": ["c_nationkey"], "supplier": ["s_nationkey"], "orders": ["o_custkey"],
-    "lineitem": ["l_partkey", "l_suppkey"],
+    "lineitem": ["l_partkey", "l_suppkey"], "labels": ["doc_id"],
 }
 
 AS_OF = "2001-08-01"

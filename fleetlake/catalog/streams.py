@@ -169,3 +169,26 @@ def _(t):
     stream = streams.source(t.spark, f"{folder}/*", t["events"].schema, files_per_batch=1)
     streams.upsert(streams.expiring_kpi(stream, "user_id", "ts", "event_id", "value", DELAY, IDLE_HOURS * 3600), out, state, mode="update")
     return streams.current(t.spark, out, ["user_id", "since"], ["-closed", "-n"])
+
+
+@query(
+    "stream_archive",
+    """SELECT run, COUNT(*) AS row_count, 2 AS files_noted, 2 AS files_archived, 0 AS files_left, 0 AS read_again FROM
+        (SELECT CASE WHEN event_id % 4 < 2 THEN 'run-1' ELSE 'run-2' END AS run FROM events) GROUP BY run""",
+)
+def _(t):
+    # two runs with two files each, and after each a run that finds nothing
+    root = scratch_path(t.spark, "drop-folder")
+    inbox, target, manifest, archive, state = (f"{root}/{x}" for x in ("inbox", "events", "manifest", "archive", "state"))
+    again = {}
+    for run in (1, 2):
+        for i in (0, 1):
+            t["events"].where(F.col("event_id") % 4 == 2 * run - 2 + i).coalesce(1).write.mode("append").parquet(inbox)
+        streams.drain_and_archive(t.spark, inbox, t["events"].schema, target, manifest, archive, state, f"run-{run}")
+        again[f"run-{run}"] = streams.drain_and_archive(t.spark, inbox, t["events"].schema, target, manifest, archive, state, f"run-{run}-again")
+    noted = streams.read_manifest(t.spark, manifest)
+    kept = t.spark.read.schema(t["events"].schema).parquet(f"{archive}/*").select(F.col("_metadata.file_name").alias("file_name")).distinct().withColumn("archived", F.lit(1))
+    left = t.spark.read.schema(t["events"].schema).parquet(inbox).select(F.col("_metadata.file_name").alias("file_name")).distinct().withColumn("left", F.lit(1))
+    joined = noted.join(kept, "file_name", "left").join(left, "file_name", "left")
+    found = joined.groupBy(F.col("run_id").alias("run")).agg(F.sum("row_count").alias("row_count"), rows().alias("files_noted"), F.count("archived").alias("files_archived"), F.count("left").alias("files_left"))
+    return found.join(t.spark.createDataFrame(list(again.items()), "run string, read_again int"), "run")

@@ -45,6 +45,60 @@ def append(stream: DataFrame, target: str, checkpoint: str) -> None:
     drain(stream, checkpoint, target=target)
 
 
+# --- drop folders: load, note what was read, move it away ---
+
+
+def drain_and_archive(spark: SparkSession, folder: str, schema: T.StructType, target: str, manifest: str, archive: str, checkpoint: str, run_id: str, fmt: str = "parquet", files_per_batch: int | None = None) -> int:
+    """Load the files of a drop folder into ``target`` once, note them in ``manifest`` and move them to ``archive``; returns the files moved.
+
+    The steps can be repeated after a failure at any point. Each batch writes its rows and its part
+    of the manifest under its number, so a replayed batch replaces itself. Files move only when their
+    batch is in the manifest and committed; a file that is in the archive already is not moved again, and the
+    next run moves what a lost run left behind. Rows of a file are loaded once, though the file may still lie in the folder.
+    """
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            batch.drop("file_path").write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+            files = batch.groupBy("file_path").agg(F.count(F.lit(1)).alias("row_count"))
+            files.withColumn("run_id", F.lit(run_id)).write.mode("overwrite").parquet(f"{manifest}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
+
+    stream = source(spark, folder, schema, fmt, files_per_batch).select("*", F.col("_metadata.file_path").alias("file_path"))
+    drain(stream, checkpoint, each=load)
+    return move_files(spark, read_manifest(spark, manifest), archive)
+
+
+def read_manifest(spark: SparkSession, manifest: str) -> DataFrame:
+    """file_path, file_name, row_count, run_id, batch_id of every file loaded so far; empty before the first run."""
+    schema = "file_path string, row_count bigint, run_id string, batch_id int"
+    try:
+        noted = spark.read.schema(schema).parquet(manifest)
+    except AnalysisException:
+        noted = spark.createDataFrame([], schema)
+    return noted.withColumn("file_name", F.element_at(F.split("file_path", "/"), -1))
+
+
+def move_files(spark: SparkSession, noted: DataFrame, archive: str) -> int:
+    """Rename the noted files that are still in place into ``archive``; returns their number.
+
+    Names come one partition at a time. A file goes below its batch number, so equal names of different runs do not meet.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    moved = 0
+    for row in noted.select("file_path", "file_name", "batch_id").toLocalIterator():
+        old, new = hadoop.Path(row["file_path"]), hadoop.Path(f"{archive}/batch_id={row['batch_id']}/{row['file_name']}")
+        fs = old.getFileSystem(spark._jsc.hadoopConfiguration())
+        if fs.exists(old):
+            fs.mkdirs(new.getParent())
+            if not fs.rename(old, new):
+                raise RuntimeError(f"{old}: not moved to {new}")
+            moved += 1
+    return moved
+
+
 # --- upsert log: one folder per batch, newest row per key wins on read ---
 
 

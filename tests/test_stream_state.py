@@ -45,3 +45,40 @@ def test_a_gap_within_one_batch_opens_a_new_episode(spark):
     folder, out, state = (scratch_path(spark, f"gap-{x}") for x in ("in", "out", "state"))
     feed(spark, folder, 0, [("a", 0, 1), ("a", 10, 2), ("a", 21, 3), ("a", 22, 4)])
     assert drained(spark, folder, out, state) == [("a", 0, 2, 2.0, 10, True), ("a", 21, 2, 4.0, 22, False)]
+
+
+def drop(spark, inbox, ids):
+    spark.createDataFrame([(str(i), START, i, 0.0) for i in ids], SCHEMA).coalesce(1).write.mode("append").parquet(inbox)
+
+
+def names(spark, folder):
+    return sorted(r[0] for r in spark.read.schema(SCHEMA).parquet(folder).select("_metadata.file_name").distinct().collect())
+
+
+def test_drained_files_are_archived_once(spark, monkeypatch):
+    root = scratch_path(spark, "archive-test")
+    inbox, target, manifest, archive, state = (f"{root}/{x}" for x in ("inbox", "target", "manifest", "archive", "state"))
+    schema = spark.createDataFrame([], SCHEMA).schema
+
+    def run(name):
+        return streams.drain_and_archive(spark, inbox, schema, target, manifest, archive, state, name, files_per_batch=1)
+
+    drop(spark, inbox, range(5))
+    drop(spark, inbox, range(5, 8))
+    assert run("one") == 2
+    assert run("again") == 0
+    assert names(spark, f"{archive}/*") == sorted(r.file_name for r in streams.read_manifest(spark, manifest).collect())
+    # a run that dies after loading and before moving: the next one moves, and loads nothing twice
+    drop(spark, inbox, range(8, 10))
+    move = streams.move_files
+    monkeypatch.setattr(streams, "move_files", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    try:
+        run("lost")
+    except RuntimeError:
+        pass
+    monkeypatch.setattr(streams, "move_files", move)
+    assert run("next") == 1
+    assert sorted(r.id for r in spark.read.parquet(target).collect()) == list(range(10))
+    got = {r.run_id: r.row_count for r in streams.read_manifest(spark, manifest).groupBy("run_id").sum("row_count").toDF("run_id", "row_count").collect()}
+    assert got == {"one": 8, "lost": 2}
+    assert names(spark, f"{archive}/*") == sorted(r.file_name for r in streams.read_manifest(spark, manifest).collect())
