@@ -337,20 +337,26 @@ def full_load(t, root):
     )
 
 
-@query(
-    "full_load",
-    f"""SELECT 'dim_date' AS step, 'ok' AS status, CAST(DATE_DIFF('day', MIN(o_orderdate), MAX(o_orderdate)) + 1 AS BIGINT) AS row_count FROM orders UNION ALL SELECT 'dim_customer', 'ok', COUNT(*) FROM ({_SCD2})
+_FULL_LOAD = f"""SELECT 'dim_date' AS step, 'ok' AS status, CAST(DATE_DIFF('day', MIN(o_orderdate), MAX(o_orderdate)) + 1 AS BIGINT) AS row_count FROM orders UNION ALL SELECT 'dim_customer', 'ok', COUNT(*) FROM ({_SCD2})
         UNION ALL SELECT 'dim_vehicle', 'ok', COUNT(*) + 1 FROM part UNION ALL SELECT 'dim_driver', 'ok', COUNT(*) + 1 FROM supplier UNION ALL SELECT 'fact_trips', 'ok', COUNT(*) FROM staged_lineitem
         UNION ALL SELECT 'fact_invoices', 'ok', COUNT(*) FROM orders UNION ALL SELECT 'mart_daily_revenue', 'ok', COUNT(DISTINCT CAST(l_shipdate AS DATE)) FROM staged_lineitem
-        UNION ALL SELECT 'mart_vehicle_utilization', 'ok', COUNT(*) FROM (SELECT DISTINCT vehicle_id, {M('pickup_datetime')} FROM staged_trips WHERE {DONE})""",
+        UNION ALL SELECT 'mart_vehicle_utilization', 'ok', COUNT(*) FROM (SELECT DISTINCT vehicle_id, {M('pickup_datetime')} FROM staged_trips WHERE {DONE})"""
+
+
+@query(
+    "full_load",
+    _FULL_LOAD,
 )
 def _(t):
     return full_load(t, scratch_path(t.spark, "warehouse")).select("step", "status", "row_count")
 
 
-@query("load_audit")
+@query("load_audit", f"SELECT step, status, row_count, TRUE AS timed, CAST(NULL AS VARCHAR) AS message FROM ({_FULL_LOAD})")
 def _(t):
-    return full_load(t, scratch_path(t.spark, "warehouse"))
+    # the audit table is written and read back; run times differ, so only their presence is compared
+    path = scratch_path(t.spark, "audit")
+    full_load(t, scratch_path(t.spark, "warehouse")).write.parquet(path)
+    return t.spark.read.parquet(path).select("step", "status", "row_count", (F.col("seconds") > 0).alias("timed"), "message")
 
 
 @query(

@@ -106,7 +106,21 @@ def _(t):
     return tables.table_row_counts({n: t[n] for n in BASE_TABLES})
 
 
-@query("table_inventory")
+# The engines' names of the types that occur.
+_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "FLOAT": "float", "VARCHAR": "string", "TIMESTAMP": "timestamp", "TIMESTAMP WITH TIME ZONE": "timestamp", "DATE": "date", "BOOLEAN": "boolean", "FLOAT[]": "array<float>", "DOUBLE[]": "array<double>"}
+
+
+def _inventory_sql():
+    kind = "CASE column_type " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in _TYPES.items()) + " END"
+    parts = []
+    for name in BASE_TABLES:
+        tags = [(c, "PK") for c in PRIMARY_KEYS.get(name, ())] + [(c, "FK") for c in FOREIGN_KEYS.get(name, ()) if c not in PRIMARY_KEYS.get(name, ())]
+        tag = "CASE column_name " + " ".join(f"WHEN '{c}' THEN '{k}'" for c, k in tags) + " ELSE '' END" if tags else "''"
+        parts.append(f"SELECT '{name}' AS table_name, CAST(ROW_NUMBER() OVER () AS INTEGER) AS position, column_name, {kind} AS column_type, {tag} AS key_tag, (SELECT COUNT(*) FROM {name}) AS row_count FROM (DESCRIBE {name})")
+    return " UNION ALL ".join(parts)
+
+
+@query("table_inventory", _inventory_sql())
 def _(t):
     return tables.table_inventory({n: t[n] for n in BASE_TABLES}, PRIMARY_KEYS, FOREIGN_KEYS)
 

@@ -58,14 +58,39 @@ def day_spine(df: DataFrame, ts: str, name: str = "day") -> DataFrame:
     )
 
 
+#: Rows of the right and of the left side that one block of a product holds.
+RIGHT_BLOCK, LEFT_BLOCK = 1_000, 100_000
+
+
+def product(left: DataFrame, right: DataFrame, right_block: int = RIGHT_BLOCK, left_block: int = LEFT_BLOCK) -> DataFrame:
+    """Every row of ``left`` with every row of ``right``, for results that are such a grid.
+
+    Both sides are dealt into blocks of limited size, blocks meet by an equality join on their two numbers, and
+    each left row explodes the right rows of its block: no cell and no task holds a whole side. The sides
+    must not share column names; both are counted first.
+    """
+    columns = right.columns
+
+    def blocks(df: DataFrame, size: int) -> Column:
+        n = df.agg(F.count(F.lit(1)).alias("n")).select(F.greatest(F.lit(1), F.ceil(F.col("n") / size)).cast("long").alias("n"))
+        return n.scalar()
+
+    n_left, n_right = blocks(left, left_block), blocks(right, right_block)
+    dealt = right.withColumn("_b", F.pmod(F.monotonically_increasing_id(), n_right))
+    packed = dealt.groupBy("_b").agg(F.collect_list(F.struct(*columns)).alias("_v"))
+    packed = packed.withColumn("_a", F.explode(F.sequence(F.lit(0).cast("long"), n_left - 1)))
+    own = left.withColumn("_a", F.pmod(F.monotonically_increasing_id(), n_left)).withColumn("_b", F.explode(F.sequence(F.lit(0).cast("long"), n_right - 1)))
+    return own.join(packed, ["_a", "_b"]).select(*left.columns, F.inline("_v")).toDF(*left.columns, *columns)
+
+
 def matrix(rows: DataFrame, cells: DataFrame, row_key: str, col_key: str, values: DataFrame, name: str = "cells") -> DataFrame:
     """Count per (row, value) with zeros kept; ``values`` has the column values, repeats allowed.
 
-    The grid of all rows and values is the result, so it is as large as both together say;
-    every row explodes the distinct values. Nothing passes through the driver.
+    The grid of all rows and values is the result, so it is as large as both together say. Nothing passes through
+    the driver, and neither side is gathered in one place (see ``product``).
     """
-    listed = values.select(col_key).where(F.col(col_key).isNotNull()).distinct().agg(F.sort_array(F.collect_list(col_key))).scalar()
-    grid = rows.withColumn(col_key, F.explode(listed))
+    listed = values.select(col_key).where(F.col(col_key).isNotNull()).distinct()
+    grid = product(rows, listed)
     counts = cells.groupBy(row_key, col_key).agg(F.count(F.lit(1)).alias(name))
     return grid.join(counts, [row_key, col_key], "left").withColumn(name, F.coalesce(F.col(name), F.lit(0).cast("bigint")))
 

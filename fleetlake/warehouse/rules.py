@@ -90,27 +90,24 @@ def fuel_price(fuel_type: Column, on: Column, timeline: Sequence[tuple[str, floa
 def expense_spine(months: DataFrame, bases: DataFrame, key: str, shares: Mapping[str, float] = EXPENSE_SHARES) -> DataFrame:
     """Month x member x category amounts: the member's cost base times the category share.
 
-    ``months`` (one column) becomes a single array, so members are exploded and not crossed.
+    ``months`` has one column. Every member gets every month (see ``joins.product``).
     """
     column = months.columns[0]
-    spine = months.agg(F.sort_array(F.collect_list(column))).scalar()
     cells = F.array(*[F.struct(F.lit(c).alias("category"), F.lit(s).cast("decimal(4,2)").alias("share")) for c, s in shares.items()])
-    df = bases.withColumn(column, F.explode(spine)).withColumn("_c", F.explode(cells))
+    df = joins.product(bases, months).withColumn("_c", F.explode(cells))
     return df.select(column, key, F.col("_c.category").alias("category"), (F.col("base").cast("decimal(18,4)") * F.col("_c.share")).cast("double").alias("amount"))
 
 
 def rate_matrix(fleets: DataFrame, types: DataFrame, valid_from: str, valid_to: str, multipliers: Mapping[str, float] = BOOKING_MULTIPLIERS) -> DataFrame:
     """Daily rate per fleet, vehicle type and booking type with its validity.
 
-    Every fleet gets a rate for every type: the product is the result. ``types``
-    (``category, daily_rate``) becomes one array that each fleet explodes.
+    Every fleet gets a rate for every type (``category, daily_rate``): the product is the result.
     """
-    catalogue = types.agg(F.collect_list(F.struct("category", "daily_rate"))).scalar()
     cells = F.array(*[F.struct(F.lit(b).alias("booking_type"), F.lit(m).cast("decimal(4,2)").alias("factor")) for b, m in multipliers.items()])
-    df = fleets.withColumn("_t", F.explode(catalogue)).withColumn("_b", F.explode(cells))
-    rate = F.round(F.col("_t.daily_rate").cast("decimal(18,4)") * F.col("_b.factor"), 0).cast("double")
+    df = joins.product(fleets, types.select("category", F.col("daily_rate").alias("_daily"))).withColumn("_m", F.explode(cells))
+    rate = F.round(F.col("_daily").cast("decimal(18,4)") * F.col("_m.factor"), 0).cast("double")
     return df.select(
-        *fleets.columns, F.col("_t.category").alias("category"), F.col("_b.booking_type").alias("booking_type"), rate.alias("daily_rate"),
+        *fleets.columns, "category", F.col("_m.booking_type").alias("booking_type"), rate.alias("daily_rate"),
         F.lit(valid_from).cast("date").alias("effective_from"), F.lit(valid_to).cast("date").alias("effective_to"),
     )
 
