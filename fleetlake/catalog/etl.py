@@ -474,7 +474,7 @@ def _(t):
 
 @query(
     "order_chains",
-    """SELECT 'order:' || o_orderkey AS node, ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) - 1 AS depth FROM orders QUALIFY depth > 0""",
+    """SELECT 'order:' || o_orderkey AS node, CAST(ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) - 1 AS INTEGER) AS depth FROM orders QUALIFY depth > 0""",
 )
 def _(t):
     # every order leads to the customer's next one; a chain of n orders is followed in about log2(n) rounds

@@ -173,7 +173,7 @@ def _(t):
 
 @query(
     "stream_archive",
-    """SELECT run, COUNT(*) AS row_count, 2 AS files_noted, 2 AS files_archived, 0 AS files_left, 0 AS read_again FROM
+    """SELECT run, COUNT(*) AS row_count, CAST(2 AS BIGINT) AS files_noted, CAST(2 AS BIGINT) AS files_archived, CAST(0 AS BIGINT) AS files_left, 0 AS read_again FROM
         (SELECT CASE WHEN event_id % 4 < 2 THEN 'run-1' ELSE 'run-2' END AS run FROM events) GROUP BY run""",
 )
 def _(t):
