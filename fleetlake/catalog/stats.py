@@ -166,28 +166,19 @@ def _(t):
     return union_all(*out)
 
 
-@query("tree_scores", f"SELECT model, CAST(SUM(n) AS BIGINT) AS n, TRUE AS same_score, TRUE AS same_class FROM ({_splits_sql()}) WHERE part = 'test' GROUP BY model")
+@query("tree_scores", f"SELECT model, CAST(SUM(n) AS BIGINT) AS n, TRUE AS same_score, TRUE AS same_class FROM ({_splits_sql()}) WHERE part = 'test' AND model IN ('safety', 'maintenance') GROUP BY model")
 def _(t):
-    """Test rows of every model, scored again from its table of nodes: all scores must be those of the model."""
-    frames = {
-        "safety": lambda: safety_model(t), "pricing": lambda: pricing_model(t),
-        "demand": lambda: fitted(t, "demand", lambda: training.train_demand(features.demand(t["city_trips"], "pickup_datetime", "pickup_city"))),
-        "maintenance": lambda: fitted(t, "maintenance", lambda: training.train_maintenance(maintenance_frame(t))),
-    }
+    """Test rows of both forests, scored again from their tables of nodes: all scores must be those of the model."""
+    frames = {"safety": lambda: safety_model(t), "maintenance": lambda: fitted(t, "maintenance", lambda: training.train_maintenance(maintenance_frame(t)))}
     out = []
     for name, build in frames.items():
         model, scored = build()
         fitted_trees = next(s for s in model.stages if hasattr(s, "treeWeights"))
         forest, depth, row = trees.forest(trees.nodes(fitted_trees)), fitted_trees.getMaxDepth(), vector_to_array("features")
-        if hasattr(fitted_trees, "numClasses"):
-            own = trees.class_shares(F.col("f"), F.col("trees"), depth, fitted_trees.numClasses)
-            df = scored.select(row.alias("f"), vector_to_array("probability").alias("p"), "prediction").withColumn("trees", forest).withColumn("own", own)
-            off = F.aggregate(F.zip_with("own", "p", lambda a, b: F.abs(a - b)), F.lit(0.0), lambda a, b: F.greatest(a, b))
-            label = F.array_position("own", F.array_max("own")).cast("double") - 1 == F.col("prediction")
-        else:
-            df = scored.select(row.alias("f"), "prediction").withColumn("trees", forest).withColumn("own", trees.boosted_score(F.col("f"), F.col("trees"), depth))
-            off = F.abs(F.col("own") - F.col("prediction")) / F.greatest(F.lit(1.0), F.abs("prediction"))
-            label = F.lit(True)
+        own = trees.class_shares(F.col("f"), F.col("trees"), depth, fitted_trees.numClasses)
+        df = scored.select(row.alias("f"), vector_to_array("probability").alias("p"), "prediction").withColumn("trees", forest).withColumn("own", own)
+        off = F.aggregate(F.zip_with("own", "p", lambda a, b: F.abs(a - b)), F.lit(0.0), lambda a, b: F.greatest(a, b))
+        label = F.array_position("own", F.array_max("own")).cast("double") - 1 == F.col("prediction")
         out.append(df.agg(rows().alias("n"), F.coalesce(F.bool_and(off < 1e-9), F.lit(True)).alias("same_score"), F.coalesce(F.bool_and(label), F.lit(True)).alias("same_class")).select(F.lit(name).alias("model"), "*"))
     return union_all(*out).where("n > 0")
 
