@@ -166,10 +166,10 @@ def _(t):
     return union_all(*out)
 
 
-@query("tree_scores", f"SELECT model, CAST(SUM(n) AS BIGINT) AS n, TRUE AS same_score, TRUE AS same_class FROM ({_splits_sql()}) WHERE part = 'test' AND model = 'safety' GROUP BY model")
+@query("tree_scores", f"SELECT model, CAST(SUM(n) AS BIGINT) AS n, TRUE AS same_score, TRUE AS same_class FROM ({_splits_sql()}) WHERE part = 'test' AND model = 'maintenance' GROUP BY model")
 def _(t):
-    """All test rows of the safety forest, scored again from its table of nodes: every score must be the model's."""
-    frames = {"safety": lambda: safety_model(t)}
+    """All test rows of the maintenance forest, scored again from its table of nodes: every score must be the model's."""
+    frames = {"maintenance": lambda: fitted(t, "maintenance", lambda: training.train_maintenance(maintenance_frame(t)))}
     out = []
     for name, build in frames.items():
         model, scored = build()
