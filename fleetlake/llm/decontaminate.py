@@ -1,10 +1,11 @@
 """Benchmark items that occur in documents, whole or with edits.
 
 Texts are normalised (words, single blanks, A-Z in lower case, UTF-8 bytes). A window begins at every
-word and is as long as the item it is held against. The CGK embedding walks through a window: at step
+word, and at every character where words tell little: in scripts of three bytes a character, which
+mostly have no blanks, and in runs of over ``RUN`` bytes. It is as long as the item it is held against. The CGK embedding walks through a window: at step
 j it writes the byte it stands on and moves on if a random bit for (j, byte) says so. Edits then cost
 few differing places. A walk has ``STEPS`` steps, about half as many bytes, and samples places in them;
-a window whose samples equal those of an item is a candidate. An item is entered from every word from
+a window whose samples equal those of an item is a candidate. An item is entered from every such place from
 which a full walk fits, so the walks together cover it, and edits at one place do not hide it. Walks are
 repeated with other random bits until copies of the items, edited as far as the similarity allows, are
 found at the stated ``recall``.
@@ -17,7 +18,8 @@ Items are taken in blocks of bounded size, and every block meets all documents.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+import warnings
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -32,6 +34,8 @@ REPEATS = 32  # at most
 STEPS = 64
 SAMPLES = 10
 ITEMS = 1_000
+#: Bytes of the longest run without blanks that is taken for one word.
+RUN = 32
 #: Samples after which a walk asks whether any item agrees so far.
 ASKED = 8
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -87,10 +91,20 @@ def walked(left: int) -> int:
     return min(STEPS, 1 << (left.bit_length() - 1)) if left > 0 else 0
 
 
+def window_starts(x: np.ndarray) -> np.ndarray:
+    """Places at which windows begin in texts divided by line feeds: words, and the characters of scripts and runs without blanks."""
+    begins = np.concatenate([[0], np.flatnonzero((x == 32) | (x == 10)) + 1])
+    sizes = np.diff(np.append(begins, len(x) + 1)) - 1
+    long = np.flatnonzero(sizes > RUN)
+    inner = [b + np.flatnonzero((x[b : b + n] & 0xC0) != 0x80) for b, n in zip(begins[long], sizes[long])]
+    if x.max(initial=0) >= 0xE0:
+        inner.append(np.flatnonzero(x >= 0xE0))
+    return np.unique(np.concatenate([begins, *inner])) if inner else begins
+
+
 def entries(item: bytes) -> list[int]:
-    """Offsets of the words from which an item is entered: all from which a full walk fits."""
-    starts = [0, *[i + 1 for i, b in enumerate(item) if b == 32]]
-    return [s for s in starts if walked(len(item) - s) == walked(len(item))]
+    """Offsets from which an item is entered: all places of windows from which a full walk fits."""
+    return [s for s in window_starts(np.frombuffer(item, np.uint8)).tolist() if walked(len(item) - s) == walked(len(item))]
 
 
 @dataclass
@@ -160,8 +174,7 @@ class Index:
         x = np.frombuffer(b"\n".join(norm) + b"\n" + bytes(STEPS + 1), np.uint8)
         ends = np.cumsum([len(t) + 1 for t in norm])
         begins = np.concatenate([[0], ends[:-1]])
-        edge = (x[: ends[-1] - 1] == 32) | (x[: ends[-1] - 1] == 10)
-        starts = np.concatenate([[0], np.flatnonzero(edge) + 1])
+        starts = window_starts(x[: ends[-1] - 1])
         found = sorted(self.candidates(x, starts), key=lambda c: (c[0], c[2] - c[1]))
         out: list[dict[int, tuple[int, int, int]]] = [{} for _ in texts]
         done = (-1, -1, 0)  # item, text, place up to which it has been compared
@@ -200,7 +213,10 @@ def edited(text: str, edits: int, rng: np.random.Generator) -> str:
 
 
 def repeats_for(items: list[tuple[int, str]], similarity: float, recall: float) -> int:
-    """The number of walks after which the share ``recall`` of edited copies of the items are candidates."""
+    """The number of walks after which the share ``recall`` of edited copies of the items are candidates.
+
+    Some items are too short to reach it with any number of walks; after ``REPEATS`` a warning says what was reached.
+    """
     if not items:
         return 1
     rng = np.random.default_rng(7)
@@ -209,14 +225,14 @@ def repeats_for(items: list[tuple[int, str]], similarity: float, recall: float)
     texts = [normalised(edited(items[i][1], int((1 - similarity) * len(items[i][1]) + 1e-9), rng)) for i in owners]
     x = np.frombuffer(b"\n".join(texts) + b"\n" + bytes(STEPS + 1), np.uint8)
     ends = np.cumsum([len(t) + 1 for t in texts])
-    edge = (x[: ends[-1] - 1] == 32) | (x[: ends[-1] - 1] == 10)
-    starts = np.concatenate([[0], np.flatnonzero(edge) + 1])
+    starts = window_starts(x[: ends[-1] - 1])
     found: set[int] = set()
     for r in range(REPEATS):
         hits = ((item, int(np.searchsorted(ends, place, side="right"))) for item, _, place in Index(items, [r]).candidates(x, starts))
         found.update(copy for item, copy in hits if owners[copy] == item)
         if len(found) >= recall * len(texts):
             return r + 1
+    warnings.warn(f"{REPEATS} walks find {len(found) / len(texts):.2f} of copies at the similarity's limit, not {recall}", stacklevel=2)
     return REPEATS
 
 
@@ -232,48 +248,57 @@ def index_of(items: list[tuple[int, str]], repeats: int) -> Index:
     return _INDEXES[key]
 
 
-def item_blocks(benchmark: DataFrame, text: str, item_id: str, size: int = ITEMS):
-    """The items in blocks of about ``size``, as (id, normalised text). Items without words are left out: they occur everywhere."""
-    own = benchmark.select(F.col(f"`{item_id}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
+def item_blocks(benchmark: DataFrame, text: str, item_id: str, size: int = ITEMS) -> Iterator[tuple[list, list[tuple[int, str]]]]:
+    """The items in blocks of about ``size``: their ids as given, and (place in that list, normalised text).
+
+    Items without words are left out: they occur everywhere.
+    """
+    own = benchmark.select(F.col(f"`{item_id}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
     blocks = max(1, -(-own.count() // size))
     for b in range(blocks):
         part = own.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == b).distinct().collect()
-        items = [(r["id"], normalised(r["text"]).decode()) for r in part]
-        yield sorted({(i, t) for i, t in items if t and i is not None})
+        items = {(r["id"], normalised(r["text"]).decode()) for r in part}
+        block = sorted((i for i in items if i[1]), key=lambda i: (i[1], i[0] is None, i[0] if i[0] is not None else 0))
+        yield [i for i, _ in block], [(n, t) for n, (_, t) in enumerate(block)]
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", doc_id: str = "doc_id", item_text: str = "text", item_id: str = "item_id", similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
     """One row per document and item that it contains: doc_id, item_id, distance (edits), start and end.
 
-    ``start`` and ``end`` are code points of the words in the document's own text. Items without words
-    or with a NULL id match nothing; neither do NULL or empty texts. Of several items with one id the
+    ``start`` and ``end`` are code points, in the document's own text, of the words that hold the match; ids
+    of any type keep it. Items without words or with a NULL id give no rows; neither do NULL or empty texts. Of several items with one id the
     best match counts; repeated documents give repeated rows. ``recall`` is the share to find of matches
     at the similarity's limit; closer ones are found more often. Empty tables give an empty result. Other
     columns are not read.
     """
     own = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    key = benchmark.schema[item_id].dataType.simpleString()
     out = None
-    for items in item_blocks(benchmark, item_text, item_id):
+    for ids, items in item_blocks(benchmark, item_text, item_id):
         repeats = repeats_for(items, similarity, recall)
 
-        def work(texts: list[str], items: list = items, repeats: int = repeats) -> list[list]:
+        def work(texts: list[str], ids: list = ids, items: list = items, repeats: int = repeats) -> list[list]:
             rows = []
             for t, hits in zip(texts, index_of(items, repeats).matches(texts, similarity)):
                 words = [m.span() for m in WORD.finditer(t)] if hits else []
-                rows.append([{"item_id": i, "distance": d, "start": words[a][0], "end": words[b][1]} for i, (d, a, b) in sorted(hits.items())])
+                best: dict = {}
+                for n, hit in hits.items():
+                    if ids[n] is not None:
+                        best[ids[n]] = min(hit, best.get(ids[n], hit))
+                rows.append([{"item_id": i, "distance": d, "start": words[a][0], "end": words[b][1]} for i, (d, a, b) in sorted(best.items())])
             return [rows]
 
-        found = map_texts(own, "text", [("hits", "array<struct<item_id:long,distance:int,start:int,end:int>>")], work, ["doc_id"])
-        rows = found.select("doc_id", F.explode("hits").alias("h")).select("doc_id", "h.item_id", F.col("h.distance").cast("long").alias("distance"), F.col("h.start").cast("long").alias("start"), F.col("h.end").cast("long").alias("end"))
+        found = map_texts(own, "text", [("hits", f"array<struct<item_id:{key},distance:long,start:long,end:long>>")], work, ["doc_id"])
+        rows = found.select("doc_id", F.inline("hits"))
         out = rows if out is None else out.union(rows)
     return out
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item_text: str = "text", item_id: str = "item_id", similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
-    """The rows and columns of ``docs`` without the documents that contain an item; nothing is shuffled."""
+    """The rows and columns of ``docs`` without the documents that contain an item, whatever its id; nothing is shuffled."""
     marked, named, back = shielded(docs)
     columns = marked.columns
-    for items in item_blocks(benchmark, item_text, item_id):
+    for _, items in item_blocks(benchmark, item_text, item_id):
         repeats = repeats_for(items, similarity, recall)
 
         def work(texts: list[str], items: list = items, repeats: int = repeats) -> list[list]:

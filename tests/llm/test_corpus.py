@@ -346,6 +346,39 @@ def test_recall_up_to_the_similarity_limit(benchmark):
         assert np.mean(hits) >= least, (rate, np.mean(hits))
 
 
+def test_matches_an_exhaustive_search(spark, docs, benchmark):
+    rng = random.Random(21)
+    items = [(r["item_id"], decontaminate.normalised(r["text"]).decode()) for r in benchmark.collect()]
+    items = [(i, t) for i, t in items if len(t) >= 128]
+    plain = [decontaminate.normalised(r["text"]).decode()[:400] for r in docs.limit(40).collect()]
+    texts = [plain[k % 40] + " " + altered(items[k % len(items)][1], 0.24 * k / 150, rng) + " " + plain[(k + 7) % 40] for k in range(150)] + plain
+    distance = {(d, i): decontaminate.distance_within(t, decontaminate.normalised(x).decode())[0] for d, x in enumerate(texts) for i, t in items}
+    truth = {k for k, n in distance.items() if n <= int(0.2 * len(dict(items)[k[1]]) + 1e-9)}
+    got = {(r["doc_id"], r["item_id"]): r["distance"] for r in decontaminate.decontaminate(table(spark, texts), benchmark).collect() if r["item_id"] in dict(items)}
+    assert set(got) <= truth and len(got) >= 0.95 * len(truth) > 100
+    wrong = {k: (n, distance[k]) for k, n in got.items() if distance[k] != n}
+    assert not wrong
+
+
+def test_texts_without_blanks_and_ids_of_any_kind(spark):
+    rng = random.Random(8)
+    chinese = "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(400))
+    thai = "".join(chr(rng.randrange(0xE01, 0xE2F)) for _ in range(12))
+    dashed = "one-run-of-many-words-joined-by-dashes-and-cut-nowhere-else-at-all"
+    items = [("zh", chinese[150:202]), ("th", thai), ("dash", dashed), (None, "an item that has no id of its own but is still an item")]
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    changed = chinese[:150] + chinese[150:160] + "的" + chinese[161:190] + chinese[192:]
+    texts = [chinese, "xx" + dashed + ".", "see " + "x" * 9 + thai + "yy", "so: " + items[3][1], chinese[202:], "plain words " * 9, changed]
+    got = {(r["doc_id"], r["item_id"], r["distance"]) for r in decontaminate.decontaminate(table(spark, texts), bench).collect()}
+    assert got == {(0, "zh", 0), (1, "dash", 0), (2, "th", 0), (6, "zh", 3)}
+    assert {r["doc_id"] for r in decontaminate.clean(table(spark, texts), bench).collect()} == {4, 5}
+
+
+def test_unreachable_recall_is_said():
+    with pytest.warns(UserWarning, match="walks find"):
+        assert decontaminate.repeats_for([(0, "abcde"), (1, "vwxyz")], 0.8, 1.0) == decontaminate.REPEATS
+
+
 def test_clean_keeps_rows_and_blocks_agree(spark, docs, benchmark, monkeypatch):
     bad = {r[0] for r in decontaminate.decontaminate(docs, benchmark).select("doc_id").collect()}
     kept = decontaminate.clean(docs, benchmark)
