@@ -3,8 +3,10 @@
 Pass 1 measures every whole text. Pass 2 sketches each rule's measure: values fall into buckets whose
 borders grow by a constant factor, so a quantile is known within ``ERROR`` of its value, and two
 sketches merge by adding their buckets. Counts are made per language and source and merged upward to
-the language and to the whole table, for groups too small to speak for themselves. The limits are
-joined back to the documents; the join is left to Spark, which splits hot groups.
+the language and to the whole table. A group's limits are drawn toward those of the level above, as if
+``PRIOR`` texts had come from there: a small group follows its parent, a large one itself, without a
+size at which the verdict jumps. The limits are joined back to the documents; the join is left to
+Spark, which splits hot groups.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from fleetlake.llm.common import map_texts
 from fleetlake.session import materialise
 
 ERROR = 0.01
-MIN_DOCS = 200
+PRIOR = 200
 FENCE = 3.0
 
 # Measures as (name, numerator, denominator, least distance of a limit from the quartiles).
@@ -31,6 +33,7 @@ MEASURES = [
     ("repeats", "n_repeat_words", "n_words", 0.15),
 ]
 TWO_SIDED = ("mean_word",)
+SHARES = ("dup_lines", "repeats")  # never above 1
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 BLANKS = "\x20\x09\x0a\x0b\x0c\x0d"
@@ -105,7 +108,10 @@ def merged(sketch: DataFrame, groups: list[str]) -> DataFrame:
 
 
 def limits(sketch: DataFrame, groups: list[str]) -> DataFrame:
-    """(groups, measure, docs, low, high): quartiles of a sketch, moved out by ``FENCE`` times their distance."""
+    """(groups, measure, docs, low, high): quartiles of a sketch, moved out by ``FENCE`` times their distance.
+
+    The upper limit of a share lies at most half way from the third quartile to 1, so it can always be passed.
+    """
     key = [*groups, "measure"]
     step = math.log((1 + ERROR) / (1 - ERROR))
     value = F.when(F.col("bucket") == 0, F.lit(0.0)).otherwise(F.exp((F.col("bucket") - 10_000) * F.lit(step)) * F.lit(1 - ERROR))
@@ -116,11 +122,13 @@ def limits(sketch: DataFrame, groups: list[str]) -> DataFrame:
     least = F.element_at(F.create_map(*[F.lit(x) for name, _, _, d in MEASURES for x in (name, d)]), F.col("measure"))
     wide = F.greatest(F.lit(FENCE) * (F.col("q3") - F.col("q1")), least)
     low = F.when(F.col("measure").isin(*TWO_SIDED), F.col("q1") - wide).otherwise(F.lit(-1.0))
-    return q.select(*key, "docs", low.alias("low"), (F.col("q3") + wide).alias("high"))
+    high = F.col("q3") + wide
+    high = F.when(F.col("measure").isin(*SHARES), F.least(high, (F.col("q3") + 1) / 2)).otherwise(high)
+    return q.select(*key, "docs", low.alias("low"), high.alias("high"))
 
 
 def thresholds(measured: DataFrame, groups: list[str]) -> DataFrame:
-    """One row per group: the limits of every measure, from the narrowest level with ``MIN_DOCS`` texts."""
+    """One row per group: the limits of every measure, each level's drawn toward those of the level above."""
     by_group = sketches(measured, groups)
     levels = [groups[:n] for n in range(len(groups), -1, -1)]
     found = None
@@ -136,7 +144,7 @@ def thresholds(measured: DataFrame, groups: list[str]) -> DataFrame:
     def pick(c: str):
         out = F.col(f"{c}_{last}")
         for i in range(last - 1, -1, -1):
-            out = F.when(F.col(f"docs_{i}") >= MIN_DOCS, F.col(f"{c}_{i}")).otherwise(out)
+            out = (F.col(f"docs_{i}") * F.col(f"{c}_{i}") + PRIOR * out) / (F.col(f"docs_{i}") + PRIOR)
         return out
 
     one = found.select(*[F.col(f"{g}_0").alias(g) for g in groups], F.col("measure_0").alias("measure"), pick("low").alias("low"), pick("high").alias("high"))
