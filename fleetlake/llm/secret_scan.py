@@ -4,8 +4,8 @@ A vocabulary learned from prose spends one token on several characters of anythi
 random string gets few characters per token. Every run of at least ``MIN_CHARS`` key characters is
 encoded, with or without digits; below ``MAX_CHARS_PER_TOKEN`` it is reported as kind ``random``, unless
 it is a known digest or identifier, a name whose letters read well, or lies in a span that a pattern
-already gave. A run that is not reported is measured again in parts, between ``/`` and ``=`` and then
-between all separators, so that readable surroundings do not hide a random part.
+already gave. Runs are measured in parts as well, between ``/`` and ``=`` and then between all separators:
+readable surroundings do not hide a random part, nor are they reported with it.
 """
 
 from __future__ import annotations
@@ -32,8 +32,8 @@ KNOWN = [
     re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"),  # UUID
     re.compile(r"(md5|sha1|sha224|sha256|sha384|sha512)[-_=][A-Za-z0-9+/=_-]+", re.IGNORECASE),  # labelled digest
     re.compile(r"[0-9/_=+-]+"),  # numbers, dates, rules
-    re.compile(r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}"),  # bank account numbers
 ]
+ACCOUNT = re.compile(r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}")  # bank account numbers
 NAME = re.compile(r"[A-Za-z]+([_/-][A-Za-z]+|[_/-]?[0-9]{1,8}(?![0-9]))*")  # words with short numbers; the words have to read well
 SEPARATORS = (re.compile("[^/=]+"), re.compile("[^/=+_-]+"))
 LETTERS = re.compile("[A-Za-z]{2,}")
@@ -54,9 +54,14 @@ def encoder(path: str):
     return _ENCODERS[path]
 
 
+def is_account(word: str) -> bool:
+    """A bank account number whose check digits are right: letters as 10 to 35, the first four characters last, 1 modulo 97."""
+    return bool(ACCOUNT.fullmatch(word)) and int("".join(str(int(c, 36)) for c in word[4:] + word[:4])) % 97 == 1
+
+
 def is_known(word: str) -> bool:
     """Digests and identifiers: public by nature, however random they look."""
-    return bool(HEXADECIMAL.fullmatch(word)) and len(word) in DIGEST_LENGTHS or any(p.fullmatch(word) for p in KNOWN)
+    return bool(HEXADECIMAL.fullmatch(word)) and len(word) in DIGEST_LENGTHS or is_account(word) or any(p.fullmatch(word) for p in KNOWN)
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -70,27 +75,30 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def is_random(word: str, path: str) -> bool:
-    """Few characters per token; of a name with numbers, the words count alone: numbers are no prose, but no secrets either."""
+def reads_badly(parts: list[str], path: str) -> bool:
+    return sum(map(len, parts)) < MAX_CHARS_PER_TOKEN * sum(len(encoder(path).encode_ordinary(p)) for p in parts)
 
-    def reads_badly(parts: list[str]) -> bool:
-        return sum(map(len, parts)) < MAX_CHARS_PER_TOKEN * sum(len(encoder(path).encode_ordinary(p)) for p in parts)
 
-    return reads_badly([word]) and (not NAME.fullmatch(word) or reads_badly(LETTERS.findall(word)))
+def is_random(word: str, path: str) -> bool:
+    """Few characters per token; of a name with numbers, the words count alone: numbers are no prose, but no secrets either."""
+    return reads_badly([word], path) and (not NAME.fullmatch(word) or reads_badly(LETTERS.findall(word), path))
 
 
 def random_parts(text: str, start: int, end: int, taken: list[tuple[int, int, int]], path: str, level: int = 0) -> list[tuple[int, int, int]]:
-    """Random stretches of a run of key characters: the run, or else those of its parts."""
+    """Random stretches of a run of key characters: its random parts if what lies around them reads well, or else the run."""
     word = text[start:end].strip("=-_/+")
     if len(word) < MIN_CHARS or is_known(word):
         return []
     start = text.index(word, start)
     end = start + len(word)
-    if not any(a < end and start < b for a, _, b in taken) and is_random(word, path):
-        return [(start, 3, end)]
-    if level == len(SEPARATORS):
-        return []
-    return [s for m in SEPARATORS[level].finditer(text, start, end) for s in random_parts(text, m.start(), m.end(), taken, path, level + 1)]
+    parts = []
+    if level < len(SEPARATORS):
+        parts = [s for m in SEPARATORS[level].finditer(text, start, end) for s in random_parts(text, m.start(), m.end(), taken, path, level + 1)]
+    if any(a < end and start < b for a, _, b in taken) or not is_random(word, path):
+        return parts
+    borders = [start, *[place for a, _, b in parts for place in (a, b)], end]
+    rest = LETTERS.findall(" ".join(text[a:b] for a, b in zip(borders[::2], borders[1::2])))
+    return parts if rest and not reads_badly(rest, path) else [(start, 3, end)]
 
 
 def random_spans(text: str, taken: list[tuple[int, int, int]], path: str) -> list[tuple[int, int, int]]:
