@@ -95,11 +95,16 @@ def window_starts(x: np.ndarray) -> np.ndarray:
     """Places at which windows begin in texts divided by line feeds: words, and the characters of scripts and runs without blanks."""
     begins = np.concatenate([[0], np.flatnonzero((x == 32) | (x == 10)) + 1])
     sizes = np.diff(np.append(begins, len(x) + 1)) - 1
-    long = np.flatnonzero(sizes > RUN)
-    inner = [b + np.flatnonzero((x[b : b + n] & 0xC0) != 0x80) for b, n in zip(begins[long], sizes[long])]
-    if x.max(initial=0) >= 0xE0:
-        inner.append(np.flatnonzero(x >= 0xE0))
-    return np.unique(np.concatenate([begins, *inner])) if inner else begins
+    long, wide = np.flatnonzero(sizes > RUN), x.max(initial=0) >= 0xE0
+    if not len(long) and not wide:
+        return begins
+    found = np.zeros(len(x) + 1, bool)
+    found[begins] = True
+    if wide:
+        found[:-1] |= x >= 0xE0
+    for b, n in zip(begins[long], sizes[long]):
+        found[b : b + n] |= (x[b : b + n] & 0xC0) != 0x80
+    return np.flatnonzero(found)
 
 
 def entries(item: bytes) -> list[int]:
