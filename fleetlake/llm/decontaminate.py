@@ -36,6 +36,8 @@ SAMPLES = 10
 ITEMS = 1_000
 #: Bytes of the longest run without blanks that is taken for one word.
 RUN = 32
+#: Steps looked up at once, from the bytes at a window's start; a third only while its table of bytes stays small.
+HEAD, HEAD_BYTES = 3, 64
 #: Samples after which a walk asks whether any item agrees so far.
 ASKED = 8
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -121,6 +123,8 @@ class Index:
     bits: int = 16  # of a table's addresses
     tables: list[dict[int, np.ndarray]] = field(default_factory=list)  # per repeat: step -> keys seen up to that sample
     finals: list[dict[int, dict[int, list[tuple[int, int]]]]] = field(default_factory=list)  # per repeat: steps walked -> key -> (item, offset)
+    wanted: list[dict[int, np.ndarray]] = field(default_factory=list)  # the keys of ``finals``, sorted
+    heads: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=list)  # per repeat, by code of the first bytes: goes on, key, bytes moved
 
     def __post_init__(self):
         texts = [t.encode() for _, t in self.items]
@@ -149,19 +153,50 @@ class Index:
                 at = at + BITS[r, j][byte]
             self.tables.append(tables)
             self.finals.append(finals)
+            self.wanted.append({j: np.sort(np.fromiter(keys, np.uint64, len(keys))) for j, keys in finals.items()})
+        own = np.unique(np.frombuffer(b"".join(texts), np.uint8))
+        own = np.concatenate([[10], own]).astype(np.uint8)  # a line feed stands for every byte that no item holds
+        self.classes = np.zeros(256, np.int16)
+        self.classes[own[1:]] = np.arange(1, len(own))
+        self.head = (HEAD if len(own) <= HEAD_BYTES else HEAD - 1) if reach.min(initial=STEPS) > HEAD else 0
+        self.heads = [self.first_steps(own, r, tables) for r, tables in zip(self.repeats, self.tables)]
+
+    def first_steps(self, own: np.ndarray, r: int, tables: dict[int, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What the first ``head`` steps of a walk come to, for every combination of as many bytes."""
+        codes = np.arange(len(own) ** self.head)
+        begin = np.stack([own[codes // len(own) ** k % len(own)] for k in range(self.head - 1, -1, -1)]) if self.head else None
+        goes_on, key, moved = np.ones(len(codes), bool), np.zeros(len(codes), np.uint64), np.zeros(len(codes), np.int64)
+        for j in range(self.head):
+            byte = begin[moved, codes]
+            key = mixed(key, byte)
+            goes_on &= tables[j][slot(key, self.bits)] & (byte != 10)
+            moved = moved + BITS[r, j][byte]
+        return goes_on, key, moved
+
+    def codes(self, x: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """The number of the first ``head`` bytes of windows."""
+        named = self.classes[x]
+        out = np.zeros(len(starts), np.int64)
+        for k in range(self.head):
+            out = out * (int(self.classes.max()) + 1) + named[starts + k]
+        return out
 
     def candidates(self, x: np.ndarray, starts: np.ndarray) -> set[tuple[int, int, int]]:
         """(item, offset in the item, place in ``x``) of windows whose samples equal an item's in some walk. ``x`` ends in zeros."""
         out: set[tuple[int, int, int]] = set()
-        for r, tables, finals in zip(self.repeats, self.tables, self.finals):
+        if not self.items:
+            return out
+        codes = self.codes(x, starts)
+        for r, tables, finals, wanted, (goes_on, keys, moved) in zip(self.repeats, self.tables, self.finals, self.wanted, self.heads):
             bits, sampled = BITS[r], PLACES[r]
-            at = first = starts
-            key = np.zeros(len(starts), np.uint64)
-            for j in range(STEPS + 1):
+            left = np.flatnonzero(goes_on[codes])
+            first, code = starts[left], codes[left]
+            at, key = first + moved[code], keys[code]
+            for j in range(self.head, STEPS + 1):
                 if j in finals:
-                    wanted = finals[j]
-                    for k in np.flatnonzero(np.isin(key, np.fromiter(wanted, np.uint64, len(wanted)))):
-                        out.update((item, offset, int(first[k])) for item, offset in wanted[int(key[k])])
+                    near = np.minimum(np.searchsorted(wanted[j], key), len(wanted[j]) - 1)
+                    for k in np.flatnonzero(wanted[j][near] == key):
+                        out.update((item, offset, int(first[k])) for item, offset in finals[j][int(key[k])])
                 if j == STEPS or not len(at):
                     break
                 byte = x[at]
