@@ -158,7 +158,7 @@ class Index:
         own = np.concatenate([[10], own]).astype(np.uint8)  # a line feed stands for every byte that no item holds
         self.classes = np.zeros(256, np.int16)
         self.classes[own[1:]] = np.arange(1, len(own))
-        self.head = (HEAD if len(own) <= HEAD_BYTES else HEAD - 1) if reach.min(initial=STEPS) > HEAD else 0
+        self.head = (HEAD if len(own) <= HEAD_BYTES else HEAD - 1) if len(reach) and reach.min() > HEAD else 0
         self.heads = [self.first_steps(own, r, tables) for r, tables in zip(self.repeats, self.tables)]
 
     def first_steps(self, own: np.ndarray, r: int, tables: dict[int, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
