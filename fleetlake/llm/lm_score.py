@@ -2,7 +2,8 @@
 
 Texts are cut into blocks of a few MB; a block lists its documents' tokens as numbers in its own
 dictionary. Only dictionaries meet the corpus-wide counts, one row per word and block, so the shuffles
-carry far fewer rows than there are words in documents.
+carry far fewer rows than there are words in documents. Counts are summed in the tasks first and joined
+back to the dictionaries, so a word of every block is split like any other hot key of a join.
 
 The model: the ``WORDS`` most frequent tokens are classes of their own, every other token falls into one
 of ``ENDINGS`` classes by its last two bytes. P(token | previous) = P(class | previous class) times
@@ -21,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlake.llm.common import held_out
@@ -39,16 +40,13 @@ def pack(numbers: np.ndarray) -> bytes:
     return zlib.compress(numbers.tobytes(), 1)
 
 
-_ROWS = "block long, id long, held boolean, codes binary, token binary, n long"
-
-
 def encode(docs: DataFrame) -> DataFrame:
     """Blocks of documents (doc_id, text, held_out): a row per document with its token numbers, then a row per token of the block.
 
-    Document rows: block, id (doc_id), held, codes. Token rows: block, id (its number), token, n (its training count).
+    Document rows: block, id (doc_id, of its own type), held, codes. Token rows: block, code (its number), token, n (its training count).
     """
-    names = ["block", "id", "held", "codes", "token", "n"]
-    types = [pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.binary(), pa.int64()]
+    names = ["block", "id", "held", "codes", "code", "token", "n"]
+    types = [pa.int64(), pa.null(), pa.bool_(), pa.binary(), pa.int32(), pa.binary(), pa.int64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
@@ -58,12 +56,13 @@ def encode(docs: DataFrame) -> DataFrame:
             block, docs, tokens = part << 32 | made, len(ids), len(known)
             learn = [c for c, h in zip(codes, held) if not h]
             counts = np.bincount(np.concatenate(learn) if learn else np.zeros(0, np.int32), minlength=tokens)
-            row = [np.full(docs, block), ids, held, [pack(c) for c in codes], [None] * docs, [None] * docs]
+            row = [np.full(docs, block), ids, held, [pack(c) for c in codes], [None] * docs, [None] * docs, [None] * docs]
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types)], names=names)
-            row = [np.full(tokens, block), np.arange(tokens), [None] * tokens, [None] * tokens, list(known), counts]
+            row = [np.full(tokens, block), [None] * tokens, [None] * tokens, [None] * tokens, np.arange(tokens), list(known), counts]
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types)], names=names)
 
         for batch in batches:
+            types[1] = batch.schema.field(0).type
             texts = batch.column(1)
             for i, (doc, out) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())):
                 words = (texts[i].as_py() or "").encode().lower().split()
@@ -79,21 +78,13 @@ def encode(docs: DataFrame) -> DataFrame:
         if ids:
             yield from rows()
 
-    return docs.select("doc_id", "text", "held_out").mapInArrow(run, _ROWS)
-
-
-def with_counts(tokens: DataFrame) -> DataFrame:
-    """Token rows with the training count ``c`` over all blocks; ``first`` marks one row of each token.
-
-    One shuffle by token. A token has a row per block that holds it, so no group has more rows than there are blocks.
-    """
-    every = Window.partitionBy("token")
-    return tokens.select("block", "id", "token", F.sum("n").over(every).alias("c"), (F.row_number().over(every.orderBy("block")) == 1).alias("first"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text", "held_out").mapInArrow(run, f"block long, id {kind}, held boolean, codes binary, code int, token binary, n long")
 
 
 def with_classes(counted: DataFrame, words: int, endings: int) -> DataFrame:
-    """Adds ``cls``: frequent training tokens get their rank, others a class by ending."""
-    top = counted.where("first and c > 0").orderBy(F.col("c").desc(), "token").limit(words).select("token").collect()
+    """Adds ``cls`` to tokens with their training counts ``c``: frequent ones get their rank, others a class by ending."""
+    top = counted.where("c > 0").orderBy(F.col("c").desc(), "token").limit(words).select("token").collect()
     # at most ``words`` rows
     table = counted.sparkSession.createDataFrame([(bytes(r[0]), i) for i, r in enumerate(top)], "token binary, rank int")
     ending = F.lit(words) + F.pmod(F.crc32(F.expr("substring(token, -2, 2)")), F.lit(endings)).cast("int")
@@ -152,16 +143,17 @@ def lm_score(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", fol
 
     Learns from the documents that are not held out. Tokens are words in lower case (A-Z) and one end
     per text; NULL is the empty text: its end alone. ``base_score`` is the add-one unigram log10
-    probability with exact corpus counts, ``score`` the model's. NULL ids learn and score like others;
-    repeated rows stay; with no training text every token is unseen. An empty table gives an empty
+    probability with exact corpus counts, ``score`` the model's. Ids keep their type, text included; NULL
+    ids learn and score like others; repeated rows stay; with no training text every token is unseen. An empty table gives an empty
     result. Other columns are not read.
     """
     classes = words + endings
-    own = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"), held_out(F.col(f"`{doc_id}`"), folds).alias("held_out"))
+    own = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"), held_out(F.col(f"`{doc_id}`"), folds).alias("held_out"))
     rows = materialise(encode(own), "lm-blocks")
-    counted = materialise(with_counts(rows.where("token is not null")), "lm-counts")
+    entries = rows.where("token is not null").select("block", "code", "token", "n")
+    counted = materialise(entries.groupBy("token").agg(F.sum("n").alias("c")), "lm-counts")
     classed = with_classes(counted, words, endings)
-    seen = classed.where("first and c > 0").groupBy(F.greatest(F.col("cls"), F.lit(words - 1)).alias("cls")).agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).collect()
+    seen = classed.where("c > 0").groupBy(F.greatest(F.col("cls"), F.lit(words - 1)).alias("cls")).agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).collect()
     total, distinct = sum(r["n"] for r in seen), sum(r["v"] for r in seen)
     unseen = np.ones(endings)  # the tokens and kinds of each class of rare words, and one for any unseen
     for r in seen:
@@ -183,10 +175,11 @@ def lm_score(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", fol
 
     names = ["doc_id", "held_out", "n_tokens", "n_known", "base", "inner", "classes"]
     by_block = rows.where("token is null").select("block", "id", "held", "codes").groupBy("block")
-    entries = classed.select(F.col("block").alias("of"), F.col("id").alias("code"), "c", "cls").groupBy("of")
-    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, base double, inner double, classes binary"
-    coded = materialise(by_block.cogroup(entries).applyInArrow(classify, schema), "lm-classes")
-    end_class = next((r["cls"] for r in classed.where("first and length(token) = 0").select("cls").collect()), words)
+    dictionaries = entries.join(classed, "token").select(F.col("block").alias("of"), "code", "c", "cls").groupBy("of")
+    kind = own.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base double, inner double, classes binary"
+    coded = materialise(by_block.cogroup(dictionaries).applyInArrow(classify, schema), "lm-classes")
+    end_class = next((r["cls"] for r in classed.where("length(token) = 0").select("cls").collect()), words)
 
     def neighbours(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Pair numbers of tokens with what stands before them, the first of a text after an end; sizes and starts of the texts."""
@@ -235,4 +228,4 @@ def lm_score(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", fol
             yield pa.RecordBatch.from_arrays([*known, pa.array(np.full(len(outer), total, np.int64)), *sums], names=result)
 
     result = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
-    return coded.mapInArrow(score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return coded.mapInArrow(score, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

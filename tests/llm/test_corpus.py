@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 import xxhash
 from llm_helpers import DOCS, ODD, PROSE, SMALL, nothing, odd, rows
+from pyspark.sql import functions as F
 
 from fleetlake.llm import components, decontaminate, lm_score, mixing, quality_classifier, repeats, simhash
 
@@ -191,8 +192,6 @@ def test_components_of_chains_and_stars(spark):
 
 
 def test_keep_one_of_each_group(spark, docs):
-    from pyspark.sql import functions as F
-
     df = docs.unionByName(docs).unionByName(odd(spark).withColumn("doc_id", F.col("doc_id") + 10_000))
     kept = simhash.keep_one(df)
     assert kept.columns == df.columns
@@ -222,6 +221,17 @@ def test_blocks_do_not_change_scores(spark, docs, monkeypatch):
     assert whole == pytest.approx(cut)
 
 
+def test_ids_keep_their_type(spark, docs):
+    whole = {str(r["doc_id"]): tuple(r)[1:] for r in lm_score.lm_score(docs, words=100, endings=8).collect()}
+    named = lm_score.lm_score(docs.withColumn("doc_id", F.col("doc_id").cast("string")), words=100, endings=8)
+    assert named.schema["doc_id"].dataType.simpleString() == "string"
+    got = {r["doc_id"]: tuple(r)[1:] for r in named.collect()}
+    assert got.keys() == whole.keys()
+    assert all(got[k] == pytest.approx(whole[k]) for k in whole)
+    other = docs.withColumn("doc_id", F.concat(F.lit("doc-"), F.col("doc_id")))
+    assert lm_score.lm_score(other, words=100, endings=8).where("doc_id like 'doc-%'").count() == docs.count()
+
+
 def test_model_is_normalised_and_beats_unigrams(spark):
     rng = np.random.default_rng(0)
     counts = rng.poisson(rng.gamma(0.3, 20, (40, 1)) * rng.dirichlet(np.full(40, 0.1), 40) * 40)
@@ -236,6 +246,22 @@ def test_model_is_normalised_and_beats_unigrams(spark):
 # --- mixing ---
 
 
+def test_readings_are_placed_one_by_one(spark, docs):
+    mixed = mixing.mix(docs, keep=["lang"])
+    once = {r["doc_id"]: r for r in mixed.collect()}
+    got = mixing.readings(mixed).collect()
+    assert [r["position"] for r in got] == sorted(r["position"] for r in got)
+    assert any(r["reading"] > 0 for r in got)
+    words, places = Counter(), {}
+    for r in got:
+        words[r["doc_id"]] += r["words"]
+        places.setdefault(r["doc_id"], []).append((r["reading"], r["position"]))
+        assert 0 < r["words"] <= r["size"] and r["lang"] == once[r["doc_id"]]["lang"]
+    assert words == {k: r["taken"] for k, r in once.items() if r["taken"]}
+    assert {k: [p for _, p in sorted(v)] for k, v in places.items()} == {k: list(r["positions"]) for k, r in once.items() if r["taken"]}
+    assert mixing.readings(mixing.mix(docs.limit(0))).count() == 0
+
+
 def water(sizes, weights, most=3):
     total, target, open_ = sum(sizes), [0.0] * len(sizes), set(range(len(sizes)))
     left = float(total)
