@@ -109,6 +109,18 @@ def mix(
     return out.withColumn("position", F.get("positions", F.lit(0))).orderBy(F.col("position").asc_nulls_last(), F.col("doc_id").asc_nulls_last())
 
 
+def readings(mixed: DataFrame) -> DataFrame:
+    """The result of ``mix`` with one row per reading of a document, in training order.
+
+    In place of ``positions``: reading (from 0), position (of this reading) and words (read this time; the last
+    reading may be cut). ``words`` adds up to ``taken``; documents that are not read have no row.
+    """
+    rest = [c for c in mixed.columns if c not in ("positions", "position")]
+    placed = mixed.select(*[F.col(f"`{c}`") for c in rest], F.posexplode("positions").alias("reading", "position"))
+    placed = placed.withColumn("words", F.least(F.col("size"), F.col("taken") - F.col("reading") * F.col("size")))
+    return placed.orderBy("position", F.col("doc_id").asc_nulls_last(), "reading")
+
+
 def oracle_sql(table: str = "documents") -> str:
     """The same figures in DuckDB SQL, with the default weights and schedules; position is that of the first reading."""
     pick = lambda values: "CASE (rnk - 1) % " + str(len(values)) + "".join(f" WHEN {i} THEN {v}::DOUBLE" for i, v in enumerate(values)) + " END"
