@@ -1,6 +1,6 @@
 """Language-model scores: exact smoothed unigrams, and a log-bilinear model over word classes.
 
-Texts are cut into blocks of a few MB; a block lists its documents' tokens as numbers in its own
+Texts are cut into blocks of 16 MB; a block lists its documents' tokens as numbers in its own
 dictionary. Only dictionaries meet the corpus-wide counts, one row per word and block, so the shuffles
 carry far fewer rows than there are words in documents. Counts are summed in the tasks first and joined
 back to the dictionaries, so a word of every block is split like any other hot key of a join.
@@ -29,7 +29,7 @@ from fleetlake.llm.common import held_out
 from fleetlake.session import materialise
 
 FOLDS = 7
-BLOCK_BYTES = 8_000_000
+BLOCK_BYTES = 16_000_000
 BATCH_TOKENS = 1_000_000
 WORDS, ENDINGS = 1_000, 64
 DIMENSIONS, NOISE, STEPS = 24, 20, 120
