@@ -155,9 +155,9 @@ def _(t):
 def _(t):
     log = checks.issue_log(shipped(t), "lineitem", F.concat_ws("/", "l_orderkey", "l_linenumber"), _checks())
     path = scratch_path(t.spark, "dq_issues")
-    log.hint("rebalance", "check_name").write.partitionBy("check_name").parquet(path)
-    stored = t.spark.read.parquet(path)
-    return stored.groupBy("table_name", "check_name").agg(rows().alias("n"), F.count_distinct("row_key").alias("keys"))
+    # a line has one order, so the log has at most one row per line and check
+    checks.dealt_issues(log, t["lineitem"].count(), len(_checks())).write.partitionBy("check_name").parquet(path)
+    return checks.issue_counts(t.spark.read.parquet(path))
 
 
 @query(

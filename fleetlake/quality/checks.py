@@ -136,6 +136,33 @@ def issue_log(df: DataFrame, table: str, key: Column, checks: Mapping[str, Colum
     return df.select(F.lit(table).alias("table_name"), key.cast("string").alias("row_key"), F.explode(cells).alias("check_name"))
 
 
+#: Different keys that one task counts, and checked rows whose issues of one kind go to one file, about.
+KEYS_PER_TASK, ROWS_PER_FILE = 500_000, 2_000_000
+
+
+def dealt_issues(log: DataFrame, checked: int, kinds: int) -> DataFrame:
+    """An ``issue_log`` of ``checked`` rows and ``kinds`` checks, dealt for a write by ``check_name``.
+
+    Issues of one check go to as many tasks as the checked rows ask for, so what a task sorts before it
+    writes stays the same however many rows there are.
+    """
+    files = max(1, -(-checked // ROWS_PER_FILE))
+    tasks = max(int(log.sparkSession.conf.get("spark.sql.shuffle.partitions")), files * kinds)
+    return log.repartition(tasks, "check_name", F.pmod(F.monotonically_increasing_id(), F.lit(files)))
+
+
+def issue_counts(log: DataFrame) -> DataFrame:
+    """Issues and different rows with them per table and check, from a stored ``issue_log``.
+
+    The log is dealt by (table, check, key) into tasks of limited size before keys are compared, so the memory of a task
+    does not follow the size of the files.
+    """
+    tasks = max(int(log.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-log.count() // KEYS_PER_TASK))
+    dealt = log.select("table_name", "check_name", "row_key").repartition(tasks, "table_name", "check_name", "row_key")
+    per_key = dealt.groupBy("table_name", "check_name", "row_key").agg(rows().alias("_n"))
+    return per_key.groupBy("table_name", "check_name").agg(F.sum("_n").alias("n"), F.count("row_key").alias("keys"))
+
+
 def split_quarantine(df: DataFrame, reasons: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:
     """(valid rows, rejected rows with the joined reasons)."""
     reason = F.concat_ws("; ", *[F.when(F.coalesce(c, F.lit(False)), F.lit(n)) for n, c in reasons.items()])

@@ -164,4 +164,15 @@ def test_rules_and_quarantine(spark):
     assert good.count() == 1 and sorted(r.reject_reason for r in bad.collect()) == ["large", "no key"]
     flagged = checks.flag_rows(df, {"large": F.col("v") > 10}).collect()
     assert [r["_dq_large"] for r in flagged] == [False, True, False]
+    log = checks.issue_log(df.union(df), "t", F.col("s"), {"no_key": F.col("k").isNull(), "large": F.col("v") > 10})
+    assert {tuple(r) for r in checks.issue_counts(log).collect()} == {("t", "large", 2, 1), ("t", "no_key", 2, 1)}
     assert {(r.row_key, r.check_name) for r in checks.issue_log(df, "t", F.col("s"), {"no_key": F.col("k").isNull(), "large": F.col("v") > 10}).collect()} == {("b", "large"), ("z", "no_key")}
+
+
+def test_issues_are_dealt_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(checks, "ROWS_PER_FILE", 1000)
+    monkeypatch.setattr(checks, "KEYS_PER_TASK", 500)
+    log = checks.issue_log(spark.range(20_000, numPartitions=4), "t", F.col("id") % 7000, {"all": F.lit(True), "odd": F.col("id") % 2 == 1, "none": F.lit(False)})
+    sizes = [r.n for r in checks.dealt_issues(log, 20_000, 3).groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 30_000 and max(sizes) < 10_000
+    assert {tuple(r) for r in checks.issue_counts(log).collect()} == {("t", "all", 20_000, 7000), ("t", "odd", 10_000, 3500)}
