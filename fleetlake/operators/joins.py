@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from fleetlake.constants import ROAD_FACTOR
 from fleetlake.functions.scalar import haversine_km
 from fleetlake.operators import scale
+from fleetlake.session import materialise
 
 
 def left_with_zero(dim: DataFrame, facts: DataFrame, key: str, aggs: Mapping[str, Column], fills: Mapping[str, object]) -> DataFrame:
@@ -139,16 +140,26 @@ def _carried(facts: DataFrame, entries: DataFrame, by: Sequence[str], on: str) -
     return found.where("_fact").select(*facts.columns, F.when(known, F.col("_carried")).alias("_carried"))
 
 
+#: Different keys and days up to which every task of the facts gets them all.
+BROADCAST_DAYS = 50_000
+
+
 def asof_join(
     facts: DataFrame, timeline: DataFrame, by: Sequence[str], on: str, since: str, value: str, default=None
 ) -> DataFrame:
     """Each fact with the value in force at ``on``: the last entry with ``since <= on``, by day.
 
-    Entries are carried forward over the facts of their key (see ``_carried``), also over keys too large
-    for one task. Facts with a NULL key or day get no value.
+    Entries are carried forward over the different days of the facts of each key (see ``_carried``), also over keys too
+    large for one task; the facts then meet their day by an equality join, so their other columns are not
+    ordered or stored. Facts with a NULL key or day get no value.
     """
     entries = timeline.select(*by, F.to_date(since).alias("_at"), F.col(value).alias("_value"))
-    out = _carried(facts, entries, by, on).withColumnRenamed("_carried", value)
+    dated = facts.withColumn("_day", F.to_date(F.col(on)))
+    days = materialise(dated.select(*by, "_day").na.drop().distinct(), "fact-days")
+    found = _carried(days, entries, by, "_day")
+    if days.count() <= BROADCAST_DAYS:
+        found = F.broadcast(found)
+    out = dated.join(found, [*by, "_day"], "left").select(*facts.columns, F.col("_carried").alias(value))
     return out if default is None else out.withColumn(value, F.coalesce(F.col(value), F.lit(default)))
 
 

@@ -88,3 +88,17 @@ def test_surrogate_key_of_the_version(spark):
     facts = spark.createDataFrame([(1, 1, date(2024, 1, 31)), (2, 1, date(2024, 2, 1)), (3, 1, date(2023, 1, 1)), (4, 7, date(2024, 1, 1)), (5, None, None)], "f int, id int, d date")
     got = {r.f: r.sk for r in dims.lookup_at(facts, dim, "id", "sk", "d").collect()}
     assert got == {1: 10, 2: 11, 3: -1, 4: -1, 5: -1}
+
+
+def test_only_the_days_of_the_facts_are_ordered(spark, monkeypatch):
+    ordered, carried = [], joins._carried
+    monkeypatch.setattr(joins, "_carried", lambda facts, *a: ordered.append(facts) or carried(facts, *a))
+    facts = spark.range(5000).selectExpr("id", "IF(id % 100 = 7, NULL, id % 2) AS k", "date_add(DATE'2024-01-01', int(id % 10)) AS at")
+    line = spark.createDataFrame([(0, "2024-01-03", 3.0), (0, "2024-01-08", 8.0), (None, "2024-01-01", 1.0)], "k long, since string, v double")
+    for most in (0, joins.BROADCAST_DAYS):
+        monkeypatch.setattr(joins, "BROADCAST_DAYS", most)
+        out = joins.asof_join(facts, line, ["k"], "at", "since", "v")
+        assert out.columns == ["id", "k", "at", "v"]
+        got = {r.id: r.v for r in out.collect()}
+        assert got == {i: None if i % 100 == 7 or i % 2 or i % 10 < 2 else 3.0 if i % 10 < 7 else 8.0 for i in range(5000)}
+    assert ordered[0].columns == ["k", "_day"] and ordered[0].count() == 10
