@@ -31,11 +31,20 @@ def doubled_size(paths: DataFrame, span: int) -> int:
     return ends.join(begins, "node").agg(F.sum(F.col("into") * F.col("out"))).first()[0] or 0
 
 
+def ahead(paths: DataFrame, reached: DataFrame, depth: int) -> DataFrame:
+    """Paths that can still lead to new nodes: from nodes at ``depth`` or not reached yet, to nodes not reached yet.
+
+    A shortest path to a node beyond ``depth`` leaves the reached ones at exactly ``depth`` and does not come back.
+    """
+    onward = paths.join(reached.where(F.col("depth") < depth).select(F.col("node").alias("a")), "a", "left_anti")
+    return onward.join(reached.select(F.col("node").alias("b")), "b", "left_anti").select("a", "b", "d")
+
+
 def reach(edges: DataFrame, start: DataFrame, source: str = "source", target: str = "target", most_paths: int = MOST_PATHS, per_edge: int = PER_EDGE) -> tuple[DataFrame, int]:
     """(node, depth) of all nodes reachable from ``start`` (column ``node``), start at depth 0, and the number of rounds.
 
     A round extends what is reached by all known paths and, after the first few, doubles these, so a chain of n
-    edges takes about log2(n) rounds. A node beyond the reach so far lies behind one at exactly that
+    edges takes about log2(n) rounds. Only paths that lead on from there are kept (``ahead``). A node beyond the reach so far lies behind one at exactly that
     depth, so only those are extended. Where doubling would make too many paths (their number is known
     before), the rounds go on with the span they have. Cycles and repeated edges are harmless; edges with
     a NULL end lead nowhere. Every round is written to the shared folder.
@@ -60,6 +69,7 @@ def reach(edges: DataFrame, start: DataFrame, source: str = "source", target: st
         if frontier.isEmpty():
             return reached, rounds
         if doubling and rounds >= PLAIN:
+            paths = materialise(ahead(paths, reached, depth), "paths")
             doubling = doubled_size(paths, span) <= limit
             if doubling:
                 paths = materialise(double(paths, span), "paths")

@@ -59,3 +59,10 @@ def test_nothing_to_reach(spark):
     assert run(spark, [("a", "b")], ["z"]) == ({"z": 0}, 1)
     edges = spark.createDataFrame([], "source string, target string")
     assert load.lineage(edges, spark.createDataFrame([("a",)], "node string")).count() == 0
+
+
+def test_only_paths_that_lead_on_are_doubled(spark):
+    paths_ = spark.createDataFrame([(f"n{i}", f"n{i + 1}", 1) for i in range(10)] + [("n9", "n2", 1), ("m", "n1", 1), ("m", "n9", 1)], "a string, b string, d long")
+    reached = spark.createDataFrame([(f"n{i}", i) for i in range(5)], "node string, depth long")
+    got = {(r.a, r.b) for r in paths.ahead(paths_, reached, 4).collect()}
+    assert got == {(f"n{i}", f"n{i + 1}") for i in range(4, 10)} | {("m", "n9")}
