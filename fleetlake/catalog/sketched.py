@@ -60,10 +60,11 @@ def _(t):
     # distinct counts do not add up over months; merged sketches do. The exact counts are here to check them
     keys = ["l_returnflag", "y"]
     merged = sketches.merge(_stored(t).withColumn("y", F.year("month")), keys, "cube")
-    exact = t["lineitem"].withColumn("y", F.year("l_shipdate")).cube(*keys).agg(
-        F.count_distinct("l_partkey").alias("parts"), F.count_distinct("l_suppkey").alias("suppliers"), F.grouping_id().alias("level")
-    )
-    both = scale.same_key_join(exact, merged.select(*keys, "level", sketches.distinct("parts").alias("p"), sketches.distinct("suppliers").alias("s")), [*keys, "level"])
+    facts = t["lineitem"].withColumn("y", F.year("l_shipdate"))
+    both = merged.select(*keys, "level", sketches.distinct("parts").alias("p"), sketches.distinct("suppliers").alias("s"))
+    for name, column in {"parts": "l_partkey", "suppliers": "l_suppkey"}.items():
+        both = scale.same_key_join(both, sketches.distinct_cube(facts, keys, column, name), [*keys, "level"], "left")
+        both = both.withColumn(name, F.coalesce(name, F.lit(0).cast("bigint")))
     bound = 5 * sketches.distinct_error()
     return both.select(
         *keys, F.col("level").cast("int").alias("level"), "parts", "suppliers", (F.abs(F.col("p") - F.col("parts")) <= bound * F.col("parts")).alias("parts_within"), (F.abs(F.col("s") - F.col("suppliers")) <= bound * F.col("suppliers")).alias("suppliers_within")

@@ -98,6 +98,25 @@ def distinct(name: str) -> Column:
     return F.hll_sketch_estimate(f"{name}_hll")
 
 
+def distinct_cube(df: DataFrame, keys: Sequence[str], column: str, name: str) -> DataFrame:
+    """Exact distinct counts (``name``) of a column on every level of CUBE over ``keys``, with ``level`` as in ``merge``.
+
+    Rows become one per value with the groups it occurs in, and every level counts values from those: the facts are not
+    multiplied by the levels. Groups without values have no row. A value lists at most as many groups as the finest level has.
+    """
+    per_value = df.where(F.col(column).isNotNull()).select(*keys, column).distinct().groupBy(column).agg(F.collect_list(F.struct(*keys)).alias("_groups"))
+
+    def seen_on(level: int) -> Column:
+        own = [not level >> (len(keys) - 1 - i) & 1 for i in range(len(keys))]
+        return F.array_distinct(F.transform("_groups", lambda g: F.struct(
+            *[(g[c] if kept else F.lit(None).cast(df.schema[c].dataType)).alias(c) for c, kept in zip(keys, own)], F.lit(level).cast("bigint").alias("level")
+        )))
+
+    parts = [seen_on(level) for level in range(1 << len(keys))]
+    groups = per_value.select(F.inline(F.flatten(F.array(*parts))))
+    return groups.groupBy(*keys, "level").agg(F.count(F.lit(1)).alias(name))
+
+
 def fences(sketched: DataFrame, name: str, reach: float = 1.5) -> DataFrame:
     """Quartiles and outlier fences from sketches, with the estimated share of values beyond them."""
     q = sketched.withColumns({"q1": quantile(name, 0.25), "median": quantile(name, 0.5), "q3": quantile(name, 0.75)})

@@ -74,3 +74,14 @@ def test_fences_from_sketches(facts):
     clean = facts.where("v is not null and not isnan(v)")
     exact = clean.where((F.col("v") < got["lower_fence"]) | (F.col("v") > got["upper_fence"])).count() / clean.count()
     assert abs(got["beyond_share"] - exact) < 4 * sketches.rank_error() + 0.002
+
+
+def test_exact_distinct_counts_of_a_cube(spark):
+    rng = random.Random(3)
+    rows = [(rng.choice(["x", "y", None]), rng.choice([1, 2, None]), rng.choice([None, *range(40)])) for _ in range(2000)] + [("empty", 1, None)]
+    df = spark.createDataFrame(rows, "g string, h int, v int")
+    out = sketches.distinct_cube(df, ["g", "h"], "v", "n")
+    want = df.cube("g", "h").agg(F.grouping_id().alias("level"), F.count_distinct("v").alias("n")).where("n > 0")
+    assert out.columns == ["g", "h", "level", "n"]
+    assert sorted(map(repr, out.collect())) == sorted(map(repr, want.collect()))
+    assert "Expand" not in out._jdf.queryExecution().executedPlan().toString()
