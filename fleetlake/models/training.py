@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
+from pyspark.ml.feature import IndexToString, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
@@ -25,6 +25,11 @@ DEMAND_FEATURES = ["dow", "month", "year", "is_weekend", "day_of_month", "city_c
 MAINTENANCE_FEATURES = ["vehicle_age", "odometer_km", "days_since_last", "type_code"]
 PRICING_FEATURES = ["month", "dow", "is_weekend", "city_code", "type_code", "distance_km"]
 
+#: Rows that a tree model learns one by one; of a larger frame, rows of one cell of bins are learnt together.
+MOST_INSTANCES = 500_000
+#: Quantiles looked at per bin: where one value fills many of them, the others still give edges.
+FINER = 8
+
 
 def _codes(column: str, name: str) -> StringIndexer:
     """Alphabetical codes; unseen values get their own code."""
@@ -41,6 +46,75 @@ def _bins(df: DataFrame, columns: Sequence[str], least: int = 32) -> int:
     return max(least, *[int(sizes[c] * 1.1) + 2 for c in columns])
 
 
+def _edges(df: DataFrame, columns: Sequence[str], bins: int) -> dict[str, list[float]]:
+    """Split candidates per numeric column from all rows: between any two values where they are few, else at quantiles."""
+    if not columns:
+        return {}
+    sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
+    few = [c for c in columns if sizes[c] <= bins]
+    many = [c for c in columns if c not in few]
+    edges = {}
+    if few:
+        known = df.agg(*[F.array_sort(F.collect_set(F.nanvl(F.col(c).cast("double"), F.lit(None)))).alias(c) for c in few]).first()
+        edges |= {c: [a / 2 + b / 2 for a, b in zip(known[c], known[c][1:])] for c in few}
+    if many:
+        steps = FINER * bins
+        for c, found in zip(many, df.approxQuantile(many, [i / steps for i in range(1, steps)], 0.25 / steps)):
+            values = sorted(set(found))
+            kept = min(bins - 1, len(values))
+            edges[c] = [values[(i + 1) * len(values) // (kept + 1)] for i in range(kept)] if kept < len(values) else values
+    return edges
+
+
+def _bin_sql(column: str, edges: Sequence[float]) -> str:
+    """SQL for the number of edges below a value. NULL, NaN and infinities stay as they are: a fit refuses them, scoring does not."""
+    value = f"CAST(`{column}` AS DOUBLE)"
+
+    def among(low: int, high: int) -> str:
+        if low == high:
+            return f"{low}.0D"
+        middle = (low + high) // 2
+        return f"IF({value} <= CAST('{float(edges[middle])!r}' AS DOUBLE), {among(low, middle)}, {among(middle + 1, high)})"
+
+    return f"IF({value} - {value} = 0, {among(0, len(edges))}, {value})"
+
+
+def _fit(df: DataFrame, train: DataFrame, codes: Sequence[Estimator | Transformer], columns: Sequence[str], trees: Estimator, most: int, regression: bool = False) -> PipelineModel:
+    """Codes, feature vector and tree model fitted on ``train`` (``label``, and ``weight`` if the model has a weight column), a part of ``df``.
+
+    Up to ``most`` rows are instances of their own. Beyond that, numeric features are cut into the bins a tree looks at, by
+    edges from all rows, and rows that are equal in all bins and codes form a cell. For a regression a cell is one
+    instance, its mean label weighed by its rows: the sums a tree compares are the same. For classes a cell and
+    label becomes instances of up to rows / ``most`` rows each, so a forest's bootstrap still draws among at least
+    ``most``. Every row counts; there are at most ``most`` plus as many instances as cells, and cells cannot exceed the
+    product of the bins.
+    """
+    total = df.count()
+    if total <= most:
+        return Pipeline(stages=[*codes, _vector(columns), trees]).fit(train)
+    coded = Pipeline(stages=list(codes)).fit(train)
+    data = coded.transform(train)
+    nominal = {s.getOutputCol() for s in codes}
+    numeric = [c for c in columns if c not in nominal]
+    edges = _edges(data, numeric, min(32, trees.getMaxBins()))
+    names = [c if c in nominal else f"{c}_bin" for c in columns]
+    cut = SQLTransformer(statement=f"SELECT *, {', '.join(f'{_bin_sql(c, edges[c])} AS `{c}_bin`' for c in numeric)} FROM __THIS__")
+    weight = F.col("weight") if trees.isSet("weightCol") else F.lit(1.0)
+    binned = cut.transform(data)
+    n, weights = rows().alias("_n"), F.sum(weight).alias("weight")
+    if regression:
+        mean = F.when(F.count("label") == rows(), F.sum(F.col("label") * weight) / F.sum(weight))
+        cells = binned.groupBy(*names).agg(n, weights, mean.alias("label"))
+    else:
+        each = -(-total // most)
+        cells = binned.groupBy(*names, "label").agg(n, weights).withColumn("_parts", F.ceil(F.col("_n") / each).cast("int"))
+        cells = cells.select("*", F.explode(F.sequence(F.lit(1), "_parts")).alias("_part")).withColumn("weight", F.col("weight") / F.col("_parts"))
+    instances = materialise(cells.repartition(df.sparkSession.sparkContext.defaultParallelism), "instances")
+    vector = _vector(names)
+    model = trees.copy().setWeightCol("weight").fit(vector.transform(instances))
+    return PipelineModel([*coded.stages, PipelineModel([cut, vector]), model])
+
+
 def train_safety(df: DataFrame, trees: int = 150, depth: int = 8, columns: Sequence[str] | None = None) -> tuple[PipelineModel, DataFrame]:
     """Behaviour profile from trip measures; returns the model and the scored test rows.
 
@@ -86,7 +160,7 @@ def forecast_demand(model: PipelineModel, cities: DataFrame, after: str, days: i
     return scored.select("city", "day", F.greatest(F.lit(0.0), F.col("prediction")).alias("predicted_trips"))
 
 
-def train_maintenance(df: DataFrame, trees: int = 100, depth: int = 5) -> tuple[PipelineModel, DataFrame]:
+def train_maintenance(df: DataFrame, trees: int = 100, depth: int = 5, most: int = MOST_INSTANCES) -> tuple[PipelineModel, DataFrame]:
     """Service due soon; classes weigh the same whatever their size."""
     df = materialise(df, "maintenance-frame")
     train, test = features.hash_split(df.withColumn("label", F.col("upcoming").cast("double")), "maint_id", TEST_SHARES["maintenance"])
@@ -96,7 +170,7 @@ def train_maintenance(df: DataFrame, trees: int = 100, depth: int = 5) -> tuple[
     # two rows, one per class
     weighted = train.join(F.broadcast(weights), "label")
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, weightCol="weight", maxBins=_bins(df, ["maintenance_type"]), seed=42)
-    model = Pipeline(stages=[_codes("maintenance_type", "type_code"), _vector(MAINTENANCE_FEATURES), forest]).fit(weighted)
+    model = _fit(df, weighted, [_codes("maintenance_type", "type_code")], MAINTENANCE_FEATURES, forest, most)
     return model, model.transform(test)
 
 
