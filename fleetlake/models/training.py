@@ -115,7 +115,7 @@ def _fit(df: DataFrame, train: DataFrame, codes: Sequence[Estimator | Transforme
     return PipelineModel([*coded.stages, PipelineModel([cut, vector]), model])
 
 
-def train_safety(df: DataFrame, trees: int = 150, depth: int = 8, columns: Sequence[str] | None = None) -> tuple[PipelineModel, DataFrame]:
+def train_safety(df: DataFrame, trees: int = 150, depth: int = 8, columns: Sequence[str] | None = None, most: int = MOST_INSTANCES) -> tuple[PipelineModel, DataFrame]:
     """Behaviour profile from trip measures; returns the model and the scored test rows.
 
     ``columns`` are the features; by default all columns of ``df`` but the key and the label.
@@ -126,7 +126,7 @@ def train_safety(df: DataFrame, trees: int = 150, depth: int = 8, columns: Seque
     label = StringIndexer(inputCol="profile", outputCol="label", stringOrderType="alphabetAsc").fit(df)
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=42)
     names = IndexToString(inputCol="prediction", outputCol="predicted_profile", labels=label.labels)
-    model = Pipeline(stages=[label, _vector(columns), forest, names]).fit(train)
+    model = PipelineModel([*_fit(df, train, [label], columns, forest, most).stages, names])
     return model, model.transform(test)
 
 
