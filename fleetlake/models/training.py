@@ -180,13 +180,13 @@ def at_risk(scored: DataFrame, threshold: float = 0.6) -> DataFrame:
     return scored.withColumn("risk", risk).where(F.col("risk") > threshold)
 
 
-def train_pricing(df: DataFrame, trees: int = 200, depth: int = 5, step: float = 0.07) -> tuple[PipelineModel, DataFrame]:
+def train_pricing(df: DataFrame, trees: int = 200, depth: int = 5, step: float = 0.07, most: int = MOST_INSTANCES) -> tuple[PipelineModel, DataFrame]:
     """Fare per day."""
     df = materialise(df, "pricing-frame")
     train, test = features.hash_split(df.withColumn("label", F.col("fare_per_day")), "trip_id", TEST_SHARES["pricing"])
     gbt = GBTRegressor(maxIter=trees, maxDepth=depth, stepSize=step, maxBins=_bins(df, ["city", "booking_type"]), seed=42)
-    stages = [_codes("city", "city_code"), _codes("booking_type", "type_code"), _vector(PRICING_FEATURES), gbt]
-    model = Pipeline(stages=stages).fit(train)
+    codes = [_codes("city", "city_code"), _codes("booking_type", "type_code")]
+    model = _fit(df, train, codes, PRICING_FEATURES, gbt, most, regression=True)
     return model, model.transform(test)
 
 

@@ -1,6 +1,7 @@
 from datetime import datetime, timedelta
 
 import numpy as np
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
 
 from fleetlake.models import features, forecast, stats, training
@@ -168,3 +169,39 @@ def test_outlook_of_a_forecast(spark):
     series = spark.createDataFrame([(1, date(2024, 5, 1), 120.0), (1, date(2024, 6, 1), 180.0), (1, date(2024, 7, 1), 90.0)], "k int, month date, forecast double")
     row = forecast.outlook(series, spark.createDataFrame([(1, 100.0)], "k int, last_actual double"), "k").first()
     assert (row.next_forecast, row.mean_forecast, row.peak_month, row.peak, row.growth_pct) == (120.0, 130.0, date(2024, 6, 1), 180.0, 20.0)
+
+
+def test_cells_give_the_same_boosted_trees(spark):
+    frame = spark.range(3000).selectExpr(
+        "id AS trip_id", "int(id % 12 + 1) AS month", "int(id * 7919 % 7) AS dow", "int(id * 7919 % 7 >= 5) AS is_weekend", "concat('c', id % 5) AS city", "concat('b', id % 3) AS booking_type",
+        "double(id * 31 % 20) AS distance_km", "double(id % 12 * 10 + id % 5 + id * 31 % 20 + id * 104729 % 1009 / 100) AS fare_per_day",
+    )
+    _, by_row = training.train_pricing(frame, trees=8, depth=3)
+    model, by_cell = training.train_pricing(frame, trees=8, depth=3, most=100)
+    assert isinstance(model.stages[2].stages[0], SQLTransformer)
+    a, b = ({r.trip_id: r.prediction for r in s.collect()} for s in (by_row, by_cell))
+    assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-6 for k in a)
+
+
+def test_every_row_counts_in_cells_of_a_forest(spark, monkeypatch):
+    stored, write = {}, training.materialise
+    monkeypatch.setattr(training, "materialise", lambda df, label: stored.setdefault(label, write(df, label)))
+    df = spark.range(20_000).selectExpr(
+        "id AS telem_id", "id * 3 % 40 + id / 1e6 AS harsh_brakes", "double(id % 3) AS harsh_accels", "double(id % 9 = 0) AS idle_minutes", "IF(id % 7 = 0, 0D, 1D) AS speeding_km", "IF(id * 3 % 40 < 20, 'good', 'poor') AS profile"
+    )
+    model, scored = training.train_safety(df, trees=5, depth=4, most=2000)
+    train, _ = features.hash_split(df, "telem_id", training.TEST_SHARES["safety"])
+    got = stored["instances"].agg(F.sum("weight").alias("w"), F.count("*").alias("n"), F.max("weight").alias("top")).first()
+    assert abs(got.w - train.count()) < 1e-6 and got.top <= 10 and 1600 <= got.n < 6000
+    assert {r.metric: r.value for r in training.classification_report(scored).collect()}["accuracy"] > 0.95
+    top = training.feature_importance(scored, model, ["harsh_brakes", "harsh_accels", "idle_minutes", "speeding_km"], 2).orderBy(F.desc("importance")).first()
+    assert top.feature == "harsh_brakes"
+
+
+def test_bins_keep_few_values_apart_and_see_small_shares(spark):
+    df = spark.range(10_000).selectExpr("IF(id % 3 = 0, NULL, double(id % 5)) AS few", "IF(id % 10 > 0, 0D, double(id)) AS many", "double('NaN') AS none")
+    edges = training._edges(df, ["few", "many", "none"], 32)
+    assert edges["few"] == [0.5, 1.5, 2.5, 3.5] and edges["none"] == []
+    assert len(edges["many"]) > 20 and edges["many"][0] == 0.0 and edges["many"][-1] > 9000
+    got = df.selectExpr(f"{training._bin_sql('few', edges['few'])} AS bin", "few").distinct().collect()
+    assert {(r.few, r.bin) for r in got} == {(None, None)} | {(float(i), float(i)) for i in range(5)}
